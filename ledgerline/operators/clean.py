@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null, normalize_address
-from .median import DEFAULT_ACCURACY, group_median
+from .median import MAX_RANK_ROWS, group_median
 
 
 def dedupe_first(df: DataFrame, key: str = "tx_hash", order: str = "tx_id") -> DataFrame:
@@ -25,13 +25,13 @@ def dedupe_first(df: DataFrame, key: str = "tx_hash", order: str = "tx_id") -> D
 
 
 def impute_median(df: DataFrame, value: str = "amount", by: str = "tx_type",
-                  accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                  max_rank_rows: int = MAX_RANK_ROWS) -> DataFrame:
     """Fill NULL ``value`` with the exact median of its ``by`` group (nulls skipped).
 
     The median table has one row per group; it is joined back with a plain equi-join, so Spark's
     size check decides on broadcasting it (rows with a NULL group find no median).
     """
-    medians = group_median(df, [by], value, out="_median", accuracy=accuracy)
+    medians = group_median(df, [by], value, out="_median", max_rank_rows=max_rank_rows)
     return (df.join(medians, by, "left")
             .withColumn(value, F.coalesce(nan_to_null(value), F.col("_median")))
             .drop("_median")
@@ -47,11 +47,11 @@ def normalize_addresses(df: DataFrame, cols: tuple[str, ...] = ("sender", "recei
     return df.withColumns({c: normalize_address(c) for c in cols})
 
 
-def clean_transactions(df: DataFrame, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+def clean_transactions(df: DataFrame, max_rank_rows: int = MAX_RANK_ROWS) -> DataFrame:
     """C1 -> C2 -> C3 -> C4, in the reference's order (the median sees <= 0 amounts)."""
     df = df.withColumn("amount", nan_to_null("amount"))
     return (dedupe_first(df)
-            .transform(lambda d: impute_median(d, accuracy=accuracy))
+            .transform(lambda d: impute_median(d, max_rank_rows=max_rank_rows))
             .transform(positive_amounts)
             .transform(normalize_addresses))
 

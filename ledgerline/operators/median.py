@@ -1,20 +1,23 @@
-"""Exact per-group median without holding a group in one task.
+"""Exact per-group median without holding a large group in one task.
 
 Spark's ``median``/``percentile`` keeps every distinct value of a group in one aggregation
-buffer, so a group holding a third of 100 TB would sit in one task. This operator is exact
-and bounded instead:
-
-1. one aggregate gives, per group, the count ``n`` and an approximate bracket around the
-   middle ranks (``percentile_approx`` sketches are mergeable and partially aggregated
-   map-side, so hot groups are combined before the shuffle);
-2. a second aggregate counts exactly how many values fall below, on, and strictly inside the
-   bracket;
-3. only the rows strictly inside the bracket (about ``8 n / accuracy`` of them) are ranked with
-   a window; the two middle values are read off by rank.
-
-If a sketch ever misses (the check in step 2 fails) that group falls back to ranking all of
-its rows, so the answer is exact in every case. The median of an even count is the mean of the
-two middle values, ``(a + b) / 2``, as pandas computes it.
+buffer, so a group holding a third of 100 TB would sit in one task. This operator is exact and
+keeps every task bounded:
+
+1. one aggregate gives, per group, the count and the min/max (map-side partials, so a hot group
+   is combined before the shuffle). The candidate interval of a group starts as [min, max];
+2. while some group still has more than ``max_rank_rows`` candidates, one refinement round
+   counts its candidates in ``buckets`` equal-width buckets of the interval (a hash aggregate
+   of (group, bucket) -> count/min/max, again with map-side partials) and narrows the interval
+   to the bucket(s) holding the two middle ranks. Counts are exact, so the interval always holds
+   the answer; a group whose candidates are all one value is resolved at once. The per-group
+   state is a small table that is checkpointed each round; only one number (the largest
+   remaining candidate count) reaches the driver;
+3. the remaining candidates (at most ``max_rank_rows`` per group, or what is left after
+   ``max_rounds``) are ranked with a window and the two middle values are read off.
+
+The median of an even count is the mean of the two middle values, ``(a + b) / 2``, as pandas
+computes it.
 """
 
 from __future__ import annotations
@@ -23,59 +26,78 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null
+from ..session import materialize
+
+MAX_RANK_ROWS = 1_000_000
+BUCKETS = 4096
+MAX_ROUNDS = 6
+
+
+def _candidates(base: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
+    x = F.col("_x")
+    return (base.join(state, by)
+            .where((F.col("_lo") < F.col("_hi")) & (x >= F.col("_lo")) & (x <= F.col("_hi"))))
 
-DEFAULT_ACCURACY = 100_000
+
+def _largest_open(state: DataFrame) -> int:
+    row = state.where(F.col("_lo") < F.col("_hi")).agg(F.max("_m")).first()
+    return int(row[0] or 0)
+
+
+def _refine(base: DataFrame, state: DataFrame, by: list[str], buckets: int) -> DataFrame:
+    """One histogram round over the open groups; closed groups pass through unchanged."""
+    x, lo, hi = F.col("_x"), F.col("_lo"), F.col("_hi")
+    # halves keep x - lo finite for values near the double range
+    frac = F.coalesce(F.try_divide(x * 0.5 - lo * 0.5, hi * 0.5 - lo * 0.5), F.lit(0.0))
+    bucket = F.least(F.floor(frac * F.lit(float(buckets))).cast("bigint"), F.lit(buckets - 1))
+    hist = (_candidates(base, state, by)
+            .withColumn("_b", bucket)
+            .groupBy(*by, "_b")
+            .agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_bmin"), F.max("_x").alias("_bmax")))
+    # rows before each bucket, within the group's candidates (table: groups x non-empty buckets)
+    w = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    hist = hist.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
+    open_state = state.where(F.col("_lo") < F.col("_hi"))
+    h = hist.join(open_state.select(*by, "_k1", "_k2", "_off"), by)
+    r1 = F.col("_k1") - F.col("_off")
+    r2 = F.col("_k2") - F.col("_off")
+    holds1 = (r1 >= F.col("_before")) & (r1 < F.col("_before") + F.col("_c"))
+    holds2 = (r2 >= F.col("_before")) & (r2 < F.col("_before") + F.col("_c"))
+    narrowed = (h.where(holds1 | holds2)
+                .groupBy(*by)
+                .agg(F.min("_bmin").alias("_lo"), F.max("_bmax").alias("_hi"),
+                     F.min("_before").alias("_skip"), F.sum("_c").alias("_m")))
+    refined = (open_state.drop("_lo", "_hi", "_m").join(narrowed, by)
+               .withColumn("_off", F.col("_off") + F.col("_skip")).drop("_skip"))
+    closed = state.where(~(F.col("_lo") < F.col("_hi")))
+    return closed.unionByName(refined.select(*closed.columns))
 
 
 def group_median(df: DataFrame, by: list[str], value: str, out: str = "median",
-                 accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                 max_rank_rows: int = MAX_RANK_ROWS, buckets: int = BUCKETS,
+                 max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """One row per group with a non-null value: ``by`` columns + ``out``."""
-    margin = 3.0 / accuracy
-    x = F.col("_x")
-    base = df.select(*by, nan_to_null(value).alias("_x")).where(x.isNotNull())
+    base = df.select(*by, nan_to_null(value).alias("_x")).where(F.col("_x").isNotNull())
     for c in by:  # pandas groupby drops null keys: such rows get no median
         base = base.where(F.col(c).isNotNull())
 
-    # 1. count + approximate bracket around the middle ranks
-    sketch = (base.groupBy(*by)
-              .agg(F.count(F.lit(1)).alias("_n"),
-                   F.percentile_approx("_x", F.array(F.lit(max(0.0, 0.5 - margin)),
-                                                     F.lit(min(1.0, 0.5 + margin))), accuracy).alias("_q"))
-              .select(*by, "_n", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"),
-                      F.floor((F.col("_n") - 1) / 2).cast("bigint").alias("_k1"),
-                      F.floor(F.col("_n") / 2).cast("bigint").alias("_k2")))
-    tagged = base.join(sketch, by)
-
-    # 2. exact counts around the bracket, and whether the bracket holds both middle ranks
-    lo, hi = F.col("_lo"), F.col("_hi")
-    counts = (tagged.groupBy(*by, "_n", "_lo", "_hi", "_k1", "_k2")
-              .agg(F.count_if(x < lo).cast("bigint").alias("_below"),
-                   F.count_if(x == lo).cast("bigint").alias("_eq_lo"),
-                   F.count_if((x > lo) & (x < hi)).cast("bigint").alias("_mid"),
-                   F.count_if((x == hi) & (hi > lo)).cast("bigint").alias("_eq_hi")))
-    start_mid = F.col("_below") + F.col("_eq_lo")
-    counts = counts.withColumn(
-        "_ok", (F.col("_below") <= F.col("_k1"))
-        & (start_mid + F.col("_mid") + F.col("_eq_hi") > F.col("_k2")))
-    # rank offset of the first candidate row: the bracket interior, or the whole group on a miss
-    counts = counts.withColumn("_off", F.when(F.col("_ok"), start_mid).otherwise(F.lit(0).cast("bigint")))
-
-    # 3. rank the candidates (bracket interior, or every row of a missed group)
-    cand = (tagged.join(counts.select(*by, "_ok", "_off"), by)
-            .where(~F.col("_ok") | ((x > lo) & (x < hi))))
-    w = Window.partitionBy(*by).orderBy("_x")
-    cand = cand.withColumn("_pos", F.row_number().over(w) - 1 + F.col("_off"))
-    picked = (cand.where((F.col("_pos") == F.col("_k1")) | (F.col("_pos") == F.col("_k2")))
+    n = F.col("_n")
+    state = (base.groupBy(*by)
+             .agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+             .select(*by, F.floor((n - 1) / 2).cast("bigint").alias("_k1"), F.floor(n / 2).cast("bigint").alias("_k2"),
+                     "_lo", "_hi", F.lit(0).cast("bigint").alias("_off"), n.alias("_m")))
+    state = materialize(state)
+    rounds = 0
+    while _largest_open(state) > max_rank_rows and rounds < max_rounds:
+        state = materialize(_refine(base, state, by, buckets))
+        rounds += 1
+
+    # groups whose interval is one value are answered by it; others rank their candidates
+    closed = state.where(~(F.col("_lo") < F.col("_hi"))).select(*by, F.col("_lo").alias(out))
+    ranked = (_candidates(base, state, by)
+              .withColumn("_pos", F.row_number().over(Window.partitionBy(*by).orderBy("_x")) - 1 + F.col("_off")))
+    picked = (ranked.where((F.col("_pos") == F.col("_k1")) | (F.col("_pos") == F.col("_k2")))
               .groupBy(*by)
-              .agg(F.max(F.when(F.col("_pos") == F.col("_k1"), x)).alias("_w1"),
-                   F.max(F.when(F.col("_pos") == F.col("_k2"), x)).alias("_w2")))
-
-    def value_at(k, w):
-        return (F.when(~F.col("_ok"), F.col(w))
-                .when(F.col(k) < start_mid, lo)
-                .when(F.col(k) < start_mid + F.col("_mid"), F.col(w))
-                .otherwise(hi))
-
-    result = (counts.join(picked, by, "left")
-              .select(*by, ((value_at("_k1", "_w1") + value_at("_k2", "_w2")) / F.lit(2.0)).alias(out)))
-    return result
+              .agg(((F.max(F.when(F.col("_pos") == F.col("_k1"), F.col("_x")))
+                     + F.max(F.when(F.col("_pos") == F.col("_k2"), F.col("_x")))) / F.lit(2.0)).alias(out)))
+    return closed.unionByName(picked)

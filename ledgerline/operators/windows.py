@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .median import DEFAULT_ACCURACY, group_median
+from .median import MAX_RANK_ROWS, group_median
 from .ranking import rank_by_value
 
 
@@ -36,8 +36,8 @@ def previous_value(df: DataFrame, part: list[str], order: str, value: str, out:
 
 
 def group_median_column(df: DataFrame, by: str, value: str, out: str,
-                        accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                        max_rank_rows: int = MAX_RANK_ROWS) -> DataFrame:
     """The group's median on every row (pandas ``transform("median")``), via the exact
     distributed median and an equi-join instead of an unbounded partition window."""
-    medians = group_median(df, [by], value, out=out, accuracy=accuracy)
+    medians = group_median(df, [by], value, out=out, max_rank_rows=max_rank_rows)
     return df.join(medians, by, "left")
