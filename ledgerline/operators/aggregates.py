@@ -116,3 +116,42 @@ def kpi_summary(df: DataFrame) -> DataFrame:
 def row_count(df: DataFrame) -> DataFrame:
     """The row count as a one-row table."""
     return df.agg(F.count(F.lit(1)).alias("row_count"))
+
+
+# ---- one-pass report (A6-A11 from a single scan) ----------------------------------------------
+
+def report_rollup(df: DataFrame) -> DataFrame:
+    """One scan at (network, tx_type, status) grain: a table bounded by those three small value
+    domains, from which every report figure is derived exactly (sums are DECIMAL)."""
+    return df.groupBy("network", "tx_type", "status").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("amount").alias("n_amount"),
+        F.sum(F.col("amount").cast("decimal(18,8)")).alias("sum_amount"),
+        F.max("amount").alias("max_amount"),
+        (F.sum("is_anomaly") if "is_anomaly" in df.columns else F.lit(None).cast("bigint")).alias("n_anomaly"))
+
+
+def report_from_rollup(r: DataFrame) -> dict[str, DataFrame]:
+    """A6-A11 from ``report_rollup`` output; same columns as the direct functions."""
+    total = F.sum("n")
+    vol = F.sum("sum_amount").cast("double")
+    mean = F.try_divide(vol, F.sum("n_amount").cast("double"))
+    st = F.col("status")
+    return {
+        "volume_by_network": r.groupBy("network").agg(vol.alias("volume"), F.sum("n_amount").alias("tx_count")),
+        "volume_by_type": r.groupBy("tx_type").agg(vol.alias("volume"), mean.alias("mean_amount"),
+                                                   F.sum("n_amount").alias("tx_count")),
+        "status_counts": r.agg(total.alias("total"),
+                               F.coalesce(F.sum(F.when(st == "CONFIRMED", F.col("n"))), F.lit(0)).alias("confirmed"),
+                               F.coalesce(F.sum(F.when(st == "PENDING", F.col("n"))), F.lit(0)).alias("pending"),
+                               F.coalesce(F.sum(F.when(st == "FAILED", F.col("n"))), F.lit(0)).alias("failed")),
+        "amount_overview": r.agg(vol.alias("total_volume"), mean.alias("avg_amount"),
+                                 F.max("max_amount").alias("max_amount")),
+        "anomaly_rate": r.agg(F.coalesce(F.sum("n_anomaly"), F.lit(0)).cast("bigint").alias("flagged"),
+                              F.bround(ratio(F.sum("n_anomaly") * 100, total), 4).alias("flagged_pct")),
+        "kpi_summary": r.agg(total.alias("total_transactions"),
+                             F.bround(F.sum("sum_amount"), 4).cast("double").alias("total_volume_btc"),
+                             F.bround(mean, 6).alias("avg_amount"),
+                             F.bround(ratio(F.coalesce(F.sum(F.when(st == "CONFIRMED", F.col("n"))), F.lit(0)) * 100,
+                                            total), 2).alias("confirmed_pct")),
+    }

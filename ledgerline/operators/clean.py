@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null, normalize_address
+from ..session import materialize
 from .median import MAX_RANK_ROWS, group_median
 
 
@@ -48,9 +49,14 @@ def normalize_addresses(df: DataFrame, cols: tuple[str, ...] = ("sender", "recei
 
 
 def clean_transactions(df: DataFrame, max_rank_rows: int = MAX_RANK_ROWS) -> DataFrame:
-    """C1 -> C2 -> C3 -> C4, in the reference's order (the median sees <= 0 amounts)."""
+    """C1 -> C2 -> C3 -> C4, in the reference's order (the median sees <= 0 amounts).
+
+    The deduplicated table is checkpointed: the median reads it in several passes and the
+    imputation joins back to it, and re-running the dedupe shuffle for each would cost more
+    than writing it once to the shared checkpoint folder.
+    """
     df = df.withColumn("amount", nan_to_null("amount"))
-    return (dedupe_first(df)
+    return (materialize(dedupe_first(df))
             .transform(lambda d: impute_median(d, max_rank_rows=max_rank_rows))
             .transform(positive_amounts)
             .transform(normalize_addresses))

@@ -169,7 +169,7 @@ SELECT CAST(row_number() OVER (ORDER BY network) AS INTEGER) AS network_key, net
 FROM (SELECT DISTINCT network FROM validated WHERE network IS NOT NULL)""")
 
 _cte("fact", """
-SELECT CAST(row_number() OVER (ORDER BY v.tx_id) AS BIGINT) AS fact_id, v.tx_id, v.tx_hash, dd.date_key,
+SELECT CAST(v.tx_id AS BIGINT) AS fact_id, v.tx_id, v.tx_hash, dd.date_key,
        s.wallet_key AS sender_key, r.wallet_key AS receiver_key, t.tx_type_key, n.network_key,
        CAST(v.block_id AS INTEGER) AS block_id,
        CAST(v.amount AS DECIMAL(18,8)) AS amount, CAST(v.fee AS DECIMAL(18,8)) AS fee,

@@ -42,6 +42,25 @@ EVENT = StructType([
     StructField("timestamp", StringType(), True),
 ])
 
+# Driver tables read by the ledger views (explicit, so no footer-inference job per read).
+DRIVER_TABLES = {
+    "events": StructType([
+        StructField("event_id", LongType(), True),
+        StructField("ts", TimestampNTZType(), True),
+        StructField("user_id", LongType(), True),
+        StructField("event_type", StringType(), True),
+        StructField("value", DoubleType(), True),
+        StructField("props", StringType(), True),
+    ]),
+    "customer": StructType([
+        StructField("c_custkey", LongType(), True),
+        StructField("c_name", StringType(), True),
+        StructField("c_nationkey", IntegerType(), True),
+        StructField("c_acctbal", DoubleType(), True),
+        StructField("c_mktsegment", StringType(), True),
+    ]),
+}
+
 # Warehouse money types.
 AMOUNT_DECIMAL = DecimalType(18, 8)
 USD_DECIMAL = DecimalType(18, 2)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import hex_address
-from ..schemas import TRANSACTION_COLUMNS
+from ..schemas import DRIVER_TABLES, TRANSACTION_COLUMNS
 from ..session import table_path
 
 # Fixed values of the fixture rules.
@@ -32,7 +32,23 @@ WALLET_HOLE_EVERY = 10          # customers with key % 10 == 9 have no metadata
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    reader = spark.read
+    if name in DRIVER_TABLES:
+        reader = reader.schema(DRIVER_TABLES[name])
+    return reader.parquet(table_path(sf_dir, name))
+
+
+def spread_if_few_splits(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer read splits than task slots.
+
+    A Parquet row group is the smallest read split, so a small single-row-group file is read by
+    one task and every per-row hash below would run on one core. On a cluster reading 100 TB the
+    scan has thousands of splits and this is a no-op.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
 
 
 def ledger_raw0(events: DataFrame) -> DataFrame:
@@ -97,6 +113,6 @@ def ledger_wallets(customer: DataFrame) -> DataFrame:
 
 def load_ledger(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(raw transactions, wallet metadata) for a driver data folder."""
-    events = read_table(spark, sf_dir, "events")
+    events = spread_if_few_splits(read_table(spark, sf_dir, "events"))
     customer = read_table(spark, sf_dir, "customer")
     return ledger_raw(events), ledger_wallets(customer)
