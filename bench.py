@@ -1,6 +1,8 @@
 """Bench: the reference's stages and the star queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
-Prints one JSON line: {"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}.
+Prints one JSON line: {"metric": "ingest_process_report_sec", "value": N, "unit": "sec",
+"queries": {stage: sec, ...}, "total_sec": ..., "sf": ...}. The headline value sums the three
+stages the reference's recorded run timed; the other stages are reported beside it.
 Stage timings include their Parquet/CSV writes, like the reference's log timestamps do; session
 start-up is excluded. Each stage reads the previous stage's written table, as the reference's
 stages do.
@@ -105,8 +107,12 @@ def main() -> None:
     times: dict[str, float] = {}
     run_stages(spark, sf_dir, work_dir(spark, "bench"), times)
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": float(m.group(1)) if m else sf_dir}))
+    # Headline: the stages the reference's recorded run timed (ingest, process, report); the
+    # Spark-job, star-schema and Q1-Q5 timings have no reference counterpart and are listed too.
+    headline = round(times["ingest"] + times["process"] + times["report"], 3)
+    print(json.dumps({"metric": "ingest_process_report_sec", "value": headline, "unit": "sec",
+                      "queries": times, "total_sec": round(sum(times.values()), 3),
+                      "sf": float(m.group(1)) if m else sf_dir}))
     spark.stop()
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import star
 from ..operators.clean import clean_transactions, enrich_with_metadata
 from ..operators.features import add_features
-from ..operators.normalize import flag_anomalies, min_max_scale
+from ..operators.normalize import scale_and_flag
 from ..operators.quality import split_valid
 from ..session import materialize
 from ..sources.ledger_views import load_ledger
@@ -28,8 +28,8 @@ def ingest(raw: DataFrame, wallets: DataFrame) -> DataFrame:
 
 
 def score(valid: DataFrame) -> DataFrame:
-    """N1 then N2/N3 over valid rows only (the reference's order)."""
-    return min_max_scale(valid).transform(flag_anomalies)
+    """N1, N2 and N3 over valid rows only (the reference's order), from one statistics scan."""
+    return scale_and_flag(valid)
 
 
 class Ledger:

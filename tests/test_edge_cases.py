@@ -143,3 +143,12 @@ def test_kpi_rounding(spark):
     df = tx(spark, [{"tx_id": i, "amount": 1.00005, "status": "CONFIRMED" if i < 2 else "FAILED"} for i in range(3)])
     r = A.kpi_summary(df).first()
     assert (r.total_transactions, r.total_volume_btc, r.avg_amount, r.confirmed_pct) == (3, 3.0002, 1.00005, 66.67)
+
+
+def test_scale_and_flag_equals_separate_steps(spark):
+    df = tx(spark, [{"tx_id": i, "amount": float(v)} for i, v in enumerate([1, 2, 3, 4, 100, 5, 6])])
+    from ledgerline.operators.normalize import scale_and_flag
+    a = {r.tx_id: (r.amount_normalized, r.amount_zscore, r.is_anomaly) for r in scale_and_flag(df).collect()}
+    b = {r.tx_id: (r.amount_normalized, r.amount_zscore, r.is_anomaly)
+         for r in flag_anomalies(min_max_scale(df)).collect()}
+    assert a == b
