@@ -49,17 +49,18 @@ def normalize_addresses(df: DataFrame, cols: tuple[str, ...] = ("sender", "recei
 
 
 def clean_transactions(df: DataFrame, max_rank_rows: int = MAX_RANK_ROWS) -> DataFrame:
-    """C1 -> C2 -> C3 -> C4, in the reference's order (the median sees <= 0 amounts).
+    """C1 -> C2 -> C3 (the reference's order: the median sees <= 0 amounts) and C4.
 
+    C4 only rewrites sender/receiver, which C1-C3 never read, so it commutes with them; it runs
+    first, on the map side of the dedupe shuffle, where the scan's tasks do the per-row regex.
     The deduplicated table is checkpointed: the median reads it in several passes and the
     imputation joins back to it, and re-running the dedupe shuffle for each would cost more
     than writing it once to the shared checkpoint folder.
     """
-    df = df.withColumn("amount", nan_to_null("amount"))
+    df = normalize_addresses(df.withColumn("amount", nan_to_null("amount")))
     return (materialize(dedupe_first(df))
             .transform(lambda d: impute_median(d, max_rank_rows=max_rank_rows))
-            .transform(positive_amounts)
-            .transform(normalize_addresses))
+            .transform(positive_amounts))
 
 
 def removed_count(before: DataFrame, after: DataFrame) -> DataFrame:
