@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null, normalize_address
-from ..session import materialize
+from ..session import stage_table
 from .median import MAX_RANK_ROWS, group_median
 
 
@@ -53,12 +53,12 @@ def clean_transactions(df: DataFrame, max_rank_rows: int = MAX_RANK_ROWS) -> Dat
 
     C4 only rewrites sender/receiver, which C1-C3 never read, so it commutes with them; it runs
     first, on the map side of the dedupe shuffle, where the scan's tasks do the per-row regex.
-    The deduplicated table is checkpointed: the median reads it in several passes and the
-    imputation joins back to it, and re-running the dedupe shuffle for each would cost more
-    than writing it once to the shared checkpoint folder.
+    The deduplicated table is written once as a stage table: the median reads two of its
+    columns in several passes and the imputation joins back to it, and re-running the dedupe
+    shuffle for each would cost more than writing it once to the shared checkpoint folder.
     """
     df = normalize_addresses(df.withColumn("amount", nan_to_null("amount")))
-    return (materialize(dedupe_first(df))
+    return (stage_table(dedupe_first(df), "deduped")
             .transform(lambda d: impute_median(d, max_rank_rows=max_rank_rows))
             .transform(positive_amounts))
 

@@ -1,10 +1,11 @@
 """Stage compositions: ingest -> process -> star, as lazy DataFrame functions.
 
 ``Ledger`` holds one run's stage outputs. Stage boundaries that several later jobs read
-(clean, validated) are checkpointed to the shared checkpoint folder, the counterpart of the
-Parquet files the reference writes between stages: later multi-pass operators (median, global
-statistics, distributed ranks) then re-read the stage table instead of recomputing the dedupe
-shuffle, and lost executors do not force a recompute from the raw scan.
+(clean, validated) are written as Parquet stage tables in the shared checkpoint folder, the
+counterpart of the Parquet files the reference writes between stages: later multi-pass
+operators (median, global statistics, distributed ranks) re-read only the columns they need
+instead of recomputing the dedupe shuffle, and lost executors do not force a recompute from
+the raw scan.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from ..operators.clean import clean_transactions, enrich_with_metadata
 from ..operators.features import add_features
 from ..operators.normalize import scale_and_flag
 from ..operators.quality import split_valid
-from ..session import materialize
+from ..session import stage_table
 from ..sources.ledger_views import load_ledger
 
 
@@ -44,12 +45,12 @@ class Ledger:
         self.wallets = wallets
         self._checkpoint = checkpoint
 
-    def _stage(self, df: DataFrame) -> DataFrame:
-        return materialize(df) if self._checkpoint else df
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        return stage_table(df, name) if self._checkpoint else df
 
     @cached_property
     def clean(self) -> DataFrame:
-        return self._stage(ingest(self.raw, self.wallets))
+        return self._stage(ingest(self.raw, self.wallets), "clean")
 
     @cached_property
     def _split(self) -> tuple[DataFrame, DataFrame]:
@@ -57,7 +58,7 @@ class Ledger:
 
     @cached_property
     def validated(self) -> DataFrame:
-        return self._stage(score(self._split[0]))
+        return self._stage(score(self._split[0]), "validated")
 
     @property
     def invalid(self) -> DataFrame:

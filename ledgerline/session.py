@@ -82,5 +82,19 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage at a large stage boundary by writing a Parquet table in the shared
+    checkpoint folder and reading it back.
+
+    Unlike an RDD checkpoint (whole rows), later passes read only the columns they use and get
+    filter pushdown, and Spark sees the table's real size when it decides on broadcasts. Like a
+    checkpoint, the table survives executor loss.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, f"stage-{name}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
