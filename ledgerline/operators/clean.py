@@ -65,9 +65,9 @@ def clean_transactions(df: DataFrame, max_rank_rows: int = MAX_RANK_ROWS) -> Dat
 
 def removed_count(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row (rows_in, rows_out, removed), from two count aggregates."""
-    a = before.agg(F.count(F.lit(1)).alias("rows_in"))
-    b = after.agg(F.count(F.lit(1)).alias("rows_out"))
-    return a.crossJoin(b).select("rows_in", "rows_out", (F.col("rows_in") - F.col("rows_out")).alias("removed"))
+    rows_out = after.agg(F.count(F.lit(1))).scalar()
+    return (before.agg(F.count(F.lit(1)).alias("rows_in"))
+            .select("rows_in", rows_out.alias("rows_out"), (F.col("rows_in") - rows_out).alias("removed")))
 
 
 def enrich_with_metadata(tx: DataFrame, metadata: DataFrame) -> DataFrame:

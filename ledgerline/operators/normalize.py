@@ -1,8 +1,9 @@
 """Scaling and anomaly flags.
 
 Global statistics are computed with one aggregate (partials map-side, a single-row final) and
-attached with a broadcast cross join of that one row; never with an empty ``Window``, which
-would move every row into one task.
+attached as a scalar subquery: the aggregate runs once and its value is read inside the rows'
+whole-stage-codegen projection, with no join. Never an empty ``Window``, which would move every
+row into one task.
 """
 
 from __future__ import annotations
@@ -18,7 +19,12 @@ RAPID_REPEAT_SECONDS = 1.0
 
 
 def _with_global(df: DataFrame, stats: DataFrame) -> DataFrame:
-    return df.crossJoin(F.broadcast(stats))
+    """``df`` plus the columns of the one-row ``stats``, through one scalar subquery."""
+    fields = stats.columns
+    one = stats.select(F.struct(*fields).alias("_g")).scalar()
+    return (df.withColumn("_g", one)
+            .withColumns({f: F.col("_g").getField(f) for f in fields})
+            .drop("_g"))
 
 
 def min_max_scale(df: DataFrame, col: str = "amount", out: str = "amount_normalized") -> DataFrame:

@@ -120,7 +120,7 @@ def stage_metrics(stages: list[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
     """(stage, rows_in, rows_out) from count aggregates of each stage's input and output."""
     rows = []
     for name, before, after in stages:
-        a = before.agg(F.count(F.lit(1)).alias("rows_in"))
-        b = after.agg(F.count(F.lit(1)).alias("rows_out"))
-        rows.append(a.crossJoin(b).select(F.lit(name).alias("stage"), "rows_in", "rows_out"))
+        rows_out = after.agg(F.count(F.lit(1))).scalar()
+        rows.append(before.agg(F.count(F.lit(1)).alias("rows_in"))
+                    .select(F.lit(name).alias("stage"), "rows_in", rows_out.alias("rows_out")))
     return reduce(DataFrame.unionByName, rows)
