@@ -92,8 +92,8 @@ def flag_rapid_repeats(df: DataFrame, seconds: float = RAPID_REPEAT_SECONDS,
     Rows without a timestamp are never flagged.
     """
     pair = ["sender", "receiver"]
-    ts = F.col("timestamp")
-    epoch = F.unix_micros(ts.cast("timestamp"))
+    # micros since the epoch of the wall-clock (NTZ) value: no session time zone, no DST shifts
+    epoch = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `timestamp`)")
     timed = (df.withColumn("_t", epoch)
              .withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_seconds * 1_000_000))))
     has_t = timed.where(F.col("_t").isNotNull())

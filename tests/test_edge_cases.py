@@ -152,3 +152,16 @@ def test_scale_and_flag_equals_separate_steps(spark):
     b = {r.tx_id: (r.amount_normalized, r.amount_zscore, r.is_anomaly)
          for r in flag_anomalies(min_max_scale(df)).collect()}
     assert a == b
+
+
+def test_rapid_repeat_ignores_session_time_zone(spark):
+    # 2024-03-10 02:30 does not exist in New York; gaps must still come from wall-clock values
+    rows = [{"tx_id": 1, "timestamp": dt.datetime(2024, 3, 10, 1, 59, 59, 900000)},
+            {"tx_id": 2, "timestamp": dt.datetime(2024, 3, 10, 3, 0, 0, 100000)}]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = {r.tx_id: r.gap_seconds for r in flag_rapid_repeats(tx(spark, rows), seconds=1.0).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == {1: None, 2: 3600.2}
