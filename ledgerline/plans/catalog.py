@@ -8,6 +8,7 @@ on DECIMAL and need no rounding.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +45,19 @@ def _raw(spark, sf_dir):
     return load_ledger(spark, sf_dir)[0]
 
 
+_LEDGERS: dict[tuple[str, str], Ledger] = {}
+
+
+def _ledger(spark: SparkSession, sf_dir: str) -> Ledger:
+    """One ``Ledger`` per Spark application and data folder: the registered queries of a run
+    share the stage tables (clean, validated, star) built from the same whole tables, instead
+    of rebuilding them per query. Stage tables live in that application's checkpoint folder."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _LEDGERS:
+        _LEDGERS[key] = Ledger(spark, sf_dir)
+    return _LEDGERS[key]
+
+
 RAW_COLS = "tx_id, tx_hash, block_id, sender, receiver, amount, fee, tx_type, status, \"timestamp\", network"
 
 # ---- views and sources -----------------------------------------------------------------------
@@ -84,7 +98,7 @@ CLEAN_COLS = ("tx_id, tx_hash, block_id, sender, receiver, amount, fee, tx_type,
 def q_k1(spark, sf_dir):
     """K1 + S3: the clean table written as Parquet and scanned back."""
     path = work_dir(spark, "k1-clean")
-    io.write_parquet(Ledger(spark, sf_dir).clean, path)
+    io.write_parquet(_ledger(spark, sf_dir).clean, path)
     return io.read_parquet(spark, path).select(*[c.strip().strip('"') for c in CLEAN_COLS.split(",")])
 
 
@@ -96,7 +110,7 @@ def q_k2(spark, sf_dir):
     """K2 + W1: ranked clean rows written partitioned by network; reading one network back
     prunes the other partition."""
     path = work_dir(spark, "k2-ranked")
-    ranked = rank_in_network(Ledger(spark, sf_dir).clean)
+    ranked = rank_in_network(_ledger(spark, sf_dir).clean)
     io.write_partitioned(ranked.select("tx_id", "amount", "rank_in_network", "network"), path)
     return io.read_parquet(spark, path).where(F.col("network") == "testnet")
 
@@ -116,7 +130,7 @@ KPI_SCHEMA = StructType([StructField("total_transactions", LongType()), StructFi
 def q_k3(spark, sf_dir):
     """K3: the KPI row written as one CSV file with header, read back."""
     path = work_dir(spark, "k3-report")
-    io.write_report_csv(A.kpi_summary(Ledger(spark, sf_dir).validated), path)
+    io.write_report_csv(A.kpi_summary(_ledger(spark, sf_dir).validated), path)
     return io.read_report_csv(spark, path, KPI_SCHEMA)
 
 
@@ -125,7 +139,7 @@ def q_k7(spark, sf_dir):
     """K6 + K7: create-if-absent, then load the validated table twice; the second load adds
     nothing."""
     path = work_dir(spark, "k7-warehouse")
-    rows = Ledger(spark, sf_dir).validated.select("tx_id", "tx_hash", "amount", "status")
+    rows = _ledger(spark, sf_dir).validated.select("tx_id", "tx_hash", "amount", "status")
     io.create_table_like(rows, path)
     io.append_new(rows, path)
     io.append_new(rows, path)
@@ -183,7 +197,7 @@ def q_j1(spark, sf_dir):
 SELECT tx_id, amount_usd, fee_pct, is_large_tx, hour_of_day, day_of_week, round(amount_log, 8) AS amount_log
 FROM features""")
 def q_features(spark, sf_dir):
-    return Ledger(spark, sf_dir).clean.select(
+    return _ledger(spark, sf_dir).clean.select(
         "tx_id", "amount_usd", "fee_pct", "is_large_tx", "hour_of_day", "day_of_week",
         F.round("amount_log", 8).alias("amount_log"))
 
@@ -192,7 +206,7 @@ def q_features(spark, sf_dir):
 SELECT tx_id, '0x' || sha256(concat_ws('', sender, receiver, CAST(tx_id AS VARCHAR))) AS computed_hash
 FROM features""")
 def q_f7(spark, sf_dir):
-    return (FE.with_tx_hash(Ledger(spark, sf_dir).clean, parts=("sender", "receiver", "tx_id"), out="computed_hash")
+    return (FE.with_tx_hash(_ledger(spark, sf_dir).clean, parts=("sender", "receiver", "tx_id"), out="computed_hash")
             .select("tx_id", "computed_hash"))
 
 
@@ -215,7 +229,7 @@ SELECT CAST(count_if(NOT _r1) AS BIGINT) AS fail_amount, CAST(count_if(NOT _r2)
        CAST(count_if(NOT (_r1 AND _r2 AND _r3 AND _r4)) AS BIGINT) AS invalid
 FROM rules""")
 def q_v_rules(spark, sf_dir):
-    tagged = V.with_rules(Ledger(spark, sf_dir).clean)
+    tagged = V.with_rules(_ledger(spark, sf_dir).clean)
     r = V.rule_columns()
     return tagged.agg(
         F.count_if(~r["amount_positive"]).cast("bigint").alias("fail_amount"),
@@ -228,13 +242,13 @@ def q_v_rules(spark, sf_dir):
 
 @register("v5_valid", "SELECT tx_id, tx_hash, sender, receiver, amount, status FROM valid0")
 def q_v5_valid(spark, sf_dir):
-    valid, _ = V.split_valid(Ledger(spark, sf_dir).clean)
+    valid, _ = V.split_valid(_ledger(spark, sf_dir).clean)
     return valid.select("tx_id", "tx_hash", "sender", "receiver", "amount", "status")
 
 
 @register("v5_quarantine", "SELECT tx_id, failed_rules FROM invalid")
 def q_v5_invalid(spark, sf_dir):
-    return Ledger(spark, sf_dir).invalid.select("tx_id", "failed_rules")
+    return _ledger(spark, sf_dir).invalid.select("tx_id", "failed_rules")
 
 
 def _star_tables(L: Ledger) -> dict[str, DataFrame]:
@@ -254,7 +268,7 @@ NOT_NULL = [("fact_transactions", "fact", "tx_hash"), ("dim_date", "dim_date", "
     f"SELECT '{t}' AS table_name, 'NOT NULL' AS constraint_type, '{c}' AS column_name, "
     f"CAST(count_if({c} IS NULL) AS BIGINT) AS violations FROM {cte}" for t, cte, c in NOT_NULL))
 def q_v6(spark, sf_dir):
-    tables = _star_tables(Ledger(spark, sf_dir))
+    tables = _star_tables(_ledger(spark, sf_dir))
     parts = [V.audit_not_null(tables[t], t, [c]) for t, _, c in NOT_NULL]
     out = parts[0]
     for p in parts[1:]:
@@ -277,7 +291,7 @@ UNIQUE = [("fact_transactions", "fact", "fact_id", "PRIMARY KEY"), ("dim_date",
     f"CAST(coalesce(sum(_n), 0) AS BIGINT) AS violations FROM (SELECT {c}, count(*) AS _n FROM {cte} "
     f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)" for t, cte, c, k in UNIQUE))
 def q_v7(spark, sf_dir):
-    tables = _star_tables(Ledger(spark, sf_dir))
+    tables = _star_tables(_ledger(spark, sf_dir))
     parts = [V.audit_unique(tables[t], t, c, k) for t, _, c, k in UNIQUE]
     out = parts[0]
     for p in parts[1:]:
@@ -300,7 +314,7 @@ FOREIGN = [("fact_transactions", "fact", "date_key", "dim_date", "dim_date", "da
     f"CAST(count(*) AS BIGINT) AS violations FROM {cte} c WHERE c.{fk} IS NOT NULL AND NOT EXISTS "
     f"(SELECT 1 FROM {pcte} p WHERE p.{pk} = c.{fk})" for t, cte, fk, _, pcte, pk in FOREIGN))
 def q_v8(spark, sf_dir):
-    tables = _star_tables(Ledger(spark, sf_dir))
+    tables = _star_tables(_ledger(spark, sf_dir))
     parts = [V.audit_foreign_key(tables[t], t, fk, tables[pt], pk) for t, _, fk, pt, _, pk in FOREIGN]
     out = parts[0]
     for p in parts[1:]:
@@ -312,13 +326,13 @@ def q_v8(spark, sf_dir):
 SELECT 'transactions' AS table_name, 'CHECK (amount > 0)' AS constraint_type, 'amount' AS column_name,
        CAST(count_if(NOT (amount > 0)) AS BIGINT) AS violations FROM transactions_3nf""")
 def q_v9(spark, sf_dir):
-    return V.audit_check_positive(Ledger(spark, sf_dir).transactions_3nf, "transactions", "amount")
+    return V.audit_check_positive(_ledger(spark, sf_dir).transactions_3nf, "transactions", "amount")
 
 
 @register("v10_defaults", """
 SELECT wallet_address, kyc_verified, CAST(risk_score AS DOUBLE) AS risk_score FROM wallets_3nf""")
 def q_v10(spark, sf_dir):
-    w = Ledger(spark, sf_dir).wallets_3nf
+    w = _ledger(spark, sf_dir).wallets_3nf
     return w.select("wallet_address", "kyc_verified", F.col("risk_score").cast("double").alias("risk_score"))
 
 
@@ -326,7 +340,7 @@ def q_v10(spark, sf_dir):
 SELECT count(*) AS total, CAST(count_if(amount <= 0) AS BIGINT) AS bad_amount,
        CAST(count_if(tx_hash IS NULL) AS BIGINT) AS null_hash FROM validated""")
 def q_v11(spark, sf_dir):
-    validated = Ledger(spark, sf_dir).validated
+    validated = _ledger(spark, sf_dir).validated
     V.assert_quality(validated)
     return V.quality_counts(validated)
 
@@ -337,7 +351,7 @@ UNION ALL SELECT 'clean', (SELECT count(*) FROM ledger_raw), (SELECT count(*) FR
 UNION ALL SELECT 'validate', (SELECT count(*) FROM features), (SELECT count(*) FROM valid0)
 UNION ALL SELECT 'quarantine', (SELECT count(*) FROM features), (SELECT count(*) FROM invalid)""")
 def q_m1(spark, sf_dir):
-    L = Ledger(spark, sf_dir)
+    L = _ledger(spark, sf_dir)
     return V.stage_metrics([("dedupe", L.raw, C.dedupe_first(L.raw)), ("clean", L.raw, L.clean),
                             ("validate", L.clean, L.validated), ("quarantine", L.clean, L.invalid)])
 
@@ -346,17 +360,17 @@ def q_m1(spark, sf_dir):
 
 @register("n1_min_max", "SELECT tx_id, round(amount_normalized, 8) AS amount_normalized FROM validated")
 def q_n1(spark, sf_dir):
-    return Ledger(spark, sf_dir).validated.select("tx_id", F.round("amount_normalized", 8).alias("amount_normalized"))
+    return _ledger(spark, sf_dir).validated.select("tx_id", F.round("amount_normalized", 8).alias("amount_normalized"))
 
 
 @register("n2_zscore", "SELECT tx_id, round(amount_zscore, 6) AS amount_zscore FROM validated")
 def q_n2(spark, sf_dir):
-    return Ledger(spark, sf_dir).validated.select("tx_id", F.round("amount_zscore", 6).alias("amount_zscore"))
+    return _ledger(spark, sf_dir).validated.select("tx_id", F.round("amount_zscore", 6).alias("amount_zscore"))
 
 
 @register("n3_anomalies", "SELECT tx_id, amount, is_anomaly FROM validated WHERE is_anomaly = 1")
 def q_n3(spark, sf_dir):
-    return Ledger(spark, sf_dir).validated.where(F.col("is_anomaly") == 1).select("tx_id", "amount", "is_anomaly")
+    return _ledger(spark, sf_dir).validated.where(F.col("is_anomaly") == 1).select("tx_id", "amount", "is_anomaly")
 
 
 @register("n4_failed_rate_flag", """
@@ -364,7 +378,7 @@ SELECT v.tx_id, v.sender, CAST(w.failed_rate IS NOT NULL AS INTEGER) AS high_fai
 FROM validated v LEFT JOIN (SELECT wallet_address, failed_rate FROM wallet_stats WHERE failed_rate > 0.2) w
   ON v.sender = w.wallet_address""")
 def q_n4(spark, sf_dir):
-    return N.flag_failed_rate(Ledger(spark, sf_dir).validated).select("tx_id", "sender", "high_failed_rate")
+    return N.flag_failed_rate(_ledger(spark, sf_dir).validated).select("tx_id", "sender", "high_failed_rate")
 
 
 @register("n5_rapid_repeat_1d", """
@@ -376,7 +390,7 @@ SELECT tx_id, sender, receiver, gap_seconds FROM (
   FROM validated WHERE "timestamp" IS NOT NULL)
 WHERE gap_seconds < 86400""")
 def q_n5(spark, sf_dir):
-    flagged = N.flag_rapid_repeats(Ledger(spark, sf_dir).validated, seconds=86400.0)
+    flagged = N.flag_rapid_repeats(_ledger(spark, sf_dir).validated, seconds=86400.0)
     return flagged.where(F.col("is_rapid_repeat") == 1).select("tx_id", "sender", "receiver", "gap_seconds")
 
 
@@ -384,7 +398,7 @@ def q_n5(spark, sf_dir):
 
 @register("a1_wallet_stats", "SELECT * FROM wallet_stats")
 def q_a1(spark, sf_dir):
-    return A.wallet_stats(Ledger(spark, sf_dir).validated)
+    return A.wallet_stats(_ledger(spark, sf_dir).validated)
 
 
 @register("a2_daily_stats", """
@@ -393,7 +407,7 @@ SELECT CAST("timestamp" AS DATE) AS date, CAST(sum(CAST(amount AS DECIMAL(18,8))
        CAST(sum(CAST(fee AS DECIMAL(18,8))) AS DOUBLE) / count(fee) AS avg_fee
 FROM validated WHERE "timestamp" IS NOT NULL GROUP BY CAST("timestamp" AS DATE)""")
 def q_a2(spark, sf_dir):
-    return A.daily_stats(Ledger(spark, sf_dir).validated)
+    return A.daily_stats(_ledger(spark, sf_dir).validated)
 
 
 @register("a3_daily_network_volume", """
@@ -401,7 +415,7 @@ SELECT CAST("timestamp" AS DATE) AS date, network, CAST(sum(CAST(amount AS DECIM
        count(tx_id) AS tx_count, CAST(sum(CAST(fee AS DECIMAL(18,8))) AS DOUBLE) / count(fee) AS avg_fee
 FROM clean GROUP BY CAST("timestamp" AS DATE), network""")
 def q_a3(spark, sf_dir):
-    return A.daily_network_volume(Ledger(spark, sf_dir).clean)
+    return A.daily_network_volume(_ledger(spark, sf_dir).clean)
 
 
 TOP_SQL = """
@@ -414,25 +428,25 @@ FROM clean WHERE status = 'CONFIRMED' GROUP BY sender ORDER BY total_amount DESC
 @register("a4_top_senders", TOP_SQL.format(n=20))
 def q_a4(spark, sf_dir):
     """A4/L1/L2: top 20 senders of the clean table (the Spark job reads clean, not validated)."""
-    return A.top_senders(Ledger(spark, sf_dir).clean)
+    return A.top_senders(_ledger(spark, sf_dir).clean)
 
 
 @register("a5_top_amount_by_sender", f"SELECT sender, total_amount FROM ({TOP_SQL.format(n=20)})")
 def q_a5(spark, sf_dir):
-    return A.top_amount_by_sender(Ledger(spark, sf_dir).clean)
+    return A.top_amount_by_sender(_ledger(spark, sf_dir).clean)
 
 
 @register("l3_head_preview", TOP_SQL.format(n=5))
 def q_l3(spark, sf_dir):
     """L3: the first five rows of the ordered top-senders result."""
-    return A.top_senders(Ledger(spark, sf_dir).clean).limit(5)
+    return A.top_senders(_ledger(spark, sf_dir).clean).limit(5)
 
 
 @register("a6_volume_by_network", """
 SELECT network, CAST(sum(CAST(amount AS DECIMAL(18,8))) AS DOUBLE) AS volume, count(amount) AS tx_count
 FROM validated GROUP BY network""")
 def q_a6(spark, sf_dir):
-    return A.volume_by_network(Ledger(spark, sf_dir).validated)
+    return A.volume_by_network(_ledger(spark, sf_dir).validated)
 
 
 @register("a7_volume_by_type", """
@@ -440,7 +454,7 @@ SELECT tx_type, CAST(sum(CAST(amount AS DECIMAL(18,8))) AS DOUBLE) AS volume,
        CAST(sum(CAST(amount AS DECIMAL(18,8))) AS DOUBLE) / count(amount) AS mean_amount, count(amount) AS tx_count
 FROM validated GROUP BY tx_type""")
 def q_a7(spark, sf_dir):
-    return A.volume_by_type(Ledger(spark, sf_dir).validated)
+    return A.volume_by_type(_ledger(spark, sf_dir).validated)
 
 
 @register("a8_status_counts", """
@@ -448,7 +462,7 @@ SELECT count(*) AS total, CAST(count_if(status = 'CONFIRMED') AS BIGINT) AS conf
        CAST(count_if(status = 'PENDING') AS BIGINT) AS pending, CAST(count_if(status = 'FAILED') AS BIGINT) AS failed
 FROM validated""")
 def q_a8(spark, sf_dir):
-    return A.status_counts(Ledger(spark, sf_dir).validated)
+    return A.status_counts(_ledger(spark, sf_dir).validated)
 
 
 @register("a9_amount_overview", """
@@ -456,24 +470,24 @@ SELECT CAST(sum(CAST(amount AS DECIMAL(18,8))) AS DOUBLE) AS total_volume,
        CAST(sum(CAST(amount AS DECIMAL(18,8))) AS DOUBLE) / count(amount) AS avg_amount, max(amount) AS max_amount
 FROM validated""")
 def q_a9(spark, sf_dir):
-    return A.amount_overview(Ledger(spark, sf_dir).validated)
+    return A.amount_overview(_ledger(spark, sf_dir).validated)
 
 
 @register("a10_anomaly_rate", """
 SELECT CAST(coalesce(sum(is_anomaly), 0) AS BIGINT) AS flagged,
        round_even(CAST(sum(is_anomaly) * 100 AS DOUBLE) / count(*), 4) AS flagged_pct FROM validated""")
 def q_a10(spark, sf_dir):
-    return A.anomaly_rate(Ledger(spark, sf_dir).validated)
+    return A.anomaly_rate(_ledger(spark, sf_dir).validated)
 
 
 @register("a11_kpi_summary", KPI_SQL)
 def q_a11(spark, sf_dir):
-    return A.kpi_summary(Ledger(spark, sf_dir).validated)
+    return A.kpi_summary(_ledger(spark, sf_dir).validated)
 
 
 @register("a12_row_count", "SELECT count(*) AS row_count FROM validated")
 def q_a12(spark, sf_dir):
-    return A.row_count(Ledger(spark, sf_dir).validated)
+    return A.row_count(_ledger(spark, sf_dir).validated)
 
 
 # ---- windows (W1, W5; W2-W4 are in Q3/Q5) ----------------------------------------------------
@@ -483,7 +497,7 @@ SELECT tx_id, network, amount,
        CAST(rank() OVER (PARTITION BY network ORDER BY amount DESC NULLS LAST) AS BIGINT) AS rank_in_network
 FROM clean""")
 def q_w1(spark, sf_dir):
-    return rank_in_network(Ledger(spark, sf_dir).clean).select("tx_id", "network", "amount", "rank_in_network")
+    return rank_in_network(_ledger(spark, sf_dir).clean).select("tx_id", "network", "amount", "rank_in_network")
 
 
 @register("w5_group_median_column", """
@@ -497,25 +511,25 @@ def q_w5(spark, sf_dir):
 
 @register("d1_dim_date", "SELECT * FROM dim_date")
 def q_d1(spark, sf_dir):
-    return Ledger(spark, sf_dir).dim_date
+    return _ledger(spark, sf_dir).dim_date
 
 
 @register("d2_dim_wallet", """
 SELECT wallet_key, wallet_address, kyc_verified, country_code, CAST(risk_score AS DOUBLE) AS risk_score
 FROM dim_wallet""")
 def q_d2(spark, sf_dir):
-    return Ledger(spark, sf_dir).dim_wallet.select("wallet_key", "wallet_address", "kyc_verified", "country_code",
+    return _ledger(spark, sf_dir).dim_wallet.select("wallet_key", "wallet_address", "kyc_verified", "country_code",
                                                    F.col("risk_score").cast("double").alias("risk_score"))
 
 
 @register("d3_dim_tx_type", "SELECT * FROM dim_tx_type")
 def q_d3(spark, sf_dir):
-    return Ledger(spark, sf_dir).dim_tx_type
+    return _ledger(spark, sf_dir).dim_tx_type
 
 
 @register("d4_dim_network", "SELECT * FROM dim_network")
 def q_d4(spark, sf_dir):
-    return Ledger(spark, sf_dir).dim_network
+    return _ledger(spark, sf_dir).dim_network
 
 
 FACT_OUT = ("fact_id", "tx_id", "tx_hash", "date_key", "sender_key", "receiver_key", "tx_type_key", "network_key",
@@ -528,7 +542,7 @@ SELECT fact_id, tx_id, tx_hash, date_key, sender_key, receiver_key, tx_type_key,
        is_anomaly, status
 FROM fact""")
 def q_d5(spark, sf_dir):
-    f = Ledger(spark, sf_dir).fact
+    f = _ledger(spark, sf_dir).fact
     return f.select(*[F.col(c).cast("double").alias(c) if c in ("amount", "fee", "amount_usd") else c
                       for c in FACT_OUT])
 
@@ -537,21 +551,21 @@ def q_d5(spark, sf_dir):
 SELECT wallet_id, wallet_address, kyc_verified, country_code, CAST(risk_score AS DOUBLE) AS risk_score, created_at
 FROM wallets_3nf""")
 def q_o1(spark, sf_dir):
-    w = Ledger(spark, sf_dir).wallets_3nf
+    w = _ledger(spark, sf_dir).wallets_3nf
     return w.withColumn("risk_score", F.col("risk_score").cast("double"))
 
 
 @register("o2_blocks", """
 SELECT block_id, block_hash, miner_address, CAST(reward AS DOUBLE) AS reward, tx_count, created_at FROM blocks_3nf""")
 def q_o2(spark, sf_dir):
-    return Ledger(spark, sf_dir).blocks_3nf.withColumn("reward", F.col("reward").cast("double"))
+    return _ledger(spark, sf_dir).blocks_3nf.withColumn("reward", F.col("reward").cast("double"))
 
 
 @register("o3_transactions", """
 SELECT tx_id, tx_hash, block_id, sender_id, receiver_id, CAST(amount AS DOUBLE) AS amount,
        CAST(fee AS DOUBLE) AS fee, tx_type, status, network, created_at FROM transactions_3nf""")
 def q_o3(spark, sf_dir):
-    t = Ledger(spark, sf_dir).transactions_3nf
+    t = _ledger(spark, sf_dir).transactions_3nf
     return t.withColumns({"amount": F.col("amount").cast("double"), "fee": F.col("fee").cast("double")})
 
 
@@ -563,7 +577,7 @@ SELECT d.full_date, count(*) AS tx_count, CAST(sum(f.amount) AS DOUBLE) AS total
 FROM fact f JOIN dim_date d ON f.date_key = d.date_key
 WHERE f.status = 'CONFIRMED' GROUP BY d.full_date ORDER BY d.full_date""")
 def q_q1(spark, sf_dir):
-    L = Ledger(spark, sf_dir)
+    L = _ledger(spark, sf_dir)
     return Q.q1_confirmed_per_day(L.fact, L.dim_date)
 
 
@@ -574,7 +588,7 @@ FROM fact f JOIN dim_wallet w ON f.sender_key = w.wallet_key
 WHERE f.status = 'CONFIRMED' GROUP BY w.wallet_address, w.country_code
 ORDER BY total_sent DESC, w.wallet_address ASC LIMIT 10""")
 def q_q2(spark, sf_dir):
-    L = Ledger(spark, sf_dir)
+    L = _ledger(spark, sf_dir)
     return Q.q2_top_wallets(L.fact, L.dim_wallet)
 
 
@@ -586,7 +600,7 @@ SELECT d.full_date, n.network, CAST(sum(f.amount) AS DOUBLE) AS daily_volume,
 FROM fact f JOIN dim_date d ON f.date_key = d.date_key JOIN dim_network n ON f.network_key = n.network_key
 GROUP BY d.full_date, n.network ORDER BY n.network, d.full_date""")
 def q_q3(spark, sf_dir):
-    L = Ledger(spark, sf_dir)
+    L = _ledger(spark, sf_dir)
     return Q.q3_running_volume(L.fact, L.dim_date, L.dim_network)
 
 
@@ -596,7 +610,7 @@ FROM fact f JOIN dim_wallet w ON f.sender_key = w.wallet_key
 WHERE w.wallet_key IN (SELECT wallet_key FROM dim_wallet WHERE risk_score > 7.0) AND f.status != 'FAILED'
 ORDER BY w.risk_score DESC, f.amount DESC""")
 def q_q4(spark, sf_dir):
-    L = Ledger(spark, sf_dir)
+    L = _ledger(spark, sf_dir)
     return Q.q4_high_risk_senders(L.fact, L.dim_wallet)
 
 
@@ -612,14 +626,14 @@ WHERE prev_day_count IS NOT NULL AND daily_tx_count > prev_day_count * 3 ORDER B
 
 @register("q5_daily_spike", Q5_ORACLE)
 def q_q5(spark, sf_dir):
-    L = Ledger(spark, sf_dir)
+    L = _ledger(spark, sf_dir)
     return Q.q5_daily_spike(L.fact, L.dim_date)
 
 
 @register("q5_daily_spike_sql", Q5_ORACLE)
 def q_q5_sql(spark, sf_dir):
     """Q5 as Spark SQL text with a CTE chain over temp views."""
-    L = Ledger(spark, sf_dir)
+    L = _ledger(spark, sf_dir)
     return Q.q5_daily_spike_sql(L.fact, L.dim_date)
 
 
