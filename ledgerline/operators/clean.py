@@ -29,8 +29,9 @@ def impute_median(df: DataFrame, value: str = "amount", by: str = "tx_type",
                   max_rank_rows: int = MAX_RANK_ROWS) -> DataFrame:
     """Fill NULL ``value`` with the exact median of its ``by`` group (nulls skipped).
 
-    The median table has one row per group; it is joined back with a plain equi-join, so Spark's
-    size check decides on broadcasting it (rows with a NULL group find no median).
+    The median table has one row per group and comes back broadcast-hinted when its checked group
+    count is small, so the rows are never shuffled by the (low-cardinality) group key; rows with a
+    NULL group find no median.
     """
     medians = group_median(df, [by], value, out="_median", max_rank_rows=max_rank_rows)
     return (df.join(medians, by, "left")

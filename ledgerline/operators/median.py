@@ -31,26 +31,30 @@ from ..session import materialize
 MAX_RANK_ROWS = 1_000_000
 BUCKETS = 4096
 MAX_ROUNDS = 6
+# The per-group state and the result have one row per group: broadcast them when the checked
+# group count is at most this, so the data side is never shuffled by a low-cardinality key.
+MAX_BROADCAST_GROUPS = 200_000
 
 
-def _candidates(base: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
+def _candidates(base: DataFrame, state: DataFrame, by: list[str], small: bool) -> DataFrame:
     x = F.col("_x")
-    return (base.join(state, by)
+    return (base.join(F.broadcast(state) if small else state, by)
             .where((F.col("_lo") < F.col("_hi")) & (x >= F.col("_lo")) & (x <= F.col("_hi"))))
 
 
-def _largest_open(state: DataFrame) -> int:
-    row = state.where(F.col("_lo") < F.col("_hi")).agg(F.max("_m")).first()
-    return int(row[0] or 0)
+def _open_stats(state: DataFrame) -> tuple[int, int]:
+    """(largest candidate count of an open group, number of groups): one tiny job."""
+    row = state.agg(F.max(F.when(F.col("_lo") < F.col("_hi"), F.col("_m"))), F.count(F.lit(1))).first()
+    return int(row[0] or 0), int(row[1] or 0)
 
 
-def _refine(base: DataFrame, state: DataFrame, by: list[str], buckets: int) -> DataFrame:
+def _refine(base: DataFrame, state: DataFrame, by: list[str], buckets: int, small: bool) -> DataFrame:
     """One histogram round over the open groups; closed groups pass through unchanged."""
     x, lo, hi = F.col("_x"), F.col("_lo"), F.col("_hi")
     # halves keep x - lo finite for values near the double range
     frac = F.coalesce(F.try_divide(x * 0.5 - lo * 0.5, hi * 0.5 - lo * 0.5), F.lit(0.0))
     bucket = F.least(F.floor(frac * F.lit(float(buckets))).cast("bigint"), F.lit(buckets - 1))
-    hist = (_candidates(base, state, by)
+    hist = (_candidates(base, state, by, small)
             .withColumn("_b", bucket)
             .groupBy(*by, "_b")
             .agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_bmin"), F.max("_x").alias("_bmax")))
@@ -87,17 +91,22 @@ def group_median(df: DataFrame, by: list[str], value: str, out: str = "median",
              .select(*by, F.floor((n - 1) / 2).cast("bigint").alias("_k1"), F.floor(n / 2).cast("bigint").alias("_k2"),
                      "_lo", "_hi", F.lit(0).cast("bigint").alias("_off"), n.alias("_m")))
     state = materialize(state)
+    largest, groups = _open_stats(state)
+    small = groups <= MAX_BROADCAST_GROUPS
     rounds = 0
-    while _largest_open(state) > max_rank_rows and rounds < max_rounds:
-        state = materialize(_refine(base, state, by, buckets))
+    while largest > max_rank_rows and rounds < max_rounds:
+        state = materialize(_refine(base, state, by, buckets, small))
+        largest, _ = _open_stats(state)
         rounds += 1
 
     # groups whose interval is one value are answered by it; others rank their candidates
     closed = state.where(~(F.col("_lo") < F.col("_hi"))).select(*by, F.col("_lo").alias(out))
-    ranked = (_candidates(base, state, by)
+    ranked = (_candidates(base, state, by, small)
               .withColumn("_pos", F.row_number().over(Window.partitionBy(*by).orderBy("_x")) - 1 + F.col("_off")))
     picked = (ranked.where((F.col("_pos") == F.col("_k1")) | (F.col("_pos") == F.col("_k2")))
               .groupBy(*by)
               .agg(((F.max(F.when(F.col("_pos") == F.col("_k1"), F.col("_x")))
                      + F.max(F.when(F.col("_pos") == F.col("_k2"), F.col("_x")))) / F.lit(2.0)).alias(out)))
-    return closed.unionByName(picked)
+    result = closed.unionByName(picked)
+    # one row per group; with a checked small group count, joins against it stay map-side
+    return F.broadcast(result) if small else result

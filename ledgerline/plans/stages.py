@@ -71,7 +71,8 @@ class Ledger:
 
     @cached_property
     def dim_wallet(self) -> DataFrame:
-        return star.dim_wallet(self.validated, self.wallets)
+        # a stage table, so Spark sees its real size when it plans the fact's wallet joins
+        return self._stage(star.dim_wallet(self.validated, self.wallets), "dim_wallet")
 
     @cached_property
     def dim_tx_type(self) -> DataFrame:
