@@ -106,7 +106,10 @@ def flag_rapid_repeats(df: DataFrame, seconds: float = RAPID_REPEAT_SECONDS,
                       .select(*pair, "_b", "_prev_bucket_max"))
     w = Window.partitionBy(*pair, "_b").orderBy("_t", "tx_id")
     local = has_t.withColumn("_prev_t", F.lag("_t").over(w))
-    joined = (local.join(last_of_bucket, [*pair, "_b"], "left")
+    # null-safe keys: as in SQL's window, a NULL sender or receiver still forms one pair
+    lob = last_of_bucket.select(*[F.col(c).alias(f"_k_{c}") for c in [*pair, "_b"]], "_prev_bucket_max")
+    cond = [local[c].eqNullSafe(lob[f"_k_{c}"]) for c in [*pair, "_b"]]
+    joined = (local.join(lob, cond, "left")
               .withColumn("_prev_t", F.coalesce(F.col("_prev_t"), F.col("_prev_bucket_max"))))
     gap = (F.col("_t") - F.col("_prev_t")) / F.lit(1_000_000.0)
     flagged = joined.withColumn("gap_seconds", gap).withColumn(

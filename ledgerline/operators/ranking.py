@@ -52,7 +52,11 @@ def _before_counts(values: DataFrame, part: list[str], value: str, descending: b
     in_range = (Window.partitionBy(*part, "_range").orderBy(_order_expr(value, descending))
                 .rowsBetween(Window.unboundedPreceding, -1))
     local = ranged.withColumn("_local", F.coalesce(F.sum("_w").over(in_range), F.lit(0)))
-    return (local.join(offsets, [*part, "_range"])
+    # null-safe on the partition columns: a NULL partition is a partition of its own
+    offsets = offsets.select(*[F.col(p).alias(f"_o_{p}") for p in part], F.col("_range").alias("_o_range"),
+                             "_offset")
+    cond = [local[p].eqNullSafe(offsets[f"_o_{p}"]) for p in part] + [local["_range"] == offsets["_o_range"]]
+    return (local.join(offsets, cond)
             .select(*values.columns, (F.col("_offset") + F.col("_local")).cast("bigint").alias("_before")))
 
 

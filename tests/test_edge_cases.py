@@ -165,3 +165,11 @@ def test_rapid_repeat_ignores_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == {1: None, 2: 3600.2}
+
+
+def test_rapid_repeat_null_receiver_pair(spark):
+    t = dt.datetime(2024, 1, 1, 10, 0, 59, 800000)
+    rows = [{"tx_id": 1, "receiver": None, "timestamp": t},
+            {"tx_id": 2, "receiver": None, "timestamp": t + dt.timedelta(milliseconds=300)}]
+    got = {r.tx_id: r.is_rapid_repeat for r in flag_rapid_repeats(tx(spark, rows), seconds=1.0).collect()}
+    assert got == {1: 0, 2: 1}

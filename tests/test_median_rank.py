@@ -77,3 +77,24 @@ def test_surrogate_keys_dense(spark):
     df = spark.createDataFrame([(k,) for k in keys], "k string")
     got = {r["k"]: r["id"] for r in surrogate_keys(df, "k", "id", num_ranges=5).collect()}
     assert got == {k: i + 1 for i, k in enumerate(sorted(keys))}
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["mainnet", "testnet", None]),
+                          st.one_of(st.none(), st.sampled_from([0.0, 1.5, 2.5, 9.0]),
+                                    st.floats(-1e3, 1e3, allow_nan=False))), min_size=1, max_size=80),
+       st.integers(1, 6), st.booleans())
+def test_rank_property(spark, rows, num_ranges, descending):
+    data = [(i, p, v) for i, (p, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id long, p string, v double")
+    got = {r["id"]: r["rk"] for r in rank_by_value(df, ["p"], "v", "rk", descending=descending,
+                                                    num_ranges=num_ranges).collect()}
+    pdf = pd.DataFrame(data, columns=["id", "p", "v"])
+    pdf["p"] = pdf["p"].fillna("<null>")   # a NULL partition is a partition of its own
+    pdf["key"] = pdf["v"].fillna(-math.inf if descending else math.inf)   # nulls last
+    pdf["rk"] = pdf.groupby("p")["key"].rank(method="min", ascending=not descending).astype(int)
+    assert got == dict(zip(pdf["id"], pdf["rk"]))

@@ -78,3 +78,15 @@ def test_kafka_records_round_trip(spark):
     assert rec.where(F.col("key") != F.col("value").substr(0, 0)).count() == ev.count()
     back = ST.parse_kafka_records(rec)
     assert back.where(F.col("key") != F.col("network")).count() == 0
+
+
+def test_csv_nan_text_is_null(spark):
+    path = tempfile.mkdtemp(prefix="ledgerline-csvnan-") + "/t.csv"
+    with open(path, "w") as f:
+        f.write("tx_id,tx_hash,block_id,sender,receiver,amount,fee,tx_type,status,timestamp,network\n")
+        f.write("1,0xa,1,0xs,0xr,NaN,0.1,TRANSFER,CONFIRMED,2024-01-01 00:00:01,mainnet\n")
+        f.write("2,0xb,1,0xs,0xr,,0.1,TRANSFER,CONFIRMED,2024-01-01 00:00:02,mainnet\n")
+        f.write("3,0xc,1,0xs,0xr,2.5,0.1,TRANSFER,CONFIRMED,2024-01-01 00:00:03.250000,mainnet\n")
+    rows = {r.tx_id: (r.amount, r.timestamp) for r in io.read_transactions_csv(spark, path).collect()}
+    assert rows[1][0] is None and rows[2][0] is None and rows[3][0] == 2.5
+    assert rows[3][1].microsecond == 250000 and rows[1][1].second == 1
