@@ -6,6 +6,7 @@ what the cluster configured and only fills gaps (tests, local runs).
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -30,15 +31,38 @@ SESSION_DEFAULTS = {
 }
 
 
+def scale_conf(input_bytes: int, partition_bytes: int = 512 << 20, max_partitions: int = 100_000) -> dict:
+    """Shuffle and scan sizing for an input of ``input_bytes``.
+
+    Shuffle partitions are sized so that each holds about ``partition_bytes`` of the largest
+    shuffle (the dedupe, which moves roughly the whole input) and fits an executor's memory
+    with room to spill; AQE then merges small ones towards the same advisory size. The count is
+    capped because map-status metadata grows with mappers x reducers: at 100 TB and 512 MB this
+    gives ~190,000, so the cap applies (about 1 GB per partition, spill-backed). Scan splits use
+    the same size, so a task reads about as much as it shuffles.
+    """
+    parts = min(max_partitions, max(200, math.ceil(input_bytes / partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+    }
+
+
 def build_session(master: str | None = None, app_name: str = "ledgerline",
-                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, extra: dict | None = None,
+                  input_bytes: int | None = None) -> SparkSession:
     """Create (or reuse) a session with the settings above. ``master`` and
-    ``shuffle_partitions`` are for local runs; on a cluster leave them to spark-submit."""
+    ``shuffle_partitions`` are for local runs; on a cluster pass ``input_bytes`` (or leave the
+    sizing to spark-submit)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
     conf["spark.ui.enabled"] = "false"
+    if input_bytes:
+        conf.update(scale_conf(input_bytes))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
