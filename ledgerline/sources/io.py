@@ -28,7 +28,9 @@ def write_transactions_csv(df: DataFrame, path: str, timestamp_format: str = "yy
 
 def read_wallet_metadata(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Wallet metadata JSON. ``multiline=True`` reads one JSON array (or object) per file,
-    as the reference ships it; ``False`` reads JSON lines."""
+    as the reference ships it; ``False`` reads JSON lines. A JSON document is not splittable, so
+    each such file is parsed by one task: large metadata should arrive as JSON lines (split
+    across tasks like any text file)."""
     return (spark.read.schema(WALLET_METADATA).option("multiLine", multiline).json(path)
             .withColumn("risk_score", F.col("risk_score").cast("double")))
 
