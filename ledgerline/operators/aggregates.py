@@ -122,13 +122,15 @@ def row_count(df: DataFrame) -> DataFrame:
 
 def report_rollup(df: DataFrame) -> DataFrame:
     """One scan at (network, tx_type, status) grain: a table bounded by those three small value
-    domains, from which every report figure is derived exactly (sums are DECIMAL)."""
+    domains, from which every report figure is derived exactly (sums are DECIMAL). Being bounded,
+    the rollup is gathered into one partition, so the derived figures need no further shuffle."""
     return df.groupBy("network", "tx_type", "status").agg(
         F.count(F.lit(1)).alias("n"),
         F.count("amount").alias("n_amount"),
         F.sum(F.col("amount").cast("decimal(18,8)")).alias("sum_amount"),
         F.max("amount").alias("max_amount"),
-        (F.sum("is_anomaly") if "is_anomaly" in df.columns else F.lit(None).cast("bigint")).alias("n_anomaly"))
+        (F.sum("is_anomaly") if "is_anomaly" in df.columns else F.lit(None).cast("bigint")).alias("n_anomaly")
+    ).coalesce(1)
 
 
 def report_from_rollup(r: DataFrame) -> dict[str, DataFrame]:
