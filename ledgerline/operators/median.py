@@ -11,8 +11,9 @@ keeps every task bounded:
    of (group, bucket) -> count/min/max, again with map-side partials) and narrows the interval
    to the bucket(s) holding the two middle ranks. Counts are exact, so the interval always holds
    the answer; a group whose candidates are all one value is resolved at once. The per-group
-   state is a small table that is checkpointed each round; only one number (the largest
-   remaining candidate count) reaches the driver;
+   state is a small table that is checkpointed each round; only two numbers (the largest
+   remaining candidate count and the group count) reach the driver. With a small checked group
+   count, the state and the result are broadcast, so rows are never shuffled by the group key;
 3. the remaining candidates (at most ``max_rank_rows`` per group, or what is left after
    ``max_rounds``) are ranked with a window and the two middle values are read off.
 
