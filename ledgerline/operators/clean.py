@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null, normalize_address
-from ..session import stage_table
+from ..session import counted_stage_table
 from .median import MAX_RANK_ROWS, group_median
 
 
@@ -26,14 +26,14 @@ def dedupe_first(df: DataFrame, key: str = "tx_hash", order: str = "tx_id") -> D
 
 
 def impute_median(df: DataFrame, value: str = "amount", by: str = "tx_type",
-                  max_rank_rows: int = MAX_RANK_ROWS) -> DataFrame:
+                  max_rank_rows: int = MAX_RANK_ROWS, rows_hint: int | None = None) -> DataFrame:
     """Fill NULL ``value`` with the exact median of its ``by`` group (nulls skipped).
 
     The median table has one row per group and comes back broadcast-hinted when its checked group
     count is small, so the rows are never shuffled by the (low-cardinality) group key; rows with a
     NULL group find no median.
     """
-    medians = group_median(df, [by], value, out="_median", max_rank_rows=max_rank_rows)
+    medians = group_median(df, [by], value, out="_median", max_rank_rows=max_rank_rows, rows_hint=rows_hint)
     return (df.join(medians, by, "left")
             .withColumn(value, F.coalesce(nan_to_null(value), F.col("_median")))
             .drop("_median")
@@ -59,8 +59,8 @@ def clean_transactions(df: DataFrame, max_rank_rows: int = MAX_RANK_ROWS) -> Dat
     shuffle for each would cost more than writing it once to the shared checkpoint folder.
     """
     df = normalize_addresses(df.withColumn("amount", nan_to_null("amount")))
-    return (stage_table(dedupe_first(df), "deduped")
-            .transform(lambda d: impute_median(d, max_rank_rows=max_rank_rows))
+    deduped, rows = counted_stage_table(dedupe_first(df), "deduped")
+    return (impute_median(deduped, max_rank_rows=max_rank_rows, rows_hint=rows)
             .transform(positive_amounts))
 
 

@@ -78,14 +78,37 @@ def _refine(base: DataFrame, state: DataFrame, by: list[str], buckets: int, smal
     return closed.unionByName(refined.select(*closed.columns))
 
 
+def _two_middle(ranked: DataFrame, by: list[str], out: str) -> DataFrame:
+    """From rows with ``_pos`` (0-based global rank in the group), ``_k1`` and ``_k2``."""
+    pos = F.col("_pos")
+    return (ranked.where((pos == F.col("_k1")) | (pos == F.col("_k2")))
+            .groupBy(*by)
+            .agg(((F.max(F.when(pos == F.col("_k1"), F.col("_x")))
+                   + F.max(F.when(pos == F.col("_k2"), F.col("_x")))) / F.lit(2.0)).alias(out)))
+
+
 def group_median(df: DataFrame, by: list[str], value: str, out: str = "median",
                  max_rank_rows: int = MAX_RANK_ROWS, buckets: int = BUCKETS,
-                 max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """One row per group with a non-null value: ``by`` columns + ``out``."""
+                 max_rounds: int = MAX_ROUNDS, rows_hint: int | None = None) -> DataFrame:
+    """One row per group with a non-null value: ``by`` columns + ``out``.
+
+    ``rows_hint`` is a known upper bound of ``df``'s row count (for example observed while it was
+    written). When it is at most ``max_rank_rows`` no group can exceed the limit, so the groups
+    are ranked directly in one query, without the state, checkpoint and driver round trip.
+    """
     base = df.select(*by, nan_to_null(value).alias("_x")).where(F.col("_x").isNotNull())
     for c in by:  # pandas groupby drops null keys: such rows get no median
         base = base.where(F.col(c).isNotNull())
 
+    if rows_hint is not None and rows_hint <= max_rank_rows:
+        w = Window.partitionBy(*by)
+        n = F.count(F.lit(1)).over(w)
+        ranked = (base.withColumn("_k1", F.floor((n - 1) / 2).cast("bigint"))
+                  .withColumn("_k2", F.floor(n / 2).cast("bigint"))
+                  .withColumn("_pos", F.row_number().over(w.orderBy("_x")) - 1))
+        result = _two_middle(ranked, by, out)
+        return F.broadcast(result) if rows_hint <= MAX_BROADCAST_GROUPS else result
+
     n = F.col("_n")
     state = (base.groupBy(*by)
              .agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
@@ -104,10 +127,6 @@ def group_median(df: DataFrame, by: list[str], value: str, out: str = "median",
     closed = state.where(~(F.col("_lo") < F.col("_hi"))).select(*by, F.col("_lo").alias(out))
     ranked = (_candidates(base, state, by, small)
               .withColumn("_pos", F.row_number().over(Window.partitionBy(*by).orderBy("_x")) - 1 + F.col("_off")))
-    picked = (ranked.where((F.col("_pos") == F.col("_k1")) | (F.col("_pos") == F.col("_k2")))
-              .groupBy(*by)
-              .agg(((F.max(F.when(F.col("_pos") == F.col("_k1"), F.col("_x")))
-                     + F.max(F.when(F.col("_pos") == F.col("_k2"), F.col("_x")))) / F.lit(2.0)).alias(out)))
-    result = closed.unionByName(picked)
+    result = closed.unionByName(_two_middle(ranked, by, out))
     # one row per group; with a checked small group count, joins against it stay map-side
     return F.broadcast(result) if small else result

@@ -11,7 +11,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings that the operators rely on. AQE gives runtime broadcast conversion (size checked on
 # real shuffle statistics), partition coalescing and skew-join splitting of hot keys.
@@ -114,10 +115,16 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     filter pushdown, and Spark sees the table's real size when it decides on broadcasts. Like a
     checkpoint, the table survives executor loss.
     """
+    return counted_stage_table(df, name)[0]
+
+
+def counted_stage_table(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``stage_table`` plus its row count, observed during the write (no extra job)."""
     spark = df.sparkSession
     path = work_dir(spark, f"stage-{name}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    obs = Observation(f"rows-{name}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), int(obs.get["rows"])
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -33,12 +33,13 @@ def _median_rows(seed, n):
     return rows
 
 
-@pytest.mark.parametrize("max_rank_rows,buckets", [(1_000_000, 4096), (3, 4), (1, 2)])
-def test_group_median_matches_pandas(spark, max_rank_rows, buckets):
+@pytest.mark.parametrize("max_rank_rows,buckets,hint", [(1_000_000, 4096, None), (3, 4, None), (1, 2, None),
+                                                       (1_000_000, 4096, 404), (3, 4, 404)])
+def test_group_median_matches_pandas(spark, max_rank_rows, buckets, hint):
     rows = _median_rows(7, 400)
     df = spark.createDataFrame(rows, "id long, g string, v double")
     got = {r["g"]: r["m"] for r in group_median(df, ["g"], "v", "m", max_rank_rows=max_rank_rows,
-                                                  buckets=buckets).collect()}
+                                                  buckets=buckets, rows_hint=hint).collect()}
     pdf = pd.DataFrame(rows, columns=["id", "g", "v"])
     want = pdf.dropna(subset=["g"]).groupby("g")["v"].median().dropna().to_dict()
     assert set(got) == set(want)
