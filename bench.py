@@ -61,7 +61,7 @@ def run_stages(spark, sf_dir: str, base: str, times: dict, rows: dict | None = N
         clean = io.read_parquet(spark, f"{base}/clean")
         A.top_senders(clean).collect()
         A.daily_network_volume(clean).collect()
-        io.write_partitioned(rank_in_network(clean), f"{base}/ranked")
+        io.write_partitioned(rank_in_network(clean, rows_hint=rows.get("clean")), f"{base}/ranked")
     timed("spark_job", do_spark_job)
 
     def do_report():

@@ -14,9 +14,10 @@ from .median import MAX_RANK_ROWS, group_median
 from .ranking import rank_by_value
 
 
-def rank_in_network(df: DataFrame, out: str = "rank_in_network") -> DataFrame:
-    """rank() by amount desc (nulls last) within each network, over all rows."""
-    return rank_by_value(df, ["network"], "amount", out=out, descending=True)
+def rank_in_network(df: DataFrame, out: str = "rank_in_network", rows_hint: int | None = None) -> DataFrame:
+    """rank() by amount desc (nulls last) within each network, over all rows. ``rows_hint``:
+    a known upper bound of the row count (see ``rank_by_value``)."""
+    return rank_by_value(df, ["network"], "amount", out=out, descending=True, rows_hint=rows_hint)
 
 
 def running_total(df: DataFrame, part: list[str], order: str, value: str, out: str) -> DataFrame:

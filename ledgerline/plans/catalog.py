@@ -110,7 +110,8 @@ def q_k2(spark, sf_dir):
     """K2 + W1: ranked clean rows written partitioned by network; reading one network back
     prunes the other partition."""
     path = work_dir(spark, "k2-ranked")
-    ranked = rank_in_network(_ledger(spark, sf_dir).clean)
+    L = _ledger(spark, sf_dir)
+    ranked = rank_in_network(L.clean, rows_hint=L.clean_rows)
     io.write_partitioned(ranked.select("tx_id", "amount", "rank_in_network", "network"), path)
     return io.read_parquet(spark, path).where(F.col("network") == "testnet")
 
@@ -497,6 +498,7 @@ SELECT tx_id, network, amount,
        CAST(rank() OVER (PARTITION BY network ORDER BY amount DESC NULLS LAST) AS BIGINT) AS rank_in_network
 FROM clean""")
 def q_w1(spark, sf_dir):
+    """W1 over whole networks (distributed rank: no row-count hint, so the bounded path runs)."""
     return rank_in_network(_ledger(spark, sf_dir).clean).select("tx_id", "network", "amount", "rank_in_network")
 
 

@@ -19,7 +19,7 @@ from ..operators.clean import clean_transactions, enrich_with_metadata
 from ..operators.features import add_features
 from ..operators.normalize import scale_and_flag
 from ..operators.quality import split_valid
-from ..session import stage_table
+from ..session import counted_stage_table, stage_table
 from ..sources.ledger_views import load_ledger
 
 
@@ -49,8 +49,18 @@ class Ledger:
         return stage_table(df, name) if self._checkpoint else df
 
     @cached_property
+    def _clean_counted(self) -> tuple[DataFrame, int | None]:
+        df = ingest(self.raw, self.wallets)
+        return counted_stage_table(df, "clean") if self._checkpoint else (df, None)
+
+    @property
     def clean(self) -> DataFrame:
-        return self._stage(ingest(self.raw, self.wallets), "clean")
+        return self._clean_counted[0]
+
+    @property
+    def clean_rows(self) -> int | None:
+        """Row count of the clean table, observed while it was written (None if not staged)."""
+        return self._clean_counted[1]
 
     @cached_property
     def _split(self) -> tuple[DataFrame, DataFrame]:

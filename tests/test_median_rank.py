@@ -88,12 +88,13 @@ from hypothesis import strategies as st
 @given(st.lists(st.tuples(st.sampled_from(["mainnet", "testnet", None]),
                           st.one_of(st.none(), st.sampled_from([0.0, 1.5, 2.5, 9.0]),
                                     st.floats(-1e3, 1e3, allow_nan=False))), min_size=1, max_size=80),
-       st.integers(1, 6), st.booleans())
-def test_rank_property(spark, rows, num_ranges, descending):
+       st.integers(1, 6), st.booleans(), st.booleans())
+def test_rank_property(spark, rows, num_ranges, descending, hinted):
     data = [(i, p, v) for i, (p, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "id long, p string, v double")
     got = {r["id"]: r["rk"] for r in rank_by_value(df, ["p"], "v", "rk", descending=descending,
-                                                    num_ranges=num_ranges).collect()}
+                                                    num_ranges=num_ranges,
+                                                    rows_hint=len(data) if hinted else None).collect()}
     pdf = pd.DataFrame(data, columns=["id", "p", "v"])
     pdf["p"] = pdf["p"].fillna("<null>")   # a NULL partition is a partition of its own
     pdf["key"] = pdf["v"].fillna(-math.inf if descending else math.inf)   # nulls last
