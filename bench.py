@@ -77,7 +77,8 @@ def run_stages(spark, sf_dir: str, base: str, times: dict, rows: dict | None = N
     def do_star():
         validated = io.read_parquet(spark, f"{base}/validated")
         md = load_ledger(spark, sf_dir)[1]
-        dims = {"dim_date": star.dim_date(validated), "dim_wallet": star.dim_wallet(validated, md),
+        dims = {"dim_date": star.dim_date(validated),
+                "dim_wallet": star.dim_wallet(validated, md, rows_hint=rows.get("valid")),
                 "dim_tx_type": star.dim_tx_type(validated), "dim_network": star.dim_network(validated)}
         for name, df in dims.items():
             io.write_parquet(df, f"{base}/{name}")

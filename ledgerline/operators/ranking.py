@@ -84,11 +84,15 @@ def rank_by_value(df: DataFrame, part: list[str], value: str, out: str = "rank",
 
 
 def surrogate_keys(df: DataFrame, key: str, out: str, num_ranges: int | None = None,
-                   key_type: str = "int") -> DataFrame:
+                   key_type: str = "int", rows_hint: int | None = None,
+                   max_window_rows: int = MAX_WINDOW_ROWS) -> DataFrame:
     """Dense 1..n keys in ``key`` order for a table whose ``key`` is unique (SERIAL semantics).
 
     No single-partition window: rows are range-partitioned on the key and numbered inside their
     range plus the sizes of the ranges before it; the rows travel with their key, so no join back.
     """
+    if rows_hint is not None and rows_hint <= max_window_rows:
+        # a known bound of at most max_window_rows rows: one ordered window task is bounded
+        return df.withColumn(out, F.row_number().over(Window.orderBy(F.col(key).asc_nulls_last())).cast(key_type))
     before = _before_counts(df, [], key, False, None, num_ranges)
     return before.select(*df.columns, (F.col("_before") + 1).cast(key_type).alias(out))

@@ -50,13 +50,15 @@ def wallet_addresses(df: DataFrame) -> DataFrame:
             .groupBy("wallet_address").agg(F.min("timestamp").alias("first_seen")))
 
 
-def dim_wallet(df: DataFrame, metadata: DataFrame) -> DataFrame:
+def dim_wallet(df: DataFrame, metadata: DataFrame, rows_hint: int | None = None) -> DataFrame:
     """D2 (+D6): wallet_key, wallet_address, kyc_verified, country_code, risk_score DECIMAL(5,2).
-    Wallets without metadata keep NULL attributes."""
+    Wallets without metadata keep NULL attributes. ``rows_hint``: a known bound of ``df``'s row
+    count; there are at most twice as many addresses (see ``surrogate_keys``)."""
     md = metadata.select("wallet_address", "kyc_verified", F.col("country").alias("country_code"),
                          F.col("risk_score").cast(RISK_DECIMAL).alias("risk_score"))
     wallets = wallet_addresses(df).join(md, "wallet_address", "left")
-    keyed = surrogate_keys(wallets, "wallet_address", "wallet_key")
+    keyed = surrogate_keys(wallets, "wallet_address", "wallet_key",
+                           rows_hint=None if rows_hint is None else 2 * rows_hint)
     return keyed.select("wallet_key", "wallet_address", "kyc_verified", "country_code", "risk_score", "first_seen")
 
 

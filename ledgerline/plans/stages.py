@@ -67,8 +67,17 @@ class Ledger:
         return split_valid(self.clean)
 
     @cached_property
+    def _validated_counted(self) -> tuple[DataFrame, int | None]:
+        df = score(self._split[0])
+        return counted_stage_table(df, "validated") if self._checkpoint else (df, None)
+
+    @property
     def validated(self) -> DataFrame:
-        return self._stage(score(self._split[0]), "validated")
+        return self._validated_counted[0]
+
+    @property
+    def validated_rows(self) -> int | None:
+        return self._validated_counted[1]
 
     @property
     def invalid(self) -> DataFrame:
@@ -82,7 +91,8 @@ class Ledger:
     @cached_property
     def dim_wallet(self) -> DataFrame:
         # a stage table, so Spark sees its real size when it plans the fact's wallet joins
-        return self._stage(star.dim_wallet(self.validated, self.wallets), "dim_wallet")
+        return self._stage(star.dim_wallet(self.validated, self.wallets, rows_hint=self.validated_rows),
+                           "dim_wallet")
 
     @cached_property
     def dim_tx_type(self) -> DataFrame:

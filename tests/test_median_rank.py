@@ -73,10 +73,11 @@ def test_rank_ties_fixture(spark):
     assert got == {1: 1, 2: 1, 3: 3, 4: 4}
 
 
-def test_surrogate_keys_dense(spark):
+@pytest.mark.parametrize("hint", [None, 700])
+def test_surrogate_keys_dense(spark, hint):
     keys = [f"k{i:04d}" for i in random.Random(1).sample(range(5000), 700)]
     df = spark.createDataFrame([(k,) for k in keys], "k string")
-    got = {r["k"]: r["id"] for r in surrogate_keys(df, "k", "id", num_ranges=5).collect()}
+    got = {r["k"]: r["id"] for r in surrogate_keys(df, "k", "id", num_ranges=5, rows_hint=hint).collect()}
     assert got == {k: i + 1 for i, k in enumerate(sorted(keys))}
 
 
