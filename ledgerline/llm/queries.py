@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import decontaminate, exact_dedup, license_scan, minhash, packing, quality, token_counts, toxicity, url_filter
+from . import decontaminate, exact_dedup, hmm, license_scan, minhash, packing, quality, token_counts, toxicity, url_filter
 from .common import read_table, ship_package
 
 # Host labels of the block list that op3 derives from the table's own hosts (fixed values).
@@ -41,6 +41,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, url_filter.rules_frame(spark), blocked)
 
 
+def op4_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_texts(read_table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
@@ -67,7 +71,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_license_scan, op1_license_notices, op2_toxicity, op3_url_filter, op5_packing, op6_minhash, op7_token_counts, op8_quality,
+    own = (op1_license_scan, op1_license_notices, op2_toxicity, op3_url_filter, op4_hmm, op5_packing, op6_minhash, op7_token_counts, op8_quality,
            op9_decontaminate, op10_exact_dedup)
 
     def ready(f):
