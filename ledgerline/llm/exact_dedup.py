@@ -31,6 +31,7 @@ from ..session import stage_table
 from .common import ascii_lower, id_text
 
 BUCKET_KEYS = 200_000          # distinct digests in one filter, on average
+SALTS = 16
 _FILTER = "bucket int, seed bigint, seg_len int, seg_count int, cells binary"
 
 
@@ -176,7 +177,10 @@ def exact_dedup(snapshot: DataFrame, incoming: DataFrame, id_col: str = "doc_id"
 
     # byte check over every class of two rows or more
     repeated = classes.where("group_size > 1").select("digest")
-    texts_of = normal.select(digest(F.col("normal")).alias("digest"), "doc_id", "normal").join(repeated, "digest", "left_semi")
+    # salted, so that a hot text's rows meet in many tasks and only their extremes in one
+    salted = repeated.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    texts_of = normal.select(digest(F.col("normal")).alias("digest"), "doc_id", "normal",
+                             F.pmod(F.hash("doc_id", "batch"), F.lit(SALTS)).alias("salt")).join(salted, ["digest", "salt"], "left_semi")
     collided = stage_table(texts_of.groupBy("digest").agg(F.min("normal").alias("a"), F.max("normal").alias("b"))
                            .where("a != b").select("digest"), "collided")
     rows = keyed.select("doc_id", "digest", "text_sha256")
