@@ -6,11 +6,14 @@ permutations both the minimum and the maximum of the set are kept (Ji et al. 201
 than 80 minima. Bands of four values put sets into buckets: at J = 0.8 a pair shares none of the
 20 bands with probability (1 - 0.8^4)^20 = 0.000026.
 
-Within a bucket no list of all pairs is made. Members are compared with pivots: first with the
-least member; then, in rounds, with 1, 4, 16, ... further members drawn by hash, but only across
-the components found so far, until every pair of a bucket was compared or lies in one component. So
-a group of n near copies costs about n comparisons, and no link between components is lost. A
-comparison is made on the full sets: 100 * intersection >= 80 * union.
+Within a bucket no list of all pairs is made. First every member is compared with the bucket's most
+central one (the member whose buckets hold the most sets), so a group of n near copies costs about n
+comparisons. What is left are buckets whose members lie in different components. In those of at most
+``SMALL`` members, members of different components are compared directly. The members of larger ones
+are joined exactly by prefix filtering: a pair similar enough shares one of the rarest fifth of its
+shingles, at positions that still leave room for the overlap; per shingle only the members outside
+its main component are paired with the others. So members of one component never meet, and no link
+between components is lost. A comparison is made on the full sets: 100 * intersection >= 80 * union.
 
 Equal sets are merged before anything else, so copies cost nothing further. Hot keys (a set shared
 by a third of all rows, a bucket of thousands) meet only in aggregates with map-side partials and
@@ -35,6 +38,7 @@ from .components import components
 SHINGLE = 5
 SIMILARITY = 80                 # per cent
 PERMUTATIONS, ROWS = 40, 4      # 2 * 40 values in bands of 4
+SMALL = 32                      # members of a bucket that are compared directly; beyond: prefix filtering
 _BLOCK = 32_768                 # shingles hashed at once
 _MEMO = 500_000
 
@@ -144,24 +148,58 @@ def confirm(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return joined.select("a", "b", "sa", "sb").mapInArrow(run, "u binary, v binary")
 
 
-def _pairs(buckets: DataFrame, similarity: int, low: int | None, high: int | None) -> DataFrame:
-    """Pivots against members in other components. ``low`` is None: the least member is the pivot;
-    else members of draw low .. high - 1 against all of a higher draw, without the least member."""
-    p = buckets.select("band", F.col("set_key").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("draw").alias("da"),
-                       F.col("least").alias("la"))
-    m = buckets.select("band", F.col("set_key").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("draw").alias("db"),
-                       F.col("least").alias("lb"))
-    if low is None:
-        p = p.where("a = la")
-        later = F.col("b") != F.col("a")
-    else:
-        p = p.where((F.col("a") != F.col("la")) & F.col("da").between(low, high - 1))
-        m = m.where("b != lb")
-        later = (F.col("db") > F.col("da")) | ((F.col("db") == F.col("da")) & (F.col("b") > F.col("a")))
-    alike = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * similarity
-    # members on the left: the large side of a hot bucket is the one that Spark may split
-    met = m.join(p, "band").where(later & alike & (F.col("ca") != F.col("cb")))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _alike(na: str, nb: str, similarity: int):
+    return F.least(na, nb) * 100 >= F.greatest(na, nb) * similarity
+
+
+def central_buckets(sets: DataFrame) -> DataFrame:
+    """(band, set_key, n, size, central, pivot, pivot_n) of every bucket with two sets or more."""
+    rows = sets.select("set_key", "n", F.explode("bands").alias("band"))
+    shared = rows.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    rows = stage_table(rows.join(shared, "band"), "shared-bands")
+    rows = rows.join(rows.groupBy("set_key").agg(F.sum("size").alias("central")), "set_key")
+    top = rows.groupBy("band").agg(F.max(F.struct("central", "set_key", "n")).alias("top"))
+    return stage_table(rows.join(top, "band").select("band", "set_key", "n", "size", "central", F.col("top.set_key").alias("pivot"),
+                                                     F.col("top.n").alias("pivot_n")), "buckets")
+
+
+def direct_pairs(rows: DataFrame, similarity: int) -> DataFrame:
+    """Members of different components in buckets of at most ``SMALL``."""
+    a = rows.select("band", F.col("set_key").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+    b = rows.select("band", F.col("set_key").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    return a.join(b, "band").where((F.col("b") > F.col("a")) & (F.col("ca") != F.col("cb")) & _alike("na", "nb", similarity)).select("a", "b")
+
+
+def prefix_pairs(members: DataFrame, full: DataFrame, similarity: int) -> DataFrame:
+    """Pairs of ``members`` (set_key, n, central, component) in different components that can be similar
+    enough by their rarest shingles. Exact: the rarest common shingle of such a pair lies in both
+    prefixes, and what follows it in either set is at least as long as the overlap must be."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["set_key", "tokens"])
+
+    held = full.join(members.select("set_key"), "set_key").select("set_key", "shingles").mapInArrow(run, "set_key binary, tokens array<bigint>")
+    tokens = stage_table(held.select("set_key", F.explode("tokens").alias("token")), "open-shingles")
+    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    # one set's shingles, the rarest first: the first fifth and one more, with their places
+    ranked = tokens.join(often, "token").groupBy("set_key").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
+    size = F.size("t")
+    prefix = ranked.select("set_key", F.posexplode(F.slice("t", F.lit(1), size - F.ceil(size * similarity / 100).cast("int") + 1)).alias("at", "x"))
+    rows = prefix.where("x.df > 1").select("set_key", F.col("x.token").alias("token"), "at").join(members, "set_key")
+    main = rows.groupBy("token").agg(F.max(F.struct("central", "set_key", "component")).alias("top"), F.min("component").alias("x"),
+                                     F.max("component").alias("y")).where("x != y").select("token", F.col("top.component").alias("main"))
+    rows = stage_table(rows.join(main, "token"), "open-prefixes")
+    a = rows.select("token", F.col("set_key").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("component").alias("ca"))
+    b = rows.where("component != main").select("token", F.col("set_key").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"),
+                                               F.col("component").alias("cb"))
+    room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) * (100 + similarity) >= (F.col("na") + F.col("nb")) * similarity
+    return a.join(b, "token").where((F.col("ca") != F.col("cb")) & _alike("na", "nb", similarity) & room).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY, id_col: str = "doc_id",
@@ -173,7 +211,6 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = S
     id. A null id is ignored when the least id is taken, and its row is ``kept`` only in a component
     without any id; rows that repeat an id are linked by their texts like others; no rows give no rows.
     """
-    spark = docs.sparkSession
     source = id_text(docs, id_col, text_col, binary=True).withColumn("text_key", F.xxhash64("text"))
     sigs = stage_table(signatures(source, shingle), "signatures")
     named = sigs.where("set_key is not null")
@@ -181,46 +218,38 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = S
                                                     F.max(F.struct("n_shingles", "bands")).alias("x"))
                        .select("set_key", "first", "least_id", F.col("x.n_shingles").alias("n"), F.col("x.bands").alias("bands")), "sets")
 
-    rows = sets.select("set_key", "n", F.explode("bands").alias("band"))
-    shared = rows.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("set_key").alias("least")).where("size > 1")
-    buckets = stage_table(rows.join(shared, "band").withColumn("draw", F.pmod(F.xxhash64("set_key"), F.col("size"))), "buckets")
-    found = buckets.groupBy().agg(F.max("size")).first()[0]
+    buckets = central_buckets(sets)
     label = None
-    if found:
+    if not buckets.isEmpty():
         wanted = sets.join(buckets.select("set_key").distinct(), "set_key", "left_semi").select(
             "set_key", F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key"))
         texts = source.join(wanted, source["doc_id"].eqNullSafe(wanted["_id"]) & (source["text_key"] == wanted["_key"])).select("set_key", "text")
         full = stage_table(full_sets(texts, shingle).dropDuplicates(["set_key"]), "full-sets")
 
-        label = sets.select(F.col("set_key").alias("node"), F.col("set_key").alias("component"))     # each set for itself
-        open_buckets = buckets.withColumn("component", F.col("set_key"))
-        low, high = None, 0
-        while True:
-            links = confirm(_pairs(open_buckets, similarity, low, high), full, similarity)
-            c = open_buckets.select(F.col("set_key").alias("k"), F.col("component").alias("c")).distinct()
-            if low is None:
-                merged = components(links)
-            else:
-                links = links.join(c.select(F.col("k").alias("u"), F.col("c").alias("cu")), "u").join(
-                    c.select(F.col("k").alias("v"), F.col("c").alias("cv")), "v").select(F.col("cu").alias("u"), F.col("cv").alias("v"))
-                merged = components(links)
-            move = merged.select(F.col("node").alias("component"), F.col("component").alias("to"))
-            label = stage_table(label.join(move, "component", "left").select("node", F.coalesce("to", "component").alias("component")), "labels")
-            low, high = high, 4 * high + 1
-            if low >= found:
-                break
-            # next: buckets with members beside the least one that lie in different components
-            moved = open_buckets.where("size > 2").join(move, "component", "left").withColumn("component", F.coalesce("to", "component")).drop("to")
-            mixed = (moved.where("set_key != least").groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-                     .where("x != y").select("band"))
-            open_buckets = stage_table(moved.join(mixed, "band", "left_semi"), "open-buckets")
-            found = open_buckets.groupBy().agg(F.max("size")).first()[0]
-            if not found:
-                break
+        first = _ordered(buckets.where((F.col("set_key") != F.col("pivot")) & _alike("n", "pivot_n", similarity))
+                         .select(F.col("set_key").alias("a"), F.col("pivot").alias("b")))
+        merged = components(confirm(first, full, similarity))
+        moved = merged.select(F.col("node").alias("set_key"), F.col("component").alias("to"))
+        label = stage_table(sets.select("set_key").join(moved, "set_key", "left").select("set_key", F.coalesce("to", "set_key").alias("component")), "labels")
+
+        # buckets with members beside the pivot that lie in different components
+        rest = buckets.where((F.col("size") > 2) & (F.col("set_key") != F.col("pivot"))).join(label, "set_key")
+        mixed = rest.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("band")
+        rest = stage_table(rest.join(mixed, "band", "left_semi"), "open-buckets")
+        members = rest.where(F.col("size") > SMALL).select("set_key", "n", "central", "component").distinct()
+        more = direct_pairs(rest.where(F.col("size") <= SMALL), similarity)
+        if not members.isEmpty():
+            more = more.unionByName(prefix_pairs(stage_table(members, "open-members"), full, similarity))
+        links = (confirm(_ordered(more), full, similarity)
+                 .join(label.select(F.col("set_key").alias("u"), F.col("component").alias("cu")), "u")
+                 .join(label.select(F.col("set_key").alias("v"), F.col("component").alias("cv")), "v"))
+        merged = components(links.select(F.col("cu").alias("u"), F.col("cv").alias("v")))
+        moved = merged.select(F.col("node").alias("component"), F.col("component").alias("to"))
+        label = stage_table(label.join(moved, "component", "left").select("set_key", F.coalesce("to", "component").alias("component")), "labels")
 
     owner = sets.select("set_key", "least_id")
     if label is not None:
-        owner = owner.join(label.withColumnRenamed("node", "set_key"), "set_key")
+        owner = owner.join(label, "set_key")
         least = owner.groupBy("component").agg(F.min("least_id").alias("component_id"))
         owner = owner.join(least, "component").select("set_key", "component_id")
     else:
