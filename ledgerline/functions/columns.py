@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schemas import AMOUNT_DECIMAL
+from ..schemas import AMOUNT_DECIMAL, SUM_DECIMAL
 
 # leading/trailing characters that Python's str.strip() removes and Java's
 # plain \s does not (Unicode spaces and the four ASCII separators).
@@ -45,18 +45,25 @@ def block_of(tx_id) -> Column:
 
 
 def money(c) -> Column:
-    """Money as DECIMAL(18,8), so sums are exact and independent of partition order."""
+    """Money in the warehouse type DECIMAL(18,8); the validation rule ``money_fits`` keeps out what it
+    cannot hold."""
     return col_(c).cast(AMOUNT_DECIMAL)
 
 
+def wide_money(c) -> Column:
+    """Money as DECIMAL(28,8) for sums: exact, independent of partition order, and wide enough for
+    amounts that the warehouse type cannot hold."""
+    return col_(c).cast(SUM_DECIMAL)
+
+
 def money_sum(c) -> Column:
     """Exact sum of a money column, returned as DOUBLE."""
-    return F.sum(money(c)).cast("double")
+    return F.sum(wide_money(c)).cast("double")
 
 
 def money_avg(c) -> Column:
     """Mean as exact decimal sum / non-null count (NULL for an empty group)."""
-    return F.try_divide(F.sum(money(c)).cast("double"), F.count(col_(c)).cast("double"))
+    return F.try_divide(F.sum(wide_money(c)).cast("double"), F.count(col_(c)).cast("double"))
 
 
 def count_where(cond: Column) -> Column:

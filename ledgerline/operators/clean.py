@@ -7,33 +7,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null, normalize_address
-from ..session import counted_stage_table
+from ..session import stage_table
 from .median import MAX_RANK_ROWS, group_median
 
 
 def dedupe_first(df: DataFrame, key: str = "tx_hash", order: str = "tx_id") -> DataFrame:
     """Keep the first row (lowest ``order``) per ``key``; a NULL key is one key of its own.
 
-    Written as an aggregate, not a window: ``min_by`` is combined map-side, so a key shared by a
-    third of all rows is cut down in every map task before the shuffle, and the survivor is
-    fixed (``dropDuplicates`` keeps an arbitrary row).
+    Written as an aggregate, not a window: the least row is combined map-side, so a key shared by a
+    third of all rows is cut down in every map task before the shuffle (Spark plans a sort aggregate,
+    since the buffer is a row). The order is total: a NULL ``order`` comes after every value, and equal
+    ones are told apart by the remaining columns in their order, so the survivor is fixed.
     """
-    rest = [c for c in df.columns if c != key]
-    return (df.groupBy(key)
-            .agg(F.min_by(F.struct(*rest), F.col(order)).alias("_row"))
-            .select(key, "_row.*")
-            .select(*df.columns))
+    rest = [c for c in df.columns if c not in (key, order)]
+    least = F.min(F.struct(F.col(order).isNull().alias("_last"), F.col(order), *rest)).alias("_row")
+    return df.groupBy(key).agg(least).select(key, "_row.*").select(*df.columns)
 
 
 def impute_median(df: DataFrame, value: str = "amount", by: str = "tx_type",
-                  max_rank_rows: int = MAX_RANK_ROWS, rows_hint: int | None = None) -> DataFrame:
+                  max_rank_rows: int = MAX_RANK_ROWS) -> DataFrame:
     """Fill NULL ``value`` with the exact median of its ``by`` group (nulls skipped).
 
-    The median table has one row per group and comes back broadcast-hinted when its checked group
-    count is small, so the rows are never shuffled by the (low-cardinality) group key; rows with a
-    NULL group find no median.
+    The median table has one row per group and is written, so Spark sees its real size and joins it
+    map-side while that is below the broadcast limit; rows with a NULL group find no median.
     """
-    medians = group_median(df, [by], value, out="_median", max_rank_rows=max_rank_rows, rows_hint=rows_hint)
+    medians = group_median(df, [by], value, out="_median", max_rank_rows=max_rank_rows)
     return (df.join(medians, by, "left")
             .withColumn(value, F.coalesce(nan_to_null(value), F.col("_median")))
             .drop("_median")
@@ -59,8 +57,8 @@ def clean_transactions(df: DataFrame, max_rank_rows: int = MAX_RANK_ROWS) -> Dat
     shuffle for each would cost more than writing it once to the shared checkpoint folder.
     """
     df = normalize_addresses(df.withColumn("amount", nan_to_null("amount")))
-    deduped, rows = counted_stage_table(dedupe_first(df), "deduped")
-    return (impute_median(deduped, max_rank_rows=max_rank_rows, rows_hint=rows)
+    deduped = stage_table(dedupe_first(df), "deduped")
+    return (impute_median(deduped, max_rank_rows=max_rank_rows)
             .transform(positive_amounts))
 
 

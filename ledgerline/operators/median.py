@@ -4,18 +4,19 @@ Spark's ``median``/``percentile`` keeps every distinct value of a group in one a
 buffer, so a group holding a third of 100 TB would sit in one task. This operator is exact and
 keeps every task bounded:
 
-1. one aggregate gives, per group, the count and the min/max (map-side partials, so a hot group
-   is combined before the shuffle). The candidate interval of a group starts as [min, max];
-2. while some group still has more than ``max_rank_rows`` candidates, one refinement round
-   counts its candidates in ``buckets`` equal-width buckets of the interval (a hash aggregate
-   of (group, bucket) -> count/min/max, again with map-side partials) and narrows the interval
-   to the bucket(s) holding the two middle ranks. Counts are exact, so the interval always holds
-   the answer; a group whose candidates are all one value is resolved at once. The per-group
-   state is a small table that is checkpointed each round; only two numbers (the largest
-   remaining candidate count and the group count) reach the driver. With a small checked group
-   count, the state and the result are broadcast, so rows are never shuffled by the group key;
-3. the remaining candidates (at most ``max_rank_rows`` per group, or what is left after
-   ``max_rounds``) are ranked with a window and the two middle values are read off.
+1. one aggregate gives, per group, the count and the min/max (map-side partials, so a hot group is
+   combined before the shuffle). Each of the two middle ranks of a group gets a candidate interval of
+   its own, at first [min, max];
+2. while some interval still has more than ``max_rank_rows`` candidates, a round counts the candidates
+   of each open interval in ``buckets`` equal-width buckets (a hash aggregate to count/min/max, with
+   map-side partials) and narrows the interval to the one bucket that holds its rank. Counts are
+   exact, so the interval always holds the answer. The least and the greatest candidate never share a
+   bucket, so every round drops at least one distinct value, and an interval of one value is closed:
+   the rounds end by themselves, and two heavy middle values close in one round each;
+3. the candidates left (at most ``max_rank_rows`` for an interval) are ranked with a window.
+
+The per-interval state is a small table, written after each round, so Spark knows its size and
+decides itself whether to broadcast it; one number per round reaches the driver.
 
 The median of an even count is the mean of the two middle values, ``(a + b) / 2``, as pandas
 computes it.
@@ -27,106 +28,70 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null
-from ..session import materialize
+from ..session import stage_table
 
-MAX_RANK_ROWS = 1_000_000
+MAX_RANK_ROWS = 1_000
 BUCKETS = 4096
-MAX_ROUNDS = 6
-# The per-group state and the result have one row per group: broadcast them when the checked
-# group count is at most this, so the data side is never shuffled by a low-cardinality key.
-MAX_BROADCAST_GROUPS = 200_000
 
 
-def _candidates(base: DataFrame, state: DataFrame, by: list[str], small: bool) -> DataFrame:
+def _open(state: DataFrame) -> DataFrame:
+    return state.where(F.col("_lo") < F.col("_hi"))
+
+
+def _candidates(base: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
     x = F.col("_x")
-    return (base.join(F.broadcast(state) if small else state, by)
-            .where((F.col("_lo") < F.col("_hi")) & (x >= F.col("_lo")) & (x <= F.col("_hi"))))
+    return base.join(_open(state), by).where((x >= F.col("_lo")) & (x <= F.col("_hi")))
 
 
-def _open_stats(state: DataFrame) -> tuple[int, int]:
-    """(largest candidate count of an open group, number of groups): one tiny job."""
-    row = state.agg(F.max(F.when(F.col("_lo") < F.col("_hi"), F.col("_m"))), F.count(F.lit(1))).first()
-    return int(row[0] or 0), int(row[1] or 0)
+def _most_candidates(state: DataFrame) -> int:
+    return int(_open(state).agg(F.max("_m")).first()[0] or 0)
 
 
-def _refine(base: DataFrame, state: DataFrame, by: list[str], buckets: int, small: bool) -> DataFrame:
-    """One histogram round over the open groups; closed groups pass through unchanged."""
+def _refine(base: DataFrame, state: DataFrame, by: list[str], buckets: int) -> DataFrame:
+    """One histogram round over the open intervals; closed ones pass through unchanged."""
     x, lo, hi = F.col("_x"), F.col("_lo"), F.col("_hi")
     # halves keep x - lo finite for values near the double range
     frac = F.coalesce(F.try_divide(x * 0.5 - lo * 0.5, hi * 0.5 - lo * 0.5), F.lit(0.0))
-    bucket = F.least(F.floor(frac * F.lit(float(buckets))).cast("bigint"), F.lit(buckets - 1))
-    hist = (_candidates(base, state, by, small)
-            .withColumn("_b", bucket)
-            .groupBy(*by, "_b")
+    # the greatest value has the last bucket and the least one the first, whatever rounding does
+    inner = F.least(F.floor(frac * F.lit(float(buckets))).cast("bigint"), F.lit(buckets - 1))
+    bucket = F.when(x >= hi, F.lit(buckets)).when(x <= lo, F.lit(-1)).otherwise(inner)
+    key = [*by, "_which"]
+    hist = (_candidates(base, state, by).withColumn("_b", bucket).groupBy(*key, "_b")
             .agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_bmin"), F.max("_x").alias("_bmax")))
-    # rows before each bucket, within the group's candidates (table: groups x non-empty buckets)
-    w = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    # rows before each bucket, within the interval's candidates (at most buckets + 2 rows an interval)
+    w = Window.partitionBy(*key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     hist = hist.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-    open_state = state.where(F.col("_lo") < F.col("_hi"))
-    h = hist.join(open_state.select(*by, "_k1", "_k2", "_off"), by)
-    r1 = F.col("_k1") - F.col("_off")
-    r2 = F.col("_k2") - F.col("_off")
-    holds1 = (r1 >= F.col("_before")) & (r1 < F.col("_before") + F.col("_c"))
-    holds2 = (r2 >= F.col("_before")) & (r2 < F.col("_before") + F.col("_c"))
-    narrowed = (h.where(holds1 | holds2)
-                .groupBy(*by)
-                .agg(F.min("_bmin").alias("_lo"), F.max("_bmax").alias("_hi"),
-                     F.min("_before").alias("_skip"), F.sum("_c").alias("_m")))
-    refined = (open_state.drop("_lo", "_hi", "_m").join(narrowed, by)
-               .withColumn("_off", F.col("_off") + F.col("_skip")).drop("_skip"))
+    rank = F.col("_k") - F.col("_off")
+    found = (hist.join(_open(state).select(*key, "_k", "_off"), key)
+             .where((rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_c")))
+             .select(*key, "_k", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"),
+                     (F.col("_off") + F.col("_before")).alias("_off"), F.col("_c").alias("_m")))
     closed = state.where(~(F.col("_lo") < F.col("_hi")))
-    return closed.unionByName(refined.select(*closed.columns))
-
-
-def _two_middle(ranked: DataFrame, by: list[str], out: str) -> DataFrame:
-    """From rows with ``_pos`` (0-based global rank in the group), ``_k1`` and ``_k2``."""
-    pos = F.col("_pos")
-    return (ranked.where((pos == F.col("_k1")) | (pos == F.col("_k2")))
-            .groupBy(*by)
-            .agg(((F.max(F.when(pos == F.col("_k1"), F.col("_x")))
-                   + F.max(F.when(pos == F.col("_k2"), F.col("_x")))) / F.lit(2.0)).alias(out)))
+    return closed.unionByName(found.select(*closed.columns))
 
 
 def group_median(df: DataFrame, by: list[str], value: str, out: str = "median",
-                 max_rank_rows: int = MAX_RANK_ROWS, buckets: int = BUCKETS,
-                 max_rounds: int = MAX_ROUNDS, rows_hint: int | None = None) -> DataFrame:
-    """One row per group with a non-null value: ``by`` columns + ``out``.
-
-    ``rows_hint`` is a known upper bound of ``df``'s row count (for example observed while it was
-    written). When it is at most ``max_rank_rows`` no group can exceed the limit, so the groups
-    are ranked directly in one query, without the state, checkpoint and driver round trip.
-    """
+                 max_rank_rows: int = MAX_RANK_ROWS, buckets: int = BUCKETS) -> DataFrame:
+    """One row per group with a non-null value: ``by`` columns + ``out``."""
     base = df.select(*by, nan_to_null(value).alias("_x")).where(F.col("_x").isNotNull())
     for c in by:  # pandas groupby drops null keys: such rows get no median
         base = base.where(F.col(c).isNotNull())
 
-    if rows_hint is not None and rows_hint <= max_rank_rows:
-        w = Window.partitionBy(*by)
-        n = F.count(F.lit(1)).over(w)
-        ranked = (base.withColumn("_k1", F.floor((n - 1) / 2).cast("bigint"))
-                  .withColumn("_k2", F.floor(n / 2).cast("bigint"))
-                  .withColumn("_pos", F.row_number().over(w.orderBy("_x")) - 1))
-        result = _two_middle(ranked, by, out)
-        return F.broadcast(result) if rows_hint <= MAX_BROADCAST_GROUPS else result
-
     n = F.col("_n")
-    state = (base.groupBy(*by)
-             .agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-             .select(*by, F.floor((n - 1) / 2).cast("bigint").alias("_k1"), F.floor(n / 2).cast("bigint").alias("_k2"),
-                     "_lo", "_hi", F.lit(0).cast("bigint").alias("_off"), n.alias("_m")))
-    state = materialize(state)
-    largest, groups = _open_stats(state)
-    small = groups <= MAX_BROADCAST_GROUPS
-    rounds = 0
-    while largest > max_rank_rows and rounds < max_rounds:
-        state = materialize(_refine(base, state, by, buckets, small))
-        largest, _ = _open_stats(state)
-        rounds += 1
-
-    # groups whose interval is one value are answered by it; others rank their candidates
-    closed = state.where(~(F.col("_lo") < F.col("_hi"))).select(*by, F.col("_lo").alias(out))
-    ranked = (_candidates(base, state, by, small)
-              .withColumn("_pos", F.row_number().over(Window.partitionBy(*by).orderBy("_x")) - 1 + F.col("_off")))
-    result = closed.unionByName(_two_middle(ranked, by, out))
-    # one row per group; with a checked small group count, joins against it stay map-side
-    return F.broadcast(result) if small else result
+    groups = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    middle = F.array(F.struct(F.lit(1).alias("which"), F.floor((n - 1) / 2).cast("bigint").alias("k")),
+                     F.struct(F.lit(2).alias("which"), F.floor(n / 2).cast("bigint").alias("k")))
+    state = stage_table(groups.withColumn("_r", F.explode(middle)).select(
+        *by, F.col("_r.which").alias("_which"), F.col("_r.k").alias("_k"), "_lo", "_hi",
+        F.lit(0).cast("bigint").alias("_off"), n.alias("_m")), "median-state")
+    while _most_candidates(state) > max_rank_rows:
+        state = stage_table(_refine(base, state, by, buckets), "median-state")
+
+    key = [*by, "_which"]
+    closed = state.where(~(F.col("_lo") < F.col("_hi"))).select(*key, F.col("_lo").alias("_v"))
+    place = F.row_number().over(Window.partitionBy(*key).orderBy("_x")) - 1 + F.col("_off")
+    ranked = (_candidates(base, state, by).withColumn("_pos", place)
+              .where(F.col("_pos") == F.col("_k")).select(*key, F.col("_x").alias("_v")))
+    values = closed.unionByName(ranked).groupBy(*by).agg(
+        F.max(F.when(F.col("_which") == 1, F.col("_v"))).alias("_a"), F.max(F.when(F.col("_which") == 2, F.col("_v"))).alias("_b"))
+    return stage_table(values.select(*by, ((F.col("_a") + F.col("_b")) / F.lit(2.0)).alias(out)), "median")

@@ -14,18 +14,21 @@ from pyspark.sql import functions as F
 from ..functions.columns import nan_to_null
 
 HASH_LENGTH = 66
+MONEY_LIMIT = 1e10
 
 # Rule names used in the quarantine's failed_rules list.
-RULES = ("amount_positive", "sender_not_receiver", "hash_length", "timestamp_present")
+RULES = ("amount_positive", "sender_not_receiver", "hash_length", "timestamp_present", "money_fits")
 
 
 def rule_columns() -> dict[str, Column]:
-    amount = nan_to_null("amount")
+    amount, fee = nan_to_null("amount"), nan_to_null("fee")
     return {
         "amount_positive": F.coalesce(amount > 0, F.lit(False)),                                   # V1
         "sender_not_receiver": F.coalesce(F.col("sender") != F.col("receiver"), F.lit(True)),     # V2
         "hash_length": F.coalesce(F.length("tx_hash") == HASH_LENGTH, F.lit(False)),              # V3
         "timestamp_present": F.col("timestamp").isNotNull(),                                      # V4
+        # the warehouse's DECIMAL(18,8) and its DECIMAL(18,2) in USD hold amounts below 10^10
+        "money_fits": F.coalesce(F.abs(amount) < MONEY_LIMIT, F.lit(True)) & F.coalesce(F.abs(fee) < MONEY_LIMIT, F.lit(True)),
     }
 
 
@@ -101,9 +104,9 @@ def assert_quality(df: DataFrame) -> dict:
     """Run the gate; raise if any bad row exists. Returns the counts."""
     row = quality_counts(df).first().asDict()
     if row["bad_amount"] != 0:
-        raise QualityGateError(f"DQ FAIL: {row['bad_amount']} rows with amount <= 0")
+        raise QualityGateError(f"quality gate: amounts that are not positive: {row['bad_amount']}")
     if row["null_hash"] != 0:
-        raise QualityGateError(f"DQ FAIL: {row['null_hash']} rows with null tx_hash")
+        raise QualityGateError(f"quality gate: rows without a transaction hash: {row['null_hash']}")
     return row
 
 

@@ -60,21 +60,9 @@ def _before_counts(values: DataFrame, part: list[str], value: str, descending: b
             .select(*values.columns, (F.col("_offset") + F.col("_local")).cast("bigint").alias("_before")))
 
 
-MAX_WINDOW_ROWS = 1_000_000
-
-
 def rank_by_value(df: DataFrame, part: list[str], value: str, out: str = "rank",
-                  descending: bool = True, num_ranges: int | None = None,
-                  rows_hint: int | None = None, max_window_rows: int = MAX_WINDOW_ROWS) -> DataFrame:
-    """``df`` plus ``out`` = rank() over (partition by part order by value [desc] nulls last).
-
-    ``rows_hint`` is a known upper bound of ``df``'s row count (for example observed while it was
-    written). When it is at most ``max_window_rows`` no partition can exceed that, so a plain
-    window is bounded and is used; otherwise the distributed path below runs.
-    """
-    if rows_hint is not None and rows_hint <= max_window_rows:
-        w = Window.partitionBy(*part).orderBy(_order_expr(value, descending))
-        return df.withColumn(out, F.rank().over(w).cast("bigint"))
+                  descending: bool = True, num_ranges: int | None = None) -> DataFrame:
+    """``df`` plus ``out`` = rank() over (partition by part order by value [desc] nulls last)."""
     counts = df.groupBy(*part, value).agg(F.count(F.lit(1)).alias("_cnt"))
     before = _before_counts(counts, part, value, descending, "_cnt", num_ranges)
     ranks = before.select(*[F.col(p).alias(f"_k_{p}") for p in part], F.col(value).alias("_k_v"),
@@ -84,15 +72,11 @@ def rank_by_value(df: DataFrame, part: list[str], value: str, out: str = "rank",
 
 
 def surrogate_keys(df: DataFrame, key: str, out: str, num_ranges: int | None = None,
-                   key_type: str = "int", rows_hint: int | None = None,
-                   max_window_rows: int = MAX_WINDOW_ROWS) -> DataFrame:
+                   key_type: str = "bigint") -> DataFrame:
     """Dense 1..n keys in ``key`` order for a table whose ``key`` is unique (SERIAL semantics).
 
     No single-partition window: rows are range-partitioned on the key and numbered inside their
     range plus the sizes of the ranges before it; the rows travel with their key, so no join back.
     """
-    if rows_hint is not None and rows_hint <= max_window_rows:
-        # a known bound of at most max_window_rows rows: one ordered window task is bounded
-        return df.withColumn(out, F.row_number().over(Window.orderBy(F.col(key).asc_nulls_last())).cast(key_type))
     before = _before_counts(df, [], key, False, None, num_ranges)
     return before.select(*df.columns, (F.col("_before") + 1).cast(key_type).alias(out))

@@ -50,15 +50,13 @@ def wallet_addresses(df: DataFrame) -> DataFrame:
             .groupBy("wallet_address").agg(F.min("timestamp").alias("first_seen")))
 
 
-def dim_wallet(df: DataFrame, metadata: DataFrame, rows_hint: int | None = None) -> DataFrame:
+def dim_wallet(df: DataFrame, metadata: DataFrame) -> DataFrame:
     """D2 (+D6): wallet_key, wallet_address, kyc_verified, country_code, risk_score DECIMAL(5,2).
-    Wallets without metadata keep NULL attributes. ``rows_hint``: a known bound of ``df``'s row
-    count; there are at most twice as many addresses (see ``surrogate_keys``)."""
+    Wallets without metadata keep NULL attributes."""
     md = metadata.select("wallet_address", "kyc_verified", F.col("country").alias("country_code"),
                          F.col("risk_score").cast(RISK_DECIMAL).alias("risk_score"))
     wallets = wallet_addresses(df).join(md, "wallet_address", "left")
-    keyed = surrogate_keys(wallets, "wallet_address", "wallet_key",
-                           rows_hint=None if rows_hint is None else 2 * rows_hint)
+    keyed = surrogate_keys(wallets, "wallet_address", "wallet_key")
     return keyed.select("wallet_key", "wallet_address", "kyc_verified", "country_code", "risk_score", "first_seen")
 
 
@@ -103,7 +101,7 @@ def fact_transactions(df: DataFrame, dates: DataFrame, wallets: DataFrame, tx_ty
     fact = joined.select(
         F.col("tx_id").cast("bigint").alias("fact_id"), "tx_id", "tx_hash", "date_key", "sender_key",
         "receiver_key", "tx_type_key", "network_key",
-        F.col("block_id").cast("int").alias("block_id"),
+        F.col("block_id").cast("bigint").alias("block_id"),
         money("amount").alias("amount"),
         money("fee").alias("fee"),
         (F.col("amount") * F.lit(float(usd_rate))).cast(USD_DECIMAL).alias("amount_usd"),
@@ -125,9 +123,9 @@ def blocks_table(df: DataFrame) -> DataFrame:
     """O2: one row per block. Hash, miner and reward have no source: the hash is derived from the
     block id (NOT NULL UNIQUE), miner stays NULL, reward takes its default 0."""
     return (df.where(F.col("block_id").isNotNull())
-            .groupBy("block_id").agg(F.count(F.lit(1)).cast("int").alias("tx_count"),
+            .groupBy("block_id").agg(F.count(F.lit(1)).alias("tx_count"),
                                      F.min("timestamp").alias("created_at"))
-            .select(F.col("block_id").cast("int").alias("block_id"),
+            .select(F.col("block_id").cast("bigint").alias("block_id"),
                     F.concat(F.lit("0x"), F.sha2(F.concat(F.lit("block-"), F.col("block_id").cast("string")), 256))
                     .alias("block_hash"),
                     F.lit(None).cast("string").alias("miner_address"),
@@ -140,7 +138,7 @@ def transactions_table(df: DataFrame, wallets: DataFrame) -> DataFrame:
     s = wallets.select(F.col("wallet_id").alias("sender_id"), F.col("wallet_address").alias("sender"))
     r = wallets.select(F.col("wallet_id").alias("receiver_id"), F.col("wallet_address").alias("receiver"))
     t = (df.join(s, "sender", "left").join(r, "receiver", "left")
-         .select("tx_id", "tx_hash", F.col("block_id").cast("int").alias("block_id"), "sender_id", "receiver_id",
+         .select("tx_id", "tx_hash", F.col("block_id").cast("bigint").alias("block_id"), "sender_id", "receiver_id",
                  money("amount").alias("amount"), money("fee").alias("fee"), "tx_type", "status", "network",
                  F.col("timestamp").alias("created_at")))
     return apply_defaults(t, {"fee": F.lit(0).cast("decimal(18,8)"), "tx_type": "TRANSFER",

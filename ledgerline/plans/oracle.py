@@ -154,7 +154,7 @@ SELECT wallet_address, min("timestamp") AS first_seen FROM (
 WHERE wallet_address IS NOT NULL GROUP BY wallet_address""")
 
 _cte("dim_wallet", """
-SELECT CAST(row_number() OVER (ORDER BY s.wallet_address) AS INTEGER) AS wallet_key, s.wallet_address,
+SELECT row_number() OVER (ORDER BY s.wallet_address) AS wallet_key, s.wallet_address,
        w.kyc_verified, w.country AS country_code, CAST(w.risk_score AS DECIMAL(5,2)) AS risk_score, s.first_seen
 FROM wallet_seen s LEFT JOIN ledger_wallets w ON s.wallet_address = w.wallet_address""")
 
@@ -171,7 +171,7 @@ FROM (SELECT DISTINCT network FROM validated WHERE network IS NOT NULL)""")
 _cte("fact", """
 SELECT CAST(v.tx_id AS BIGINT) AS fact_id, v.tx_id, v.tx_hash, dd.date_key,
        s.wallet_key AS sender_key, r.wallet_key AS receiver_key, t.tx_type_key, n.network_key,
-       CAST(v.block_id AS INTEGER) AS block_id,
+       CAST(v.block_id AS BIGINT) AS block_id,
        CAST(v.amount AS DECIMAL(18,8)) AS amount, CAST(v.fee AS DECIMAL(18,8)) AS fee,
        CAST(v.amount * 45000.0 AS DECIMAL(18,2)) AS amount_usd,
        CAST(coalesce(v.is_anomaly, 0) AS SMALLINT) AS is_anomaly, v.status
@@ -188,14 +188,14 @@ SELECT wallet_key AS wallet_id, wallet_address, coalesce(kyc_verified, false) AS
 FROM dim_wallet""")
 
 _cte("blocks_3nf", """
-SELECT CAST(block_id AS INTEGER) AS block_id,
+SELECT CAST(block_id AS BIGINT) AS block_id,
        '0x' || sha256('block-' || CAST(block_id AS VARCHAR)) AS block_hash,
        CAST(NULL AS VARCHAR) AS miner_address, CAST(0 AS DECIMAL(18,8)) AS reward,
-       CAST(count(*) AS INTEGER) AS tx_count, min("timestamp") AS created_at
+       count(*) AS tx_count, min("timestamp") AS created_at
 FROM validated WHERE block_id IS NOT NULL GROUP BY block_id""")
 
 _cte("transactions_3nf", """
-SELECT v.tx_id, v.tx_hash, CAST(v.block_id AS INTEGER) AS block_id, s.wallet_id AS sender_id,
+SELECT v.tx_id, v.tx_hash, CAST(v.block_id AS BIGINT) AS block_id, s.wallet_id AS sender_id,
        r.wallet_id AS receiver_id, CAST(v.amount AS DECIMAL(18,8)) AS amount,
        coalesce(CAST(v.fee AS DECIMAL(18,8)), CAST(0 AS DECIMAL(18,8))) AS fee,
        coalesce(v.tx_type, 'TRANSFER') AS tx_type, coalesce(v.status, 'PENDING') AS status,

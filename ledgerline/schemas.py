@@ -63,6 +63,8 @@ DRIVER_TABLES = {
 
 # Warehouse money types.
 AMOUNT_DECIMAL = DecimalType(18, 8)
+# Sums of money: the widest scale-8 input whose Spark sum (10 more digits) still has 38 digits.
+SUM_DECIMAL = DecimalType(28, 8)
 USD_DECIMAL = DecimalType(18, 2)
 RISK_DECIMAL = DecimalType(5, 2)
 

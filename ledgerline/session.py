@@ -78,7 +78,8 @@ def build_session(master: str | None = None, app_name: str = "ledgerline",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, honouring ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (unit tests on one machine) a fresh local folder is used.
+    Only a local master without a configured folder (unit tests on one machine) gets a fresh local one;
+    any other master raises, since its executors would each write to a disk of their own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -86,6 +87,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null
@@ -72,21 +73,41 @@ def read_report_csv(spark: SparkSession, path: str, schema) -> DataFrame:
 
 # ---- warehouse load (K6, K7) -------------------------------------------------------------------
 
-def create_table_like(df: DataFrame, path: str) -> None:
-    """K6: create an empty Parquet table with ``df``'s schema if none exists (CTAS WHERE 1=0)."""
-    spark = df.sparkSession
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """False only when the path is missing; any other error of the read surfaces."""
     try:
-        spark.read.parquet(path).schema  # exists
-    except Exception:  # noqa: BLE001 - missing path
-        df.where(F.lit(False)).write.mode("overwrite").parquet(path)
+        spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
+def create_table_like(df: DataFrame, path: str) -> None:
+    """K6: create an empty Parquet table with ``df``'s schema if none exists (CTAS WHERE 1=0). Never
+    overwrites: a table that exists but cannot be read raises and stays as it is."""
+    if not table_exists(df.sparkSession, path):
+        df.where(F.lit(False)).write.mode("errorifexists").parquet(path)
 
 
 def append_new(df: DataFrame, path: str, key: str = "tx_hash") -> int:
-    """K7: idempotent append: rows whose ``key`` is already in the table are skipped (left anti
-    join), so a re-run does not double the table. Returns the new row count of the table."""
+    """K7: idempotent append: rows whose ``key`` is already in the table are skipped (left anti join), so
+    a re-run does not double the table. Returns the number of rows written.
+
+    The key is NOT NULL UNIQUE: of rows with one key inside the batch the least one (by all columns in
+    their order) is loaded, and rows with a NULL key are appended to ``<path>_rejected`` instead.
+    """
     spark = df.sparkSession
     create_table_like(df, path)
-    existing = spark.read.parquet(path).select(key)
-    fresh = df.join(existing, df[key].eqNullSafe(existing[key]), "left_anti")
-    fresh.write.mode("append").parquet(path)
-    return spark.read.parquet(path).count()
+    rejected = df.where(F.col(key).isNull())
+    if not rejected.isEmpty():
+        rejected.write.mode("append").parquet(f"{path.rstrip('/')}_rejected")
+    rest = [c for c in df.columns if c != key]
+    batch = (df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*rest)).alias("_row"))
+             .select(key, "_row.*").select(*df.columns))
+    existing = spark.read.parquet(path).select(F.col(key).alias("_existing"))
+    rows = Observation("appended")
+    fresh = batch.join(existing, batch[key] == existing["_existing"], "left_anti")
+    fresh.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+    return int(rows.get["rows"])

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.columns import nan_to_null
 from ..schemas import EVENT
@@ -18,8 +19,8 @@ from ..schemas import EVENT
 # Fixed values (parameters with the reference's defaults).
 HIGH_VALUE = 50.0
 EVENT_FEE_RATE = 0.005
+CORRUPT = "_corrupt_record"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-MAX_PER_TRIGGER = 100
 
 
 def build_events(ledger: DataFrame, fee_rate: float = EVENT_FEE_RATE) -> DataFrame:
@@ -68,12 +69,14 @@ def write_kafka(events: DataFrame, bootstrap: str, topic: str) -> None:
 
 
 def read_kafka_stream(spark: SparkSession, bootstrap: str, topic: str,
-                      max_per_trigger: int = MAX_PER_TRIGGER) -> DataFrame:
-    """Earliest offsets, at most ``max_per_trigger`` records per micro-batch."""
-    raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
-           .option("subscribe", topic).option("startingOffsets", "earliest")
-           .option("maxOffsetsPerTrigger", max_per_trigger).load())
-    return parse_kafka_records(raw)
+                      max_per_trigger: int | None = None) -> DataFrame:
+    """From the earliest offsets; ``max_per_trigger`` records per micro-batch, if given. Pass the
+    result to ``run_enrich_stream``."""
+    reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+              .option("subscribe", topic).option("startingOffsets", "earliest"))
+    if max_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
+    return parse_kafka_records(reader.load())
 
 
 # ---- files (S5, K4, ST2, ST3) ----------------------------------------------------------------
@@ -85,22 +88,29 @@ def write_event_files(events: DataFrame, path: str) -> None:
 
 def read_event_stream(spark: SparkSession, path: str, multiline: bool = False,
                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of JSON event files with the event schema."""
-    reader = spark.readStream.schema(EVENT).option("multiLine", multiline)
+    """Stream of JSON event files with the event schema: JSON lines, or with ``multiline`` one JSON
+    array (or object) per file. What cannot be parsed has its text in ``_corrupt_record``."""
+    schema = StructType([*EVENT.fields, StructField(CORRUPT, StringType())])
+    reader = spark.readStream.schema(schema).option("multiLine", multiline).option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.json(path)
 
 
-def run_enrich_stream(spark: SparkSession, source: str, sink: str, checkpoint: str,
-                      max_files_per_trigger: int | None = None, timeout_s: int = 600) -> int:
-    """ST1 + K4 + ST2 + ST3: process everything available now, then stop. Offsets and output
-    commit together per micro-batch in ``checkpoint``; a restart picks up only new files.
-    Returns the number of micro-batches run."""
-    stream = enrich_events(read_event_stream(spark, source, max_files_per_trigger=max_files_per_trigger))
-    query = (stream.writeStream.format("json").option("path", sink).option("checkpointLocation", checkpoint)
-             .outputMode("append").trigger(availableNow=True).start())
-    query.awaitTermination(timeout_s)
-    batches = len(query.recentProgress)
-    query.stop()
-    return batches
+def run_enrich_stream(source: DataFrame, sink: str, checkpoint: str) -> None:
+    """ST1 + K4 + ST2 + ST3: process everything that ``source`` (a file or Kafka stream of events) has now,
+    then stop. There is no time limit: the call returns at the end of the data, or raises. Offsets
+    and output commit together per micro-batch in ``checkpoint``, so a restart picks up only what is new.
+    Records that could not be parsed go to ``<sink>_corrupt``, with a checkpoint of their own."""
+    runs = []
+    events = source
+    if CORRUPT in source.columns:
+        events = source.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        # with the parsed columns: a JSON scan of nothing but the corrupt text is not allowed
+        bad = source.where(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "record")
+        runs.append((bad, f"{sink.rstrip('/')}_corrupt", f"{checkpoint.rstrip('/')}_corrupt"))
+    runs.append((enrich_events(events), sink, checkpoint))
+    for frame, out, offsets in runs:
+        query = (frame.writeStream.format("json").option("path", out).option("checkpointLocation", offsets)
+                 .outputMode("append").trigger(availableNow=True).start())
+        query.awaitTermination()

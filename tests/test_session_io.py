@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ledgerline.session import scale_conf
 from ledgerline.sources import io
-from ledgerline.sources.ledger_views import spread_if_few_splits
 
 
 def test_scale_conf_bounds():
@@ -18,14 +17,6 @@ def test_scale_conf_bounds():
     assert big["spark.sql.files.maxPartitionBytes"] == big["spark.sql.adaptive.advisoryPartitionSizeInBytes"]
 
 
-def test_spread_only_when_under_split(spark):
-    slots = spark.sparkContext.defaultParallelism
-    one = spark.range(1000).coalesce(1)
-    assert spread_if_few_splits(one).rdd.getNumPartitions() == slots
-    many = spark.range(1000).repartition(slots * 2)
-    assert spread_if_few_splits(many).rdd.getNumPartitions() == slots * 2
-
-
 def test_salted_partitioned_write_bounds_files(spark):
     df = spark.range(4000).select((F.col("id") % 2).cast("string").alias("network"), F.col("id").alias("v"))
     path = tempfile.mkdtemp(prefix="ledgerline-k2-") + "/t"

@@ -38,9 +38,9 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark):
     with open(f"{src}/b.json", "w") as f:
         f.write("\n".join(json.dumps({"tx_hash": h, "amount": a, "status": "PENDING"}) for h, a in EDGE[4:]))
         f.write("\n" + json.dumps({"tx_hash": "h8", "status": "PENDING"}))
-    ST.run_enrich_stream(spark, src, sink, ckpt)
+    ST.run_enrich_stream(ST.read_event_stream(spark, src), sink, ckpt)
     first = spark.read.json(sink).count()
-    ST.run_enrich_stream(spark, src, sink, ckpt)
+    ST.run_enrich_stream(ST.read_event_stream(spark, src), sink, ckpt)
     out = spark.read.json(sink)
     assert first == out.count() == 8
     got = {r.tx_hash: (r.amount, r.status) for r in out.collect()}
@@ -69,13 +69,13 @@ def test_load_twice_is_idempotent(spark):
     path = tempfile.mkdtemp(prefix="ledgerline-wh-") + "/fact"
     n1 = io.append_new(raw, path)
     n2 = io.append_new(raw, path)
-    assert n1 == n2 == raw.count()
+    assert n1 == raw.count() and n2 == 0 and spark.read.parquet(path).count() == n1
 
 
 def test_kafka_records_round_trip(spark):
     ev = ST.build_events(load_ledger(spark, SF_SMALL)[0])
     rec = ST.to_kafka_records(ev)
-    assert rec.where(F.col("key") != F.col("value").substr(0, 0)).count() == ev.count()
+    assert rec.count() == ev.count() and rec.where(F.col("key").isin("mainnet", "testnet")).count() == ev.count()
     back = ST.parse_kafka_records(rec)
     assert back.where(F.col("key") != F.col("network")).count() == 0
 
