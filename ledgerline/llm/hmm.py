@@ -200,6 +200,7 @@ class Lexicon:
         self.ids = {w: i for i, (w, _) in enumerate(head)}
         counts = np.array([c for _, c in head], float)
         self.word_class = np.array([number.get(w, len(own) + suffix_class(w)) for w, _ in head], np.int64)
+        self.known = counts > 0                 # all but the end mark of an empty training set
         self.base = np.log10((counts + ADD) / self.denominator) if len(head) else np.zeros(0)
         self.inside = np.array([0.0 if w in number else math.log10(c + ADD) - self.suffix_log[suffix_class(w)] for w, c in head])
         self.unigram = np.zeros(self.classes)
@@ -244,7 +245,7 @@ def encode(texts: DataFrame, lexicon: Lexicon) -> DataFrame:
                 head, tail = at[at >= 0], np.flatnonzero(at < 0)
                 classes = np.where(at >= 0, lex.word_class[np.maximum(at, 0)], first - 1 - at).astype(np.uint16)
                 rare = Counter([words[i] for i in tail])
-                got = [row, len(at), len(head), lex.base[head].sum() - len(tail) * math.log10(lex.denominator),
+                got = [row, len(at), int(lex.known[head].sum()), lex.base[head].sum() - len(tail) * math.log10(lex.denominator),
                        lex.inside[head].sum() - lex.suffix_log[-1 - at[tail]].sum(), len(tail), classes.tobytes(), list(rare), list(rare.values())]
                 row += 1
                 for column, value in zip(out, got, strict=True):
