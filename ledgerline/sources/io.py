@@ -61,6 +61,12 @@ def write_partitioned(df: DataFrame, path: str, by: str = "network", salt_bucket
     df.write.mode("overwrite").partitionBy(by).parquet(path)
 
 
+def write_by_date(df: DataFrame, path: str, by: str = "date_key") -> None:
+    """A table in one folder a day. ``rebalance`` collects a day's rows into few files and splits a day
+    that is larger than a shuffle partition should be."""
+    df.hint("rebalance", F.col(by)).write.mode("overwrite").partitionBy(by).parquet(path)
+
+
 def write_report_csv(df: DataFrame, path: str) -> None:
     """K3: a one-row report as CSV with header. ``coalesce(1)`` is safe only because the
     input is a single aggregate row."""

@@ -109,3 +109,13 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session())
+
+
+@pytest.mark.parametrize("name", ["q1_confirmed_per_day", "q3_running_volume_rank", "q5_daily_spike", "q5_daily_spike_sql"])
+def test_fact_queries_join_no_wallets(spark, name):
+    """They scan the persisted fact, not the joins that built it."""
+    from conftest import SF_SMALL
+    from ledgerline.plans import catalog
+
+    plan = catalog.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "wallet_address" not in plan and "receiver" not in plan and "BroadcastHashJoin" in plan
