@@ -91,11 +91,11 @@ def fact_transactions(df: DataFrame, dates: DataFrame, wallets: DataFrame, tx_ty
     receivers = wallets.select(F.col("wallet_key").alias("receiver_key"), F.col("wallet_address").alias("receiver"))
     anomaly = F.col("is_anomaly") if "is_anomaly" in df.columns else F.lit(0)
     joined = (df.withColumn("full_date", F.to_date("timestamp"))
-              .join(F.broadcast(dates.select("date_key", "full_date")), "full_date", "left")
+              .join(dates.select("date_key", "full_date"), "full_date", "left")
               .join(senders, "sender", "left")
               .join(receivers, "receiver", "left")
-              .join(F.broadcast(tx_types.select("tx_type_key", "tx_type")), "tx_type", "left")
-              .join(F.broadcast(networks.select("network_key", "network")), "network", "left"))
+              .join(tx_types.select("tx_type_key", "tx_type"), "tx_type", "left")
+              .join(networks.select("network_key", "network"), "network", "left"))
     # fact_id (BIGSERIAL): the source's unique tx_id. A dense global numbering of the largest
     # table would cost a range shuffle and a checkpoint of all facts for no query's benefit.
     fact = joined.select(

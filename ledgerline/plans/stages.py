@@ -92,7 +92,7 @@ class Ledger:
     # star schema
     @cached_property
     def dim_date(self) -> DataFrame:
-        return star.dim_date(self.validated)
+        return self._stage(star.dim_date(self.validated), "dim_date")
 
     @cached_property
     def dim_wallet(self) -> DataFrame:
@@ -101,11 +101,11 @@ class Ledger:
 
     @cached_property
     def dim_tx_type(self) -> DataFrame:
-        return star.dim_tx_type(self.validated)
+        return self._stage(star.dim_tx_type(self.validated), "dim_tx_type")
 
     @cached_property
     def dim_network(self) -> DataFrame:
-        return star.dim_network(self.validated)
+        return self._stage(star.dim_network(self.validated), "dim_network")
 
     @cached_property
     def fact(self) -> DataFrame:
