@@ -7,8 +7,10 @@ of 8 to 12 words must occur as a whole, word for word; shorter items are no evid
 The fixed mask 11010011 hashes five of eight neighbouring words and ignores the other three.
 Tried over all 91 ways to place at most two substitutions in 13 words, some placement of the mask
 always avoids them, so the seeds lose no overlap. Hashes of the training texts are first screened
-by a bit array of the benchmark's hashes (size fixed by their count), so only hits leave their
-row; hits join the benchmark's hashes, and each is verified on the words around it.
+by a bit array of the benchmark's hashes, so only hits leave their row; hits join the benchmark's
+hashes, and each is verified on the words around it. The array's size follows the hashes' count up
+to ``MAX_BITS``; a benchmark beyond that fills it more, so more chance hits reach the join, which
+drops them: the result is the same.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ MASKS = ("11010011",)
 WINDOW = 13
 SUBSTITUTIONS = 2
 BITS_PER_KEY, PROBES = 64, 2
+MAX_BITS = 1 << 27              # 16 MB: the most that a task holds of the benchmark
 
 
 def word_hashes(text: Column) -> Column:
@@ -67,7 +70,7 @@ def item_seeds(benchmark: DataFrame, id_col: str, text_col: str, masks, window:
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_id_col: str = "item_id", item_text_col: str = "text", masks=MASKS,
-                  window: int = WINDOW, substitutions: int = SUBSTITUTIONS) -> DataFrame:
+                  window: int = WINDOW, substitutions: int = SUBSTITUTIONS, max_bits: int = MAX_BITS) -> DataFrame:
     """One row per overlapping (doc_id, item_id): first_word (of the document, from 0),
     matched_words (most agreeing words of one window), hits (verified seeds).
 
@@ -76,7 +79,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     benchmark gives no rows.
     """
     items = stage_table(item_seeds(benchmark, item_id_col, item_text_col, masks, window), "bench-seeds")
-    n_bits = bits_for(items.count(), BITS_PER_KEY)
+    n_bits = min(bits_for(items.count(), BITS_PER_KEY), max_bits)
     screen = stage_table(build_words(items.select("seed").distinct(), "seed", n_bits, PROBES, 9), "bench-bits")
 
     words = screen.scalar()
