@@ -188,7 +188,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     if min(got.get((y, False), 0) for y in n) < MIN_CURVE:
         return ToxicityModel(fit_counts(rows), *PLAIN_CURVE)
     kn = fit_counts(rows.where("part < 3"))
-    curve = stage_table(with_likelihoods(rows.where("part = 3"), kn).select("y", _normalised(length_power).alias("x")).coalesce(1), "kn-curve")
+    curve = stage_table(with_likelihoods(rows.where("part = 3"), kn).select("y", _normalised(length_power).alias("x"))
+                        .repartition(1).sortWithinPartitions("x", "y"), "kn-curve")     # two numbers a sample text, in a fixed order
     lr = LogisticRegression(labelCol="y", featuresCol="v", regParam=1e-5, maxIter=200).fit(curve.select("y", array_to_vector(F.array("x")).alias("v")))
     return ToxicityModel(kn, float(lr.coefficients[0]), float(lr.intercept))
 
