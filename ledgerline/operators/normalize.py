@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage_table
 from .aggregates import wallet_stats
 
 Z_THRESHOLD = 3.5
@@ -83,36 +84,32 @@ def flag_failed_rate(df: DataFrame, threshold: float = FAILED_RATE_THRESHOLD) ->
 
 
 def flag_rapid_repeats(df: DataFrame, seconds: float = RAPID_REPEAT_SECONDS,
-                       bucket_seconds: int = 60) -> DataFrame:
+                       num_ranges: int | None = None) -> DataFrame:
     """Gap to the previous transaction of the same (sender, receiver) pair < ``seconds``.
 
-    ``lag`` over (sender, receiver) alone would put a hot pair in one task. Rows are windowed per
-    (pair, minute) instead; the first row of a minute takes its previous timestamp from the
-    latest row of the pair's previous non-empty minute, found in a per-(pair, minute) table whose
-    window partitions hold at most one row per minute of the pair's history. A hot pair's month
-    of rows is thus split into ~43,000 (pair, minute) groups instead of one. Exact for any
-    ``bucket_seconds``. Rows without a timestamp are never flagged.
+    ``lag`` over (sender, receiver) alone would put a hot pair in one task. Rows are range-partitioned
+    on (pair, time, tx_id) and written, so a pair's burst, even one inside a single second, is split
+    like anything else; ``lag`` runs inside a range, and a range's first row takes its previous
+    timestamp from the last row of the range before it (a table with one row per range). Rows
+    without a timestamp are never flagged.
     """
     pair = ["sender", "receiver"]
     # micros since the epoch of the wall-clock (NTZ) value: no session time zone, no DST shifts
     epoch = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `timestamp`)")
-    timed = (df.withColumn("_t", epoch)
-             .withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_seconds * 1_000_000))))
-    has_t = timed.where(F.col("_t").isNotNull())
-
-    last_of_bucket = (has_t.groupBy(*pair, "_b").agg(F.max("_t").alias("_bmax"))
-                      .withColumn("_prev_bucket_max",
-                                  F.lag("_bmax").over(Window.partitionBy(*pair).orderBy("_b")))
-                      .select(*pair, "_b", "_prev_bucket_max"))
-    w = Window.partitionBy(*pair, "_b").orderBy("_t", "tx_id")
-    local = has_t.withColumn("_prev_t", F.lag("_t").over(w))
-    # null-safe keys: as in SQL's window, a NULL sender or receiver still forms one pair
-    lob = last_of_bucket.select(*[F.col(c).alias(f"_k_{c}") for c in [*pair, "_b"]], "_prev_bucket_max")
-    cond = [local[c].eqNullSafe(lob[f"_k_{c}"]) for c in [*pair, "_b"]]
-    joined = (local.join(lob, cond, "left")
-              .withColumn("_prev_t", F.coalesce(F.col("_prev_t"), F.col("_prev_bucket_max"))))
-    gap = (F.col("_t") - F.col("_prev_t")) / F.lit(1_000_000.0)
-    flagged = joined.withColumn("gap_seconds", gap).withColumn(
+    timed = df.withColumn("_t", epoch)
+    n = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stage_table(timed.where(F.col("_t").isNotNull()).repartitionByRange(n, *pair, "_t", "tx_id")
+                         .withColumn("_range", F.spark_partition_id()), "rapid-repeats")
+
+    last = ranged.groupBy("_range").agg(F.max(F.struct(*pair, "_t")).alias("_last"))
+    carry = last.select(F.col("_range").alias("_k_range"), F.lag("_last").over(Window.orderBy("_range")).alias("_carry"))
+    w = Window.partitionBy("_range", *pair).orderBy("_t", "tx_id")
+    local = ranged.withColumn("_prev_t", F.lag("_t").over(w))
+    joined = local.join(carry, local["_range"] == carry["_k_range"], "left")
+    # null-safe: as in SQL's window, a NULL sender or receiver still forms one pair
+    same_pair = F.col("_carry.sender").eqNullSafe(F.col("sender")) & F.col("_carry.receiver").eqNullSafe(F.col("receiver"))
+    before = F.coalesce(F.col("_prev_t"), F.when(same_pair, F.col("_carry._t")))
+    flagged = joined.withColumn("gap_seconds", (F.col("_t") - before) / F.lit(1_000_000.0)).withColumn(
         "is_rapid_repeat", F.coalesce(F.col("gap_seconds") < F.lit(float(seconds)), F.lit(False)).cast("int"))
     no_t = (timed.where(F.col("_t").isNull())
             .withColumn("gap_seconds", F.lit(None).cast("double"))

@@ -2,16 +2,15 @@
 
 Dimension sizes and what that means for joins:
 
-* dim_date, dim_tx_type, dim_network are bounded by the calendar span and the (tiny) value
-  domains, so they are broadcast explicitly and keyed with an ordinary window over a table of
-  a few hundred rows at most;
-* dim_wallet grows with the number of wallets, so it is never force-broadcast (Spark's size
-  checks decide) and its keys come from the distributed ``surrogate_keys``.
+* dim_date is bounded by the calendar: 3.65 million days from year 1 to 9999, made from one row;
+* dim_tx_type and dim_network hold free text of the input, which nothing bounds, and dim_wallet grows
+  with the number of wallets. All three get their keys from the distributed ``surrogate_keys``, and
+  none is force-broadcast: they are written tables, so Spark's size checks decide.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import money
@@ -21,11 +20,6 @@ from .quality import apply_defaults
 from .ranking import surrogate_keys
 
 
-def _small_dim_keys(df: DataFrame, natural: str, key: str) -> DataFrame:
-    """Keys for a dimension whose size is bounded by a fixed value domain."""
-    return df.withColumn(key, F.row_number().over(Window.orderBy(natural)).cast("int"))
-
-
 def dim_date(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     """Every calendar day from the first to the last transaction date."""
     bounds = df.agg(F.min(F.to_date(ts)).alias("_lo"), F.max(F.to_date(ts)).alias("_hi"))
@@ -63,7 +57,7 @@ def dim_wallet(df: DataFrame, metadata: DataFrame) -> DataFrame:
 def dim_tx_type(df: DataFrame, categories: dict | None = None, descriptions: dict | None = None) -> DataFrame:
     """D3: one row per tx_type; category/description from optional user mappings."""
     base = df.where(F.col("tx_type").isNotNull()).select("tx_type").distinct()
-    out = _small_dim_keys(base, "tx_type", "tx_type_key")
+    out = surrogate_keys(base, "tx_type", "tx_type_key", key_type="int")
     return out.select("tx_type_key", "tx_type",
                       _lookup("tx_type", categories).alias("category"),
                       _lookup("tx_type", descriptions).alias("description"))
@@ -72,7 +66,7 @@ def dim_tx_type(df: DataFrame, categories: dict | None = None, descriptions: dic
 def dim_network(df: DataFrame, chain_ids: dict | None = None, descriptions: dict | None = None) -> DataFrame:
     """One row per network; chain_id/description from optional user mappings."""
     base = df.where(F.col("network").isNotNull()).select("network").distinct()
-    out = _small_dim_keys(base, "network", "network_key")
+    out = surrogate_keys(base, "network", "network_key", key_type="int")
     return out.select("network_key", "network",
                       _lookup("network", chain_ids).cast("int").alias("chain_id"),
                       _lookup("network", descriptions).alias("description"))

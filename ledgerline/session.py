@@ -130,5 +130,13 @@ def counted_stage_table(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     return spark.read.parquet(path), int(obs.get["rows"])
 
 
+def release_stages(spark: SparkSession) -> None:
+    """Delete this application's stage tables, at its end: frames that read them are unusable afterwards.
+    The checkpoint folder is the application's own (Spark makes one per ``setCheckpointDir``)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/ledgerline-work")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

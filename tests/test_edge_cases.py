@@ -173,3 +173,16 @@ def test_rapid_repeat_null_receiver_pair(spark):
             {"tx_id": 2, "receiver": None, "timestamp": t + dt.timedelta(milliseconds=300)}]
     got = {r.tx_id: r.is_rapid_repeat for r in flag_rapid_repeats(tx(spark, rows), seconds=1.0).collect()}
     assert got == {1: 0, 2: 1}
+
+
+def test_rapid_repeat_burst_is_split(spark):
+    """One pair, 600 rows within one second, ranges far smaller than the burst: gaps across ranges stay exact."""
+    t = dt.datetime(2024, 1, 1, 10, 0, 0)
+    rows = [{"tx_id": i, "timestamp": t + dt.timedelta(microseconds=1500 * (i // 2))} for i in range(600)]
+    rows += [{"tx_id": 1000 + i, "receiver": None, "sender": None, "timestamp": t + dt.timedelta(seconds=i)} for i in range(3)]
+    out = flag_rapid_repeats(tx(spark, rows), seconds=0.001, num_ranges=16)
+    got = {r.tx_id: (r.gap_seconds, r.is_rapid_repeat) for r in out.collect()}
+    want = {i: (None if i == 0 else 0.0 if i % 2 else 0.0015, int(i % 2)) for i in range(600)}
+    want |= {1000: (None, 0), 1001: (1.0, 0), 1002: (1.0, 0)}
+    assert got == want and out.count() == len(rows)
+    assert flag_rapid_repeats(tx(spark, rows[:1]).where("false")).count() == 0

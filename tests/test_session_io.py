@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from ledgerline.session import scale_conf
+from ledgerline.session import ensure_checkpoint_dir, release_stages, scale_conf, stage_table
 from ledgerline.sources import io
 
 
@@ -26,3 +26,18 @@ def test_salted_partitioned_write_bounds_files(spark):
         assert 1 <= len(files) <= 3
     back = spark.read.parquet(path)
     assert back.count() == 4000 and back.where("network = '1'").count() == 2000
+
+
+def test_release_stages_deletes_only_the_stage_tables(spark, tmp_path):
+    before = ensure_checkpoint_dir(spark)
+    try:
+        spark.sparkContext.setCheckpointDir(str(tmp_path))      # a folder of its own, apart from the other tests'
+        own = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+        other = os.path.join(own, "other")
+        os.makedirs(other)
+        assert stage_table(spark.range(5), "t").count() == 5 and os.listdir(f"{own}/ledgerline-work")
+        release_stages(spark)
+        assert not os.path.exists(f"{own}/ledgerline-work") and os.path.isdir(other)
+        release_stages(spark)
+    finally:
+        spark.sparkContext.setCheckpointDir(before)
