@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import count_where, money_avg, money_sum, ratio
+from ..functions.columns import count_where, money_avg, money_sum, ratio, wide_money
 
 TOP_SENDERS = 20
 
@@ -107,7 +107,7 @@ def anomaly_rate(df: DataFrame) -> DataFrame:
 def kpi_summary(df: DataFrame) -> DataFrame:
     """The one-row report (count, sum to 4 places, mean to 6, confirmed % to 2; half-even)."""
     return df.agg(F.count(F.lit(1)).alias("total_transactions"),
-                  F.bround(F.sum(F.col("amount").cast("decimal(18,8)")), 4).cast("double").alias("total_volume_btc"),
+                  F.bround(F.sum(wide_money("amount")), 4).cast("double").alias("total_volume_btc"),
                   F.bround(money_avg("amount"), 6).alias("avg_amount"),
                   F.bround(ratio(count_where(F.col("status") == "CONFIRMED") * 100, F.count(F.lit(1))), 2)
                   .alias("confirmed_pct"))
@@ -121,16 +121,16 @@ def row_count(df: DataFrame) -> DataFrame:
 # ---- one-pass report (A6-A11 from a single scan) ----------------------------------------------
 
 def report_rollup(df: DataFrame) -> DataFrame:
-    """One scan at (network, tx_type, status) grain: a table bounded by those three small value
-    domains, from which every report figure is derived exactly (sums are DECIMAL). Being bounded,
-    the rollup is gathered into one partition, so the derived figures need no further shuffle."""
+    """One scan at (network, tx_type, status) grain, from which every report figure is derived exactly
+    (sums are DECIMAL). The final aggregate keeps its shuffle partitions: gathered into one, a single
+    task would fetch the output of every map task."""
     return df.groupBy("network", "tx_type", "status").agg(
         F.count(F.lit(1)).alias("n"),
         F.count("amount").alias("n_amount"),
-        F.sum(F.col("amount").cast("decimal(18,8)")).alias("sum_amount"),
+        F.sum(wide_money("amount")).alias("sum_amount"),
         F.max("amount").alias("max_amount"),
         (F.sum("is_anomaly") if "is_anomaly" in df.columns else F.lit(None).cast("bigint")).alias("n_anomaly")
-    ).coalesce(1)
+    )
 
 
 def report_from_rollup(r: DataFrame) -> dict[str, DataFrame]:

@@ -66,6 +66,9 @@ def test_warehouse_null_keys_and_duplicates_in_a_batch(spark, tmp_path):
 def test_wide_amounts_sum_and_are_quarantined(spark):
     df = _tx(spark, [(1, "0x" + "a" * 64, "s", 2e10), (2, "0x" + "b" * 64, "s", 1.5)])
     assert A.volume_by_network(df).collect()[0]["volume"] == 2e10 + 1.5
+    assert A.kpi_summary(df).first()["total_volume_btc"] == 2e10 + 1.5
+    rolled = A.report_from_rollup(A.report_rollup(df))
+    assert rolled["kpi_summary"].first()["total_volume_btc"] == rolled["amount_overview"].first()["total_volume"] == 2e10 + 1.5
     valid, invalid = split_valid(df)
     assert [r.tx_id for r in valid.collect()] == [2]
     assert [r.failed_rules for r in invalid.collect()] == ["money_fits"]
