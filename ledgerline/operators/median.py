@@ -24,7 +24,7 @@ computes it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null
@@ -43,8 +43,11 @@ def _candidates(base: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
     return base.join(_open(state), by).where((x >= F.col("_lo")) & (x <= F.col("_hi")))
 
 
-def _most_candidates(state: DataFrame) -> int:
-    return int(_open(state).agg(F.max("_m")).first()[0] or 0)
+def _written(state: DataFrame) -> tuple[DataFrame, int]:
+    """The state as a table, and the candidates of its widest open interval (observed during the write)."""
+    seen = Observation("open-intervals")
+    most = F.max(F.when(F.col("_lo") < F.col("_hi"), F.col("_m"))).alias("most")
+    return stage_table(state.observe(seen, most), "median-state"), int(seen.get["most"] or 0)
 
 
 def _refine(base: DataFrame, state: DataFrame, by: list[str], buckets: int) -> DataFrame:
@@ -56,14 +59,14 @@ def _refine(base: DataFrame, state: DataFrame, by: list[str], buckets: int) -> D
     inner = F.least(F.floor(frac * F.lit(float(buckets))).cast("bigint"), F.lit(buckets - 1))
     bucket = F.when(x >= hi, F.lit(buckets)).when(x <= lo, F.lit(-1)).otherwise(inner)
     key = [*by, "_which"]
-    hist = (_candidates(base, state, by).withColumn("_b", bucket).groupBy(*key, "_b")
+    # _k and _off follow from the interval: they are grouped along, so the histogram needs no join back
+    hist = (_candidates(base, state, by).withColumn("_b", bucket).groupBy(*key, "_k", "_off", "_b")
             .agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_bmin"), F.max("_x").alias("_bmax")))
     # rows before each bucket, within the interval's candidates (at most buckets + 2 rows an interval)
     w = Window.partitionBy(*key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     hist = hist.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
     rank = F.col("_k") - F.col("_off")
-    found = (hist.join(_open(state).select(*key, "_k", "_off"), key)
-             .where((rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_c")))
+    found = (hist.where((rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_c")))
              .select(*key, "_k", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"),
                      (F.col("_off") + F.col("_before")).alias("_off"), F.col("_c").alias("_m")))
     closed = state.where(~(F.col("_lo") < F.col("_hi")))
@@ -81,11 +84,11 @@ def group_median(df: DataFrame, by: list[str], value: str, out: str = "median",
     groups = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
     middle = F.array(F.struct(F.lit(1).alias("which"), F.floor((n - 1) / 2).cast("bigint").alias("k")),
                      F.struct(F.lit(2).alias("which"), F.floor(n / 2).cast("bigint").alias("k")))
-    state = stage_table(groups.withColumn("_r", F.explode(middle)).select(
+    state, most = _written(groups.withColumn("_r", F.explode(middle)).select(
         *by, F.col("_r.which").alias("_which"), F.col("_r.k").alias("_k"), "_lo", "_hi",
-        F.lit(0).cast("bigint").alias("_off"), n.alias("_m")), "median-state")
-    while _most_candidates(state) > max_rank_rows:
-        state = stage_table(_refine(base, state, by, buckets), "median-state")
+        F.lit(0).cast("bigint").alias("_off"), n.alias("_m")))
+    while most > max_rank_rows:
+        state, most = _written(_refine(base, state, by, buckets))
 
     key = [*by, "_which"]
     closed = state.where(~(F.col("_lo") < F.col("_hi"))).select(*key, F.col("_lo").alias("_v"))
