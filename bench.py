@@ -74,11 +74,13 @@ def run_stages(spark, sf_dir: str, base: str, times: dict, rows: dict | None = N
 
     def do_report():
         validated = io.read_parquet(spark, f"{base}/validated")
-        rollup = A.report_rollup(validated).cache()   # bounded: networks x types x statuses
-        report = A.report_from_rollup(rollup)
+        rollup = A.report_rollup(validated).cache()
+        totals = A.report_totals(rollup).cache()      # one row
+        report = A.report_from_rollup(rollup, totals)
         for name in ("status_counts", "amount_overview", "volume_by_network", "volume_by_type", "anomaly_rate"):
             report[name].collect()
         io.write_report_csv(report["kpi_summary"], f"{base}/report")
+        totals.unpersist()
         rollup.unpersist()
     timed("report", do_report)
 

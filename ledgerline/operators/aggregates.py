@@ -133,27 +133,32 @@ def report_rollup(df: DataFrame) -> DataFrame:
     )
 
 
-def report_from_rollup(r: DataFrame) -> dict[str, DataFrame]:
-    """A6-A11 from ``report_rollup`` output; same columns as the direct functions."""
-    total = F.sum("n")
+def report_totals(r: DataFrame) -> DataFrame:
+    """The rollup's one-row totals, from which the report's four one-row figures are selected."""
+    of = lambda status: F.coalesce(F.sum(F.when(F.col("status") == status, F.col("n"))), F.lit(0))
+    return r.agg(F.sum("n").alias("n"), F.sum("n_amount").alias("n_amount"), F.sum("sum_amount").alias("sum_amount"),
+                 F.max("max_amount").alias("max_amount"), F.sum("n_anomaly").alias("n_anomaly"),
+                 of("CONFIRMED").alias("confirmed"), of("PENDING").alias("pending"), of("FAILED").alias("failed"))
+
+
+def report_from_rollup(r: DataFrame, totals: DataFrame | None = None) -> dict[str, DataFrame]:
+    """A6-A11 from ``report_rollup`` output; same columns as the direct functions. ``totals`` takes the
+    result of ``report_totals`` where a caller keeps it."""
+    totals = report_totals(r) if totals is None else totals
     vol = F.sum("sum_amount").cast("double")
     mean = F.try_divide(vol, F.sum("n_amount").cast("double"))
-    st = F.col("status")
+    total_mean = F.try_divide(F.col("sum_amount").cast("double"), F.col("n_amount").cast("double"))
     return {
         "volume_by_network": r.groupBy("network").agg(vol.alias("volume"), F.sum("n_amount").alias("tx_count")),
         "volume_by_type": r.groupBy("tx_type").agg(vol.alias("volume"), mean.alias("mean_amount"),
                                                    F.sum("n_amount").alias("tx_count")),
-        "status_counts": r.agg(total.alias("total"),
-                               F.coalesce(F.sum(F.when(st == "CONFIRMED", F.col("n"))), F.lit(0)).alias("confirmed"),
-                               F.coalesce(F.sum(F.when(st == "PENDING", F.col("n"))), F.lit(0)).alias("pending"),
-                               F.coalesce(F.sum(F.when(st == "FAILED", F.col("n"))), F.lit(0)).alias("failed")),
-        "amount_overview": r.agg(vol.alias("total_volume"), mean.alias("avg_amount"),
-                                 F.max("max_amount").alias("max_amount")),
-        "anomaly_rate": r.agg(F.coalesce(F.sum("n_anomaly"), F.lit(0)).cast("bigint").alias("flagged"),
-                              F.bround(ratio(F.sum("n_anomaly") * 100, total), 4).alias("flagged_pct")),
-        "kpi_summary": r.agg(total.alias("total_transactions"),
-                             F.bround(F.sum("sum_amount"), 4).cast("double").alias("total_volume_btc"),
-                             F.bround(mean, 6).alias("avg_amount"),
-                             F.bround(ratio(F.coalesce(F.sum(F.when(st == "CONFIRMED", F.col("n"))), F.lit(0)) * 100,
-                                            total), 2).alias("confirmed_pct")),
+        "status_counts": totals.select(F.col("n").alias("total"), "confirmed", "pending", "failed"),
+        "amount_overview": totals.select(F.col("sum_amount").cast("double").alias("total_volume"),
+                                         total_mean.alias("avg_amount"), "max_amount"),
+        "anomaly_rate": totals.select(F.coalesce("n_anomaly", F.lit(0)).cast("bigint").alias("flagged"),
+                                      F.bround(ratio(F.col("n_anomaly") * 100, F.col("n")), 4).alias("flagged_pct")),
+        "kpi_summary": totals.select(F.col("n").alias("total_transactions"),
+                                     F.bround("sum_amount", 4).cast("double").alias("total_volume_btc"),
+                                     F.bround(total_mean, 6).alias("avg_amount"),
+                                     F.bround(ratio(F.col("confirmed") * 100, F.col("n")), 2).alias("confirmed_pct")),
     }
