@@ -11,8 +11,9 @@ by the scaled forward recursion, times the words' probabilities within their cla
    words (a bound; the table reaches the tasks as a broadcast) are looked up at once; the distinct rarer
    words of a text join the written counts, with no bound on their number.
 3. Baum-Welch: each task sums expected transitions and emissions of its texts, which are added up by
-   an aggregate to states x classes numbers. The start is a mixture of unigram models, fitted on a
-   bounded sample of texts, whose components become the states.
+   an aggregate to states x classes numbers. The start is a mixture of unigram models over pieces of
+   at most ``SEGMENT`` tokens, fitted in the same way on all training texts, of whatever length; its
+   components become the states.
 4. One more pass computes the likelihoods.
 """
 
@@ -21,7 +22,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,9 @@ from .common import id_fold, id_text
 
 STATES, ITERATIONS = 8, 3
 CLASS_WORDS, SUFFIX_CLASSES, HEAD_WORDS = 16_000, 512, 120_000
-SAMPLE_TEXTS = 1_200            # bound of the sample that the start is fitted on
+MIXTURE_ROUNDS, SEGMENT = 8, 16                # of the start
+MIXTURE_PRIOR = 1_500.0         # weight of the class unigram in each component
+TILT, STATE_TILT = 2.0, 0.5     # spread of the class weights that tell the components, then the states apart
 ADD = 0.1                       # added to a word's count
 PRIOR = 20.0                    # weight of the class unigram in each state's emissions
 _GROUP = 400_000                # padded tokens in one run of the recursion
@@ -119,34 +122,59 @@ def normalised(starts: np.ndarray, moves: np.ndarray, emissions: np.ndarray, uni
     return Hmm((starts + 1) / (starts + 1).sum(), (moves + 1) / (moves + 1).sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
-def mixture_start(texts: list[np.ndarray], unigram: np.ndarray, states: int, rounds: int = 25, seed: int = 3) -> Hmm:
-    """Unigram components of the sample texts as states that mostly stay."""
-    rng = np.random.default_rng(seed)
-    classes = len(unigram)
-    common = np.argsort(-unigram, kind="stable")[:3000]
-    place = np.full(classes, -1, np.int64)
-    place[common] = np.arange(len(common))
-    counts = np.zeros((len(texts), len(common)), np.float32)
-    for i, t in enumerate(texts):
-        p = place[t]
-        counts[i] = np.bincount(p[p >= 0], minlength=len(common))
-    share = rng.dirichlet(np.full(states, 0.3), len(texts)) if texts else np.zeros((0, states))
-    base = unigram[common] / unigram[common].sum()
+def tilted(emissions: np.ndarray, spread: float, seed: int = 3) -> np.ndarray:
+    """``emissions`` (classes, K) with fixed uneven weights by class and state: equal states would stay equal."""
+    weights = np.random.default_rng(seed).normal(0.0, spread, emissions.shape)
+    return emissions * np.exp(weights)
+
+
+class Mixture:
+    """Unigram components of pieces of texts. weight (K,), emit (classes, K): P(class | component)."""
+
+    def __init__(self, weight: np.ndarray, emit: np.ndarray):
+        self.log_weight, self.log_emit = np.log(weight), np.log(emit)
+
+    def expected(self, texts: list[np.ndarray], into: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+        """Adds the expected pieces (K,) and emissions (classes, K) of the texts."""
+        if not texts:
+            return
+        weights, _, emissions = into
+        lengths = np.array([len(t) for t in texts], np.int64)
+        ends = np.cumsum(lengths)
+        seen = np.concatenate(texts)
+        first = np.concatenate([np.arange(end - n, end, SEGMENT) for n, end in zip(lengths, ends, strict=True)])
+        first = np.append(first, len(seen))
+        many = max(1, _GROUP // SEGMENT)
+        for at in range(0, len(first) - 1, many):
+            cut = first[at: at + many + 1]
+            part, sizes = seen[cut[0]: cut[-1]], np.diff(cut)
+            log_p = np.add.reduceat(self.log_emit[part], cut[:-1] - cut[0], axis=0) + self.log_weight
+            # tempered by length, or the first draw would already fix every piece
+            log_p /= np.sqrt(sizes)[:, None]
+            share = np.exp(log_p - log_p.max(axis=1, keepdims=True))
+            share /= share.sum(axis=1, keepdims=True)
+            weights += share.sum(axis=0)
+            for k in range(len(weights)):
+                emissions[:, k] += np.bincount(part, weights=np.repeat(share[:, k], sizes), minlength=len(emissions))
+
+
+def mixture_start(sums: Callable[[Mixture], tuple[np.ndarray, np.ndarray]], unigram: np.ndarray, states: int, rounds: int = MIXTURE_ROUNDS) -> Hmm:
+    """Unigram components of all texts' pieces as states that mostly stay. ``sums`` gives a mixture's
+    expected pieces and emissions over the texts."""
+    even = np.repeat(unigram[:, None], states, axis=1)
+    weights, emissions = np.zeros(states), np.zeros((len(unigram), states))
+    first = tilted(even, TILT)
+    mixture = Mixture(np.full(states, 1 / states), first / first.sum(axis=0))
     for _ in range(rounds):
-        theta = share.T @ counts + 0.5 * len(common) * base
-        log_p = counts @ np.log(theta / theta.sum(axis=1, keepdims=True)).T + np.log(share.sum(axis=0) + 1)
-        # tempered by length, or the first draw would already fix every text
-        log_p /= np.sqrt(np.maximum(1.0, counts.sum(axis=1, keepdims=True)))
-        share = np.exp(log_p - log_p.max(axis=1, keepdims=True))
-        share /= share.sum(axis=1, keepdims=True)
-    emissions = np.zeros((classes, states))
-    for t, s in zip(texts, share, strict=True):
-        emissions += np.bincount(t, minlength=classes)[:, None] * s[None, :]
+        weights, emissions = sums(mixture)
+        emit = emissions + MIXTURE_PRIOR * even
+        mixture = Mixture((weights + 1) / (weights + 1).sum(), emit / emit.sum(axis=0))
     stay = 0.9
     moves = np.full((states, states), (1 - stay) / max(1, states - 1))
     np.fill_diagonal(moves, stay)
-    h = normalised(share.sum(axis=0), np.zeros((states, states)), emissions + 1e-3 * unigram[:, None], unigram)
-    return Hmm(h.start, moves / moves.sum(axis=1, keepdims=True), h.emit)
+    h = normalised(weights, np.zeros((states, states)), emissions, unigram)
+    emit = tilted(h.emit, STATE_TILT)
+    return Hmm(h.start, moves / moves.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
 # ------------------------------------------------------------------ counts and encoding (Spark)
@@ -270,10 +298,9 @@ def _texts_of(batch: pa.RecordBatch, column: int) -> list[np.ndarray]:
     return [np.frombuffer(x, np.uint16) for x in batch.column(column).to_pylist()]
 
 
-def baum_welch_round(encoded: DataFrame, hmm: Hmm, unigram: np.ndarray) -> Hmm:
-    """One iteration over all training texts. What reaches the driver has classes x states numbers."""
-    states, classes = len(hmm.start), len(unigram)
-    shared = encoded.sparkSession.sparkContext.broadcast(hmm)
+def expected_sums(encoded: DataFrame, model: Hmm | Mixture, states: int, classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``model.expected`` adds up over all training texts. What reaches the driver has classes x states numbers."""
+    shared = encoded.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         into = np.zeros(states), np.zeros((states, states)), np.zeros((classes, states))
@@ -289,7 +316,12 @@ def baum_welch_round(encoded: DataFrame, hmm: Hmm, unigram: np.ndarray) -> Hmm:
             .groupBy("place").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(states)]).toPandas())
     table = np.zeros((1 + states + classes, states))
     table[sums["place"].to_numpy()] = sums.drop(columns="place").to_numpy()
-    return normalised(table[0], table[1: 1 + states], table[1 + states:], unigram)
+    return table[0], table[1: 1 + states], table[1 + states:]
+
+
+def baum_welch_round(encoded: DataFrame, hmm: Hmm, unigram: np.ndarray) -> Hmm:
+    """One iteration over all training texts."""
+    return normalised(*expected_sums(encoded, hmm, len(hmm.start), len(unigram)), unigram)
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, held_fold: int = 0,
@@ -313,12 +345,11 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lexicon = Lexicon(sorted(head.items()), class_limit, tokens, distinct, {r[0]: (int(r[1]), int(r[2])) for r in stats})
 
     encoded = stage_table(encode(texts, lexicon), "encoded")
-    training = encoded.where("not held_out")
-    n_training = training.count()
-    draw = F.pmod(F.xxhash64("row"), F.lit(1_000_000)) < math.ceil(1_000_000 * min(1.0, SAMPLE_TEXTS / max(1, n_training)))
-    sample = [np.frombuffer(bytes(r[0]), np.uint16) for r in training.where(draw & (F.col("n_tokens") < 20_000)).select("classes").collect()]
-    hmm = mixture_start(sample, lexicon.unigram, states)
-    for _ in range(iterations if n_training else 0):
+    classes = len(lexicon.unigram)
+    # without a training text nothing is learned, and the rounds would read an empty table
+    learned = tokens > 0
+    hmm = mixture_start(lambda mixture: expected_sums(encoded, mixture, states, classes)[::2], lexicon.unigram, states, MIXTURE_ROUNDS if learned else 0)
+    for _ in range(iterations if learned else 0):
         hmm = baum_welch_round(encoded, hmm, lexicon.unigram)
 
     shared = spark.sparkContext.broadcast(hmm)

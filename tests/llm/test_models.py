@@ -134,6 +134,28 @@ def test_language_model_edges(llm, edge, make_docs):
     assert all(r.n_known == 0 and r.train_tokens == 0 for r in H.score_texts(make_docs(only_held)).collect())
 
 
+def test_language_model_learns_from_long_texts_only(llm, make_docs):
+    rnd = random.Random(2)
+    themes = [[f"t{k}w{i}" for i in range(40)] for k in range(4)]
+    def text():
+        return " ".join(" ".join(rnd.choices(themes[b % 4], k=50)) for b in range(rnd.randint(0, 3), 410))
+    rows = H.score_texts(make_docs([(i, text()) for i in range(30)])).collect()
+    assert min(r.n_tokens for r in rows) > 20_000
+    held = [r for r in rows if r.held_out]
+    # four themes in turn: knowing the theme is worth up to log10(4) a token
+    assert held and sum(r.score - r.base_score for r in held) > 0.3 * sum(r.n_tokens for r in held)
+
+
+def test_mixture_counts_every_token():
+    rng = np.random.default_rng(1)
+    texts = [rng.integers(0, 50, n).astype(np.uint16) for n in (1, 15, 16, 17, 30_000)]
+    into = np.zeros(3), np.zeros((3, 3)), np.zeros((50, 3))
+    emit = rng.dirichlet(np.ones(50), 3).T
+    H.Mixture(np.full(3, 1 / 3), emit).expected(texts, into)
+    assert np.allclose(into[2].sum(axis=1), np.bincount(np.concatenate(texts), minlength=50))
+    assert np.isclose(into[0].sum(), sum(-(-len(t) // H.SEGMENT) for t in texts))
+
+
 # ---- packing and token counts
 
 def _pieces(rows, docs, window):
