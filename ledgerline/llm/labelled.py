@@ -15,16 +15,14 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(id_fold(id_col, FOLDS) == HELD_OUT_FOLD, F.lit(False))
 
 
-def training_sample(labels: DataFrame, label: str, per_class: int, balanced: bool = False) -> DataFrame:
-    """(lab_id, y, part) of at most about ``per_class`` training rows a class (``balanced``: as many of
-    the larger class as of the smaller), chosen by a hash of the id; ``part`` is 0-3 by another hash. Rows with a null id or label, held-out rows and rows whose id
+def training_sample(labels: DataFrame, label: str, per_class: int) -> DataFrame:
+    """(lab_id, y, part) of at most about ``per_class`` training rows a class, chosen by a hash of the id;
+    ``part`` is 0-3 by another hash. Rows with a null id or label, held-out rows and rows whose id
     carries both labels teach nothing; repeated rows count once."""
     clean = (labels.select(F.col("doc_id").alias("lab_id"), F.col(label).alias("y"))
              .where("lab_id is not null and y in (0, 1)").where(~held_out("lab_id"))
              .groupBy("lab_id").agg(F.min("y").alias("y"), F.max("y").alias("_top")).where("y = _top").drop("_top"))
     counts = {int(r["y"]): r["count"] for r in clean.groupBy("y").count().collect()}
-    if balanced:
-        per_class = min([per_class, *counts.values()])
     share = F.lit(0.0)
     for y, n in counts.items():
         share = F.when(F.col("y") == y, F.lit(min(1.0, per_class / n))).otherwise(share)

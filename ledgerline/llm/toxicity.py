@@ -9,20 +9,23 @@ goes to the expression's shared count over both classes.
 What is rare backs off: a pair that is not listed to its word, a word with too few contexts in both
 classes together to show a difference to its first five, then four letters, and then to one
 shared estimate for everything rare. A listed expression whose two counts differ by no more
-than chance (``MIN_Z`` standard errors) or by less than ``MIN_RATIO`` times speaks through its shared
+than chance (``MIN_Z`` standard errors, by the deviance, which also holds for skewed classes) or by less than ``MIN_RATIO`` times speaks through its shared
 count alone and moves no text to either side. A text's two log-likelihoods, their difference divided by a power of its length, are
-compared; a logistic curve fitted on sample texts that gave no counts turns this into a score.
+compared; a logistic curve turns this into a score. It is fitted on all sample texts, each judged by
+counts of the three parts of the sample that it is not in, with both classes weighing the same.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Matrices
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +40,7 @@ MIN_CONTEXTS, MIN_Z, MIN_RATIO = 8, 3.5, 3.0
 DISCOUNT = 0.75
 LENGTH_POWER = 0.5
 THRESHOLD = 0.3
-MIN_CURVE, PLAIN_CURVE = 100, (8.0, -4.0)       # fewer texts a class than that give no curve: this one then
+PARTS = 4                       # of the sample; a text is judged by the others
 _WORD = re.compile(r"\w+")
 _CACHE = 300_000                # words whose listing a worker remembers
 
@@ -52,25 +55,29 @@ def stems_of(word: str) -> list[str]:
 
 
 def expression_counts(sample: DataFrame) -> DataFrame:
-    """(e, c0, c1): the contexts of each expression by class; a pair is two words and a blank."""
+    """(e, c0, c1, and by part p of the sample c0_p, c1_p): the contexts of each expression by class, in all
+    parts and in all parts but p; a pair is two words and a blank."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: set = set()
-            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for text, y, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = words_of(text)
-                before = ["", *words]
-                seen.update(zip(before, words, [y] * len(words), strict=False))
-                seen.update((g, f"{h} {w}", y) for g, h, w in zip(before, words, words[1:], strict=False))
+                before, mark = ["", *words], [(y, 1 << part)] * len(words)
+                seen.update(zip(before, words, mark, strict=False))
+                seen.update((g, f"{h} {w}", m) for g, h, w, m in zip(before, words, words[1:], mark, strict=False))
             rows = list(seen)
             yield pa.RecordBatch.from_pydict({"context": pa.array([r[0] for r in rows], pa.string()), "e": pa.array([r[1] for r in rows], pa.string()),
-                                              "y": pa.array([r[2] for r in rows], pa.float64())})
+                                              "y": pa.array([r[2][0] for r in rows], pa.float64()), "parts": pa.array([r[2][1] for r in rows], pa.int32())})
 
-    found = sample.select("text", "y").mapInArrow(run, "context string, e string, y double").distinct()
+    found = (sample.select("text", "y", F.col("part").cast("int")).mapInArrow(run, "context string, e string, y double, parts int")
+             .groupBy("context", "e", "y").agg(F.bit_or("parts").alias("parts")))
     stems = F.array(*[F.when((F.length("e") > k) & ~F.contains(F.col("e"), F.lit(" ")), F.concat(F.substring("e", 1, k), F.lit("*"))) for k in (5, 4)])
-    every = found.select("y", F.explode(F.concat(F.array("e"), F.filter(stems, lambda x: x.isNotNull()))).alias("e"))
-    of = lambda y: F.sum(F.when(F.col("y") == y, 1).otherwise(0))
-    return every.groupBy("e").agg(of(0.0).alias("c0"), of(1.0).alias("c1"))
+    every = found.select("y", "parts", F.explode(F.concat(F.array("e"), F.filter(stems, lambda x: x.isNotNull()))).alias("e"))
+    of = lambda y, seen: F.sum(F.when((F.col("y") == y) & (F.col("parts").bitwiseAND(F.lit(seen)) != 0), 1).otherwise(0))
+    every_part = (1 << PARTS) - 1
+    return every.groupBy("e").agg(*[of(float(y), every_part).alias(f"c{y}") for y in (0, 1)],
+                                  *[of(float(y), every_part & ~(1 << p)).alias(f"c{y}_{p}") for p in range(PARTS) for y in (0, 1)])
 
 
 class KneserNeyPair:
@@ -81,8 +88,9 @@ class KneserNeyPair:
         self.totals = np.maximum(np.asarray(totals, float), 1.0)
         both, part = counts.sum(axis=1), self.totals / self.totals.sum()
         shared = both / self.totals.sum()
-        spread = np.sqrt(np.maximum(both * part[0] * part[1], 1e-12))
-        own = np.abs(counts[:, 1] - both * part[1]) >= min_z * spread
+        chance = np.maximum(both[:, None] * part, 1e-300)
+        deviance = 2 * (counts * np.log(np.where(counts > 0, counts, chance) / chance)).sum(axis=1)
+        own = deviance >= min_z ** 2
         kept = np.maximum(counts - DISCOUNT, 0)
         freed = counts - kept                                   # goes by the shared count
         estimate = (kept + (freed.sum(axis=1, keepdims=True) + DISCOUNT) * part) / self.totals
@@ -91,7 +99,7 @@ class KneserNeyPair:
         rare = max(1.0, self.totals.sum() - both[[" " not in e and "*" not in e for e in expressions]].sum()) / self.totals.sum()
         self.logs = np.log(np.vstack([table, [[rare, rare]]]))
         # too rare to differ by more than chance even with all contexts in one class: backs off as well
-        tested = both * part.min() / part.max() >= min_z ** 2
+        tested = 2 * both * -np.log(part.min()) >= min_z ** 2
         self.ids = {e: i for i, e in enumerate(expressions) if tested[i] and " " not in e}
         self.pairs: dict[tuple[int, int], int] = {}
         for i, e in enumerate(expressions):
@@ -127,7 +135,8 @@ class KneserNeyPair:
         return each.sum(axis=0)
 
 
-def fit_counts(sample: DataFrame, max_expressions: int = MAX_EXPRESSIONS, min_contexts: int = MIN_CONTEXTS) -> KneserNeyPair:
+def fit_counts(sample: DataFrame, max_expressions: int = MAX_EXPRESSIONS, min_contexts: int = MIN_CONTEXTS) -> list[KneserNeyPair]:
+    """The model of the whole sample, then for each part the one of all other parts."""
     counts = stage_table(expression_counts(sample), "kn-counts")
     sizes = (counts.select(F.least(F.col("c0") + F.col("c1"), F.lit(10_000)).alias("n")).where(F.col("n") >= min_contexts)
              .groupBy("n").count().orderBy(F.desc("n")).collect())           # at most 10,000 rows
@@ -137,9 +146,14 @@ def fit_counts(sample: DataFrame, max_expressions: int = MAX_EXPRESSIONS, min_co
             break
         least, kept = r["n"], kept + r["count"]
     words = ~F.contains(F.col("e"), F.lit(" ")) & ~F.contains(F.col("e"), F.lit("*"))
-    totals = counts.where(words).agg(F.sum("c0"), F.sum("c1")).first()
+    pairs = [("c0", "c1"), *((f"c0_{p}", f"c1_{p}") for p in range(PARTS))]
+    totals = counts.where(words).agg(*[F.sum(c).alias(c) for pair in pairs for c in pair]).first()
     listed = counts.where(F.col("c0") + F.col("c1") >= least).orderBy("e").toPandas()      # at most max_expressions rows
-    return KneserNeyPair(listed["e"].tolist(), listed[["c0", "c1"]].to_numpy(float).reshape(-1, 2), np.array([totals[0] or 0, totals[1] or 0], float))
+    models = []
+    for pair in pairs:
+        rows = listed[listed[pair[0]] + listed[pair[1]] >= least]
+        models.append(KneserNeyPair(rows["e"].tolist(), rows[list(pair)].to_numpy(float).reshape(-1, 2), np.array([totals[c] or 0 for c in pair], float)))
+    return models
 
 
 def with_likelihoods(texts: DataFrame, model: KneserNeyPair) -> DataFrame:
@@ -165,33 +179,42 @@ def with_likelihoods(texts: DataFrame, model: KneserNeyPair) -> DataFrame:
 
 
 def _normalised(power: float):
-    return F.when(F.col("n_words") > 0, (F.col("ll_toxic") - F.col("ll_ordinary")) / F.pow("n_words", F.lit(power))).otherwise(0.0)
+    """Between -1 and 1, so that a few texts with a large difference do not decide the curve."""
+    x = F.when(F.col("n_words") > 0, (F.col("ll_toxic") - F.col("ll_ordinary")) / F.pow("n_words", F.lit(power))).otherwise(0.0)
+    return x / (1 + F.abs(x))
+
+
+def _sides(x):
+    """What speaks for toxic and what against it: each has a slope of its own, so that a text with little
+    of either is judged by texts like it."""
+    return F.greatest(x, F.lit(0.0)), F.least(x, F.lit(0.0))
 
 
 class ToxicityModel:
-    def __init__(self, kn: KneserNeyPair | None, slope: float, intercept: float):
-        self.kn, self.slope, self.intercept = kn, slope, intercept
+    def __init__(self, kn: KneserNeyPair | None, slopes: tuple[float, float], intercept: float):
+        self.kn, self.slopes, self.intercept = kn, slopes, intercept
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
         per_class: int = PER_CLASS, length_power: float = LENGTH_POWER) -> ToxicityModel:
-    """Counts from three quarters of a balanced sample of at most ``per_class`` labelled texts a class outside the
-    held-out fold, the logistic curve from the last quarter (with fewer than ``MIN_CURVE`` texts a class
-    there, all of the sample is counted and a fixed curve used). Without rows of both classes the
-    score is the smoothed share of label 1."""
-    sample = training_sample(labels, label, per_class, balanced=True)
+    """Counts from at most about ``per_class`` labelled texts of each class outside the held-out fold; the
+    logistic curve from the same texts, each by the counts of the other parts. Without rows of both
+    classes the score is the smoothed share of label 1."""
+    sample = training_sample(labels, label, per_class)
     rows = stage_table(labelled_texts(id_text(docs, id_col, text_col), sample), "kn-sample")
-    got = {(r["y"], r["own"]): r["count"] for r in rows.groupBy("y", (F.col("part") < 3).alias("own")).count().collect()}
-    n = {y: got.get((y, True), 0) + got.get((y, False), 0) for y in (0.0, 1.0)}
+    n = {0.0: 0, 1.0: 0} | {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
     if not n[0.0] or not n[1.0]:
-        return ToxicityModel(None, 0.0, float(np.log((n[1.0] + 1) / (n[0.0] + 1))))
-    if min(got.get((y, False), 0) for y in n) < MIN_CURVE:
-        return ToxicityModel(fit_counts(rows), *PLAIN_CURVE)
-    kn = fit_counts(rows.where("part < 3"))
-    curve = stage_table(with_likelihoods(rows.where("part = 3"), kn).select("y", _normalised(length_power).alias("x"))
-                        .repartition(1).sortWithinPartitions("x", "y"), "kn-curve")     # two numbers a sample text, in a fixed order
-    lr = LogisticRegression(labelCol="y", featuresCol="v", regParam=1e-5, maxIter=200).fit(curve.select("y", array_to_vector(F.array("x")).alias("v")))
-    return ToxicityModel(kn, float(lr.coefficients[0]), float(lr.intercept))
+        return ToxicityModel(None, (0.0, 0.0), float(np.log((n[1.0] + 1) / (n[0.0] + 1))))
+    kn, *others = fit_counts(rows)
+    judged = [stage_table(with_likelihoods(rows.where(F.col("part") == p), other).select("y", _normalised(length_power).alias("x")), "kn-judged")
+              for p, other in enumerate(others)]
+    weight = F.when(F.col("y") == 1, F.lit(0.5 / n[1.0])).otherwise(F.lit(0.5 / n[0.0])) * (n[0.0] + n[1.0])
+    curve = stage_table(reduce(DataFrame.unionByName, judged).withColumn("w", weight)
+                        .repartition(1).sortWithinPartitions("x", "y"), "kn-curve")     # three numbers a sample text, in a fixed order
+    # a larger difference never speaks for the other class
+    lr = (LogisticRegression(labelCol="y", featuresCol="v", weightCol="w", regParam=1e-5, maxIter=200, lowerBoundsOnCoefficients=Matrices.dense(1, 2, [0.0, 0.0]))
+          .fit(curve.select("y", "w", array_to_vector(F.array(*_sides(F.col("x")))).alias("v"))))
+    return ToxicityModel(kn, (float(lr.coefficients[0]), float(lr.coefficients[1])), float(lr.intercept))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text",
@@ -206,7 +229,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
         lls = texts.select("doc_id", F.lit(0).cast("bigint").alias("n_words"), F.lit(0.0).alias("ll_ordinary"), F.lit(0.0).alias("ll_toxic"))
     else:
         lls = with_likelihoods(texts, model.kn)
-    x = F.lit(model.intercept) + F.lit(model.slope) * _normalised(length_power)
+    up, down = _sides(_normalised(length_power))
+    x = F.lit(model.intercept) + F.lit(model.slopes[0]) * up + F.lit(model.slopes[1]) * down
     return (lls.withColumn("score", 1 / (1 + F.exp(-x)))
             .select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"),
                     "n_words", "ll_ordinary", "ll_toxic"))

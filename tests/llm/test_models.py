@@ -47,6 +47,22 @@ def test_toxicity_on_held_out_rows(llm):
     assert np.mean([r.predicted == r.toxic for r in rows]) > 0.9
     clean = [r for r in rows if r.toxic == 0]
     assert np.mean([r.predicted == 0 for r in clean]) > 0.95
+    assert np.mean([r.predicted for r in rows if r.toxic == 1]) > 0.6
+
+
+def test_toxicity_of_skewed_labels(llm, make_docs):
+    """One toxic text in ten: all texts count, the curve is fitted, and held-out toxic texts are found."""
+    rnd = random.Random(4)
+    common, bad = [f"word{i}" for i in range(150)], [f"slur{i}" for i in range(5)]
+    toxic = lambda i: int(i % 10 == 0)
+    rows = [(i, " ".join(rnd.choices(common, k=40) + rnd.choices(bad if toxic(i) else common, k=5))) for i in range(600)]
+    docs, labels = make_docs(rows), llm.createDataFrame([(i, toxic(i)) for i, _ in rows], "doc_id long, toxic int")
+    model = X.fit(docs, labels)
+    seen = {(w, v) for i, t in rows if not _held(i, 4, 2) for w, v in zip(["", *t.split()], t.split())}
+    assert model.kn.totals.sum() >= len(seen)
+    held = [r for r in X.score_toxicity(docs, model).collect() if r.held_out]
+    found = [r.predicted for r in held if toxic(r.doc_id)]
+    assert np.mean(found) > 0.9 and np.mean([r.predicted for r in held if not toxic(r.doc_id)]) < 0.05
 
 
 @pytest.mark.parametrize("which", ["quality", "toxicity"])
