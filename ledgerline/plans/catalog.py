@@ -99,10 +99,7 @@ CLEAN_COLS = ("tx_id, tx_hash, block_id, sender, receiver, amount, fee, tx_type,
 def q_s2_array(spark, sf_dir):
     """S2 on the array form: files that each hold one JSON array of wallets."""
     path = work_dir(spark, "s2-json-array")
-    one = ledger_wallets(read_table(spark, sf_dir, "customer"))
-    rows = one.select(F.to_json(F.struct("*")).alias("w"), F.pmod(F.xxhash64("wallet_address"), F.lit(16)).alias("part"))
-    arrays = rows.groupBy("part").agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("w")), F.lit("]")).alias("value"))
-    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    io.write_json_arrays(ledger_wallets(read_table(spark, sf_dir, "customer")), path)
     return io.read_wallet_metadata(spark, path, multiline=True)
 
 
@@ -747,9 +744,7 @@ def q_s5_array(spark, sf_dir):
     base = work_dir(spark, "stream-array")
     src, sink, ckpt = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
     events = ledger_raw0(read_table(spark, sf_dir, "events"))
-    one = ST.build_events(events).select(F.to_json(F.struct("*")).alias("e"), F.pmod(F.xxhash64("tx_hash"), F.lit(64)).alias("part"))
-    arrays = one.groupBy("part").agg(F.concat(F.lit("["), F.concat_ws(",\n ", F.collect_list("e")), F.lit("]")).alias("value"))
-    arrays.select("value").write.option("maxRecordsPerFile", 1).text(src)
+    io.write_json_arrays(ST.build_events(events), src)
     ST.run_enrich_stream(ST.read_event_stream(spark, src, multiline=True), sink, ckpt)
     out = spark.read.schema("tx_hash string, amount double, status string, flag string, network string").json(sink)
     return out.select("tx_hash", "amount", "status", "flag", "network")

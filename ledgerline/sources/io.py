@@ -36,6 +36,18 @@ def read_wallet_metadata(spark: SparkSession, path: str, multiline: bool = True)
             .withColumn("risk_score", F.col("risk_score").cast("double")))
 
 
+ARRAY_ROWS = 10_000             # rows of one JSON array
+
+
+def write_json_arrays(df: DataFrame, path: str, rows: int | None = None) -> None:
+    """Files that each hold one JSON array of at most ``rows`` rows: runs of rows of one partition, so there
+    are more files when there are more rows, whatever values the rows repeat."""
+    one = df.select(F.to_json(F.struct("*")).alias("j"), F.monotonically_increasing_id().alias("at"))
+    runs = one.groupBy(F.expr(f"at div {rows or ARRAY_ROWS}").alias("run"))
+    arrays = runs.agg(F.concat(F.lit("["), F.concat_ws(",\n", F.collect_list("j")), F.lit("]")).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """S3: Parquet scan; filters and projections are pushed into the scan by Catalyst."""
     return spark.read.parquet(path)

@@ -90,3 +90,26 @@ def test_csv_nan_text_is_null(spark):
     rows = {r.tx_id: (r.amount, r.timestamp) for r in io.read_transactions_csv(spark, path).collect()}
     assert rows[1][0] is None and rows[2][0] is None and rows[3][0] == 2.5
     assert rows[3][1].microsecond == 250000 and rows[1][1].second == 1
+
+
+def test_json_arrays_are_bounded_by_rows(spark, tmp_path, monkeypatch):
+    import json
+
+    import pyspark.sql.functions as F
+
+    from ledgerline.plans import catalog
+    from ledgerline.sources import io
+
+    monkeypatch.setattr(io, "ARRAY_ROWS", 7)
+    same = spark.range(1000, numPartitions=3).select(F.lit("one hash").alias("tx_hash"), F.col("id").alias("n"))
+    for size, path in ((100, "few"), (1000, "many")):
+        io.write_json_arrays(same.where(F.col("n") < size), str(tmp_path / path))
+        arrays = [json.loads(f.read_text()) for f in (tmp_path / path).glob("part-*") if f.stat().st_size]
+        assert max(map(len, arrays)) <= 7 and len(arrays) >= size / 7
+        assert sorted(r["n"] for a in arrays for r in a) == list(range(size))
+    folders = []
+    monkeypatch.setattr(catalog, "work_dir", lambda _, name: folders.append(f"{tmp_path}/{name}") or folders[-1])
+    for name, written in (("s2_json_array_scan", "s2-json-array"), ("s5_array_stream", "stream-array/in")):
+        catalog.queries()[name](spark, "/root/testdata/sf0.001").count()
+        arrays = [json.loads(f.read_text()) for f in (tmp_path / written).glob("part-*") if f.stat().st_size]
+        assert arrays and max(map(len, arrays)) <= 7
