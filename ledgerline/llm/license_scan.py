@@ -57,7 +57,9 @@ SPELLINGS = [
 ]
 # One pass decides whether any family can apply, so that ordinary text pays for one regex only.
 _ANY_SPELLING = "|".join(p for p, _ in SPELLINGS)
-_COPYRIGHT = r"(?im)^[^\p{L}\p{N}©]*(?:©|copyright\b|\(c\)\s|(?:all )?rights reserved\b)[^\n]*$"
+_DATED = r"(?:(?:19|20)\d\d\b|[<\[{][^\n>\]}]*[>\]}])"          # a year or a placeholder
+_COPYRIGHT = (r"(?im)^[^\p{L}\p{N}©]*(?:©|copyright\b[\s:,]*(?:\(c\)|©|" + _DATED + r")|\(c\)\s*(?:copyright\b|©|" + _DATED + r"))[^\n]*$"
+              r"|^[^\p{L}\p{N}\n]*(?:all )?rights reserved[^\p{L}\p{N}\n]*$")
 
 
 def canonical(text: Column) -> Column:

@@ -29,6 +29,15 @@ def test_licence_equivalences(llm, make_docs):
     assert "Python" not in _plan(L.license_scan(make_docs(rows), known))
 
 
+def test_body_lines_that_begin_with_copyright_stay(llm, make_docs):
+    isc = next(text for name, text in L.KNOWN_LICENSES if name == "ISC")
+    mit = next(text for name, text in L.KNOWN_LICENSES if name == "MIT")
+    rows = [(1, isc.replace("above copyright notice", "above\ncopyright notice")), (2, mit.replace("OR COPYRIGHT HOLDERS", "OR\nCOPYRIGHT HOLDERS")),
+            (3, mit.replace("Copyright (c) <year> <copyright holders>", "Copyright 2020 Jane Doe\n\u00a9 2021 Joe\nCOPYRIGHT: [yyyy] [name]\nAll rights reserved."))]
+    got = {r.doc_id: r.license_id for r in L.license_scan(make_docs(rows), L.known_digests(llm)).collect()}
+    assert got == {1: "ISC", 2: "MIT", 3: "MIT"}
+
+
 def test_edge_rows_do_not_crash(llm, edge):
     known = L.known_digests(llm)
     assert L.license_scan(edge, known).count() == edge.count()
