@@ -1,10 +1,11 @@
 """License scan by canonical digest lookup, in DataFrame functions only.
 
-A text is brought to a canonical form: copyright lines go; case, punctuation and white space are
+A text is brought to a canonical form: copyright notices (a line that begins with the word or sign and then
+a sign, a year or a placeholder) go; case, punctuation and white space are
 levelled; equivalent spellings (the pairs of the SPDX matching guidelines) become one. The SHA-256
 of the canonical text is hash-joined to the digests of known licences, so an entire text matches
 or it doesn't. Known licences pass through the same expression. The known texts are a table of
-the caller; the default is a short list of licence texts and one-line notices, a constant.
+the caller; the default is the texts in ``licenses/``, MIT, ISC and one-line notices, a constant.
 
 Notices inside longer documents: every line whose canonical length equals that of a known
 one-line notice (an exact screen) is joined by digest in the same way.
@@ -12,6 +13,8 @@ one-line notice (an exact screen) is joined by digest in the same way.
 
 from __future__ import annotations
 
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,9 +75,15 @@ def canonical(text: Column) -> Column:
     return F.when(F.rlike(plain, F.lit(_ANY_SPELLING)), spelt).otherwise(plain)
 
 
+def known_texts() -> list[tuple[str, str]]:
+    """``KNOWN_LICENSES`` and the texts in ``licenses/``, each named by its SPDX id; read by the driver only."""
+    folder = resources.files(__package__) / "licenses"
+    return KNOWN_LICENSES + [(f.name.removesuffix(".txt"), f.read_text("utf-8")) for f in sorted(folder.iterdir(), key=lambda f: f.name) if f.name.endswith(".txt")]
+
+
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
     """(license_id, canon_length, digest) of the known texts, one row per digest."""
-    frame = spark.createDataFrame(known if known is not None else KNOWN_LICENSES, "license_id string, known_text string")
+    frame = spark.createDataFrame(known if known is not None else known_texts(), "license_id string, known_text string")
     canon = frame.select("license_id", canonical(F.col("known_text")).alias("c")).where("c != ''")
     return (canon.groupBy(F.sha2(F.col("c").cast("binary"), 256).alias("digest"))
             .agg(F.min("license_id").alias("license_id"), F.min(F.length("c")).alias("canon_length")))
@@ -97,11 +106,11 @@ def notice_scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_
 
     The canonical lengths of the known texts (a constant list) screen lines before the join.
     """
-    longest = known.agg(F.max("canon_length").alias("n"))
+    lengths = known.agg(F.collect_set("canon_length").alias("n"))
     lines = (id_text(docs, id_col, text_col)
              .select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
              .select("doc_id", (F.col("at") + 1).cast("bigint").alias("line_no"), canonical(F.col("line")).alias("c"))
-             .where((F.col("c") != "") & (F.length("c") <= F.coalesce(longest.scalar(), F.lit(0)))))
+             .where((F.col("c") != "") & F.array_contains(lengths.scalar(), F.length("c"))))
     keyed = lines.select("doc_id", "line_no", F.sha2(F.col("c").cast("binary"), 256).alias("canonical_sha256"))
     return (keyed.join(known, keyed["canonical_sha256"] == known["digest"])
             .select("doc_id", "line_no", "license_id"))

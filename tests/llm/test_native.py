@@ -38,6 +38,27 @@ def test_body_lines_that_begin_with_copyright_stay(llm, make_docs):
     assert got == {1: "ISC", 2: "MIT", 3: "MIT"}
 
 
+def test_known_texts_in_any_wrapping(llm, make_docs):
+    import textwrap
+
+    def wrapped(text, width):
+        out, para = [], []
+        for line in [*text.split("\n"), ""]:
+            notice = re.match(r"\W*(copyright|\(c\))\W+(\(c\)|[<\[]|\d{4})", line, re.I)
+            if notice or not line.strip():
+                out += [textwrap.fill(" ".join(para), width, break_long_words=False, break_on_hyphens=False), line]
+                para = []
+            else:
+                para.append(line.strip())
+        return "\n".join(out)
+
+    texts = L.known_texts()
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "MPL-2.0", "Unlicense", "Zlib"} <= {i for i, t in texts if len(t) > 500}
+    rows = [(n * 1000 + width, wrapped(text, width)) for n, (_, text) in enumerate(texts) for width in range(60, 101)]
+    got = {r.doc_id: r.license_id for r in L.license_scan(make_docs(rows), L.known_digests(llm)).collect()}
+    assert {i: name for i, name in got.items() if name != texts[i // 1000][0]} == {}
+
+
 def test_edge_rows_do_not_crash(llm, edge):
     known = L.known_digests(llm)
     assert L.license_scan(edge, known).count() == edge.count()
