@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import decontaminate, exact_dedup, hmm, license_scan, minhash, packing, quality, token_counts, toxicity, url_filter
+from . import (alignment, decontaminate, exact_dedup, hmm, license_scan, minhash, packing, quality, secrets, token_counts, toxicity, url_filter,
+               whitening)
 from .common import read_table, ship_package
 
 # Host labels of the block list that op3 derives from the table's own hosts (fixed values).
@@ -70,9 +71,24 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(*exact_dedup.two_batches(read_table(spark, sf_dir, "documents")))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` names no repositories: a source is an owner, and its texts of one language are a repository."""
+    found = secrets.scan_secrets(read_table(spark, sf_dir, "documents"), owner=F.col("source"), repo=F.col("lang"))
+    counted = [secrets.count_verdict(F.col("findings"), v).alias(f"n_{v}") for v in ("live", "example", "weak")]
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", secrets.spans_text(F.col("findings")).alias("spans"), *counted)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read_table(spark, sf_dir, "documents"))[0]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_license_scan, op1_license_notices, op2_toxicity, op3_url_filter, op4_hmm, op5_packing, op6_minhash, op7_token_counts, op8_quality,
-           op9_decontaminate, op10_exact_dedup)
+           op9_decontaminate, op10_exact_dedup, op11_whitening, op12_secrets, op13_alignment)
 
     def ready(f):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
