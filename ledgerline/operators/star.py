@@ -44,32 +44,43 @@ def wallet_addresses(df: DataFrame) -> DataFrame:
             .groupBy("wallet_address").agg(F.min("timestamp").alias("first_seen")))
 
 
-def dim_wallet(df: DataFrame, metadata: DataFrame) -> DataFrame:
-    """D2 (+D6): wallet_key, wallet_address, kyc_verified, country_code, risk_score DECIMAL(5,2).
-    Wallets without metadata keep NULL attributes."""
+def wallet_rows(df: DataFrame, metadata: DataFrame) -> DataFrame:
+    """The members of dim_wallet without their keys; wallets without metadata keep NULL attributes."""
     md = metadata.select("wallet_address", "kyc_verified", F.col("country").alias("country_code"),
                          F.col("risk_score").cast(RISK_DECIMAL).alias("risk_score"))
-    wallets = wallet_addresses(df).join(md, "wallet_address", "left")
-    keyed = surrogate_keys(wallets, "wallet_address", "wallet_key")
+    return (wallet_addresses(df).join(md, "wallet_address", "left")
+            .select("wallet_address", "kyc_verified", "country_code", "risk_score", "first_seen"))
+
+
+def dim_wallet(df: DataFrame, metadata: DataFrame) -> DataFrame:
+    """D2 (+D6): wallet_key, wallet_address, kyc_verified, country_code, risk_score DECIMAL(5,2), numbered from 1
+    (``keys.extend_dimension`` keeps keys over several loads)."""
+    keyed = surrogate_keys(wallet_rows(df, metadata), "wallet_address", "wallet_key")
     return keyed.select("wallet_key", "wallet_address", "kyc_verified", "country_code", "risk_score", "first_seen")
 
 
-def dim_tx_type(df: DataFrame, categories: dict | None = None, descriptions: dict | None = None) -> DataFrame:
-    """D3: one row per tx_type; category/description from optional user mappings."""
+def tx_type_rows(df: DataFrame, categories: dict | None = None, descriptions: dict | None = None) -> DataFrame:
+    """The members of dim_tx_type; category/description from optional user mappings."""
     base = df.where(F.col("tx_type").isNotNull()).select("tx_type").distinct()
-    out = surrogate_keys(base, "tx_type", "tx_type_key", key_type="int")
-    return out.select("tx_type_key", "tx_type",
-                      _lookup("tx_type", categories).alias("category"),
-                      _lookup("tx_type", descriptions).alias("description"))
+    return base.select("tx_type", _lookup("tx_type", categories).alias("category"), _lookup("tx_type", descriptions).alias("description"))
 
 
-def dim_network(df: DataFrame, chain_ids: dict | None = None, descriptions: dict | None = None) -> DataFrame:
-    """One row per network; chain_id/description from optional user mappings."""
+def dim_tx_type(df: DataFrame, categories: dict | None = None, descriptions: dict | None = None) -> DataFrame:
+    """D3: one row per tx_type."""
+    out = surrogate_keys(tx_type_rows(df, categories, descriptions), "tx_type", "tx_type_key", key_type="int")
+    return out.select("tx_type_key", "tx_type", "category", "description")
+
+
+def network_rows(df: DataFrame, chain_ids: dict | None = None, descriptions: dict | None = None) -> DataFrame:
+    """The members of dim_network; chain_id/description from optional user mappings."""
     base = df.where(F.col("network").isNotNull()).select("network").distinct()
-    out = surrogate_keys(base, "network", "network_key", key_type="int")
-    return out.select("network_key", "network",
-                      _lookup("network", chain_ids).cast("int").alias("chain_id"),
-                      _lookup("network", descriptions).alias("description"))
+    return base.select("network", _lookup("network", chain_ids).cast("int").alias("chain_id"), _lookup("network", descriptions).alias("description"))
+
+
+def dim_network(df: DataFrame, chain_ids: dict | None = None, descriptions: dict | None = None) -> DataFrame:
+    """One row per network."""
+    out = surrogate_keys(network_rows(df, chain_ids, descriptions), "network", "network_key", key_type="int")
+    return out.select("network_key", "network", "chain_id", "description")
 
 
 def _lookup(col: str, mapping: dict | None):

@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
@@ -24,10 +24,11 @@ from ..operators.median import group_median
 from ..operators.ranking import surrogate_keys
 from ..operators.windows import group_median_column, rank_in_network
 from ..session import work_dir
-from ..sources import io
+from ..sources import io, warehouse
 from ..sources.ledger_views import ledger_raw0, ledger_wallets, load_ledger, read_table
 from ..streaming import events as ST
 from . import queries as Q
+from .incremental import StarWarehouse
 from .oracle import sql
 from .stages import Ledger
 
@@ -103,6 +104,19 @@ def q_s2_array(spark, sf_dir):
     return io.read_wallet_metadata(spark, path, multiline=True)
 
 
+@register("s2_one_array_file", "SELECT * FROM ledger_wallets")
+def q_s2_one_file(spark, sf_dir):
+    """S2 on the reference's form, all wallets as one JSON array in one file, read split by split. (Writing the
+    stand-in file is one task; reading it isn't.)"""
+    path = work_dir(spark, "s2-one-array")
+    one = ledger_wallets(read_table(spark, sf_dir, "customer")).select(F.to_json(F.struct("*")).alias("value"))
+    lines = Window.orderBy("value")
+    numbered = one.select("value", F.row_number().over(lines).alias("n"), F.lead("value").over(lines).isNull().alias("last"))
+    text = F.concat(F.when(F.col("n") == 1, "[\n").otherwise(""), "value", F.when(F.col("last"), "\n]").otherwise(","))
+    numbered.select(text.alias("value")).coalesce(1).write.text(path)
+    return io.read_wallet_metadata(spark, path, multiline=True)
+
+
 @register("k1_parquet_roundtrip", f"SELECT {CLEAN_COLS} FROM features")
 def q_k1(spark, sf_dir):
     """K1 + S3: the clean table written as Parquet and scanned back."""
@@ -157,6 +171,58 @@ def q_k7(spark, sf_dir):
     return io.read_parquet(spark, path)
 
 
+@register("k7_rejects_twice", """
+SELECT CASE WHEN length(tx_hash) = 66 THEN 'loaded' ELSE 'rejected' END AS kind, tx_id, amount FROM clean""")
+def q_k7_rejects(spark, sf_dir):
+    """K7's rejects: the clean rows, whose malformed hashes arrive as NULL, are loaded by date three times under one
+    load id; loaded and rejected rows are those of one load."""
+    path = work_dir(spark, "k7-rejects")
+    well_formed = F.when(F.length("tx_hash") == V.HASH_LENGTH, F.col("tx_hash"))
+    rows = _ledger(spark, sf_dir).clean.select("tx_id", well_formed.alias("tx_hash"), "amount", F.to_date("timestamp").alias("day"))
+    for _ in range(3):
+        warehouse.load_by_date(rows, path, "daily", date="day")
+    kept = warehouse.read_loads(spark, path).select(F.lit("loaded").alias("kind"), "tx_id", "amount")
+    return kept.unionByName(warehouse.read_loads(spark, f"{path}_rejected").select(F.lit("rejected").alias("kind"), "tx_id", "amount"))
+
+
+_WAREHOUSES: dict[tuple[str, str], StarWarehouse] = {}
+
+
+def _warehouse(spark: SparkSession, sf_dir: str) -> StarWarehouse:
+    """All validated rows in three loads: the earlier half of the days without every tenth transaction, the later
+    half, and then what came late, which touches days of the first load. The last two run twice."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _WAREHOUSES:
+        L = _ledger(spark, sf_dir)
+        day = F.to_date("timestamp")
+        first, last = L.validated.agg(F.min(day), F.max(day)).first()
+        early = day <= F.lit(first + (last - first) // 2)
+        late_arrival = F.col("tx_id") % 10 == 0
+        loads = [("first", early & ~late_arrival), ("second", ~early), ("late", early & late_arrival), ("second", ~early), ("late", early & late_arrival)]
+        house = StarWarehouse(spark, work_dir(spark, "warehouse"))
+        for load_id, rows in loads:
+            house.load(L.validated.where(rows), L.wallets, load_id)
+        _WAREHOUSES[key] = house
+    return _WAREHOUSES[key]
+
+
+@register("d6_incremental", "SELECT wallet_key, wallet_address, country_code FROM lasting_wallet")
+def q_d6_incremental(spark, sf_dir):
+    """D6 + D2: the keys that the wallets got load by load; a later load changes none of them."""
+    return _warehouse(spark, sf_dir).table("dim_wallet").select("wallet_key", "wallet_address", "country_code")
+
+
+@register("k7_touched_partitions", """
+SELECT v.tx_id AS fact_id, v.tx_hash, CAST(strftime(v."timestamp", '%Y%m%d') AS INTEGER) AS date_key, s.wallet_key AS sender_key,
+       r.wallet_key AS receiver_key, CAST(v.amount AS DOUBLE) AS amount, l.load_id
+FROM validated v JOIN load_of l ON l.tx_id = v.tx_id
+LEFT JOIN lasting_wallet s ON s.wallet_address = v.sender LEFT JOIN lasting_wallet r ON r.wallet_address = v.receiver""")
+def q_k7_touched(spark, sf_dir):
+    """K7 by date: the fact after five runs of three loads, each row with its load and its lasting keys."""
+    f = _warehouse(spark, sf_dir).table("fact_transactions")
+    return f.select("fact_id", "tx_hash", "date_key", "sender_key", "receiver_key", F.col("amount").cast("double").alias("amount"), "load_id")
+
+
 # ---- cleaning (C1-C5, J1) --------------------------------------------------------------------
 
 @register("c1_dedupe", f"SELECT {RAW_COLS} FROM dedup")

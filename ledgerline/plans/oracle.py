@@ -204,6 +204,23 @@ FROM validated v
 LEFT JOIN wallets_3nf s ON v.sender = s.wallet_address
 LEFT JOIN wallets_3nf r ON v.receiver = r.wallet_address""")
 
+# ---- loads: the earlier half of the days, the later half, and every tenth transaction of the earlier half late --
+
+_cte("load_of", """
+SELECT tx_id, sender, receiver,
+       CASE WHEN day > mid THEN 'second' WHEN tx_id % 10 = 0 THEN 'late' ELSE 'first' END AS load_id,
+       CASE WHEN day > mid THEN 2 WHEN tx_id % 10 = 0 THEN 3 ELSE 1 END AS load_no
+FROM (SELECT tx_id, sender, receiver, CAST("timestamp" AS DATE) AS day FROM validated)
+CROSS JOIN (SELECT min(CAST("timestamp" AS DATE)) + CAST((max(CAST("timestamp" AS DATE)) - min(CAST("timestamp" AS DATE))) // 2 AS INTEGER) AS mid
+            FROM validated)""")
+
+_cte("lasting_wallet", """
+SELECT row_number() OVER (ORDER BY a.load_no, a.wallet_address) AS wallet_key, a.wallet_address, w.country AS country_code
+FROM (SELECT wallet_address, min(load_no) AS load_no
+      FROM (SELECT sender AS wallet_address, load_no FROM load_of UNION ALL SELECT receiver AS wallet_address, load_no FROM load_of)
+      WHERE wallet_address IS NOT NULL GROUP BY wallet_address) a
+LEFT JOIN ledger_wallets w ON w.wallet_address = a.wallet_address""")
+
 # ---- stream events ---------------------------------------------------------------------------
 
 _cte("stream_events", """

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null
 from ..schemas import TRANSACTIONS_RAW, WALLET_METADATA
+from ..session import stage_table
+from .json_arrays import CORRUPT, read_json_arrays
+from .warehouse import one_per_key
 
 # Fixed value: the generator's timestamp text format, optionally with microseconds.
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
@@ -28,12 +31,13 @@ def write_transactions_csv(df: DataFrame, path: str, timestamp_format: str = "yy
 
 
 def read_wallet_metadata(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Wallet metadata JSON. ``multiline=True`` reads one JSON array (or object) per file,
-    as the reference ships it; ``False`` reads JSON lines. A JSON document is not splittable, so
-    each such file is parsed by one task: large metadata should arrive as JSON lines (split
-    across tasks like any text file)."""
-    return (spark.read.schema(WALLET_METADATA).option("multiLine", multiline).json(path)
-            .withColumn("risk_score", F.col("risk_score").cast("double")))
+    """Wallet metadata JSON. ``multiline=True`` reads one JSON array (or object) per file, as the reference ships
+    it, each file by as many tasks as it has splits (``json_arrays``); ``False`` reads JSON lines. What is no such record
+    is left out: ``json_arrays.read_json_arrays`` also returns its text."""
+    if multiline:
+        rows = read_json_arrays(spark, path, WALLET_METADATA)
+        return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return spark.read.schema(WALLET_METADATA).json(path)
 
 
 ARRAY_ROWS = 10_000             # rows of one JSON array
@@ -114,18 +118,22 @@ def append_new(df: DataFrame, path: str, key: str = "tx_hash") -> int:
     a re-run does not double the table. Returns the number of rows written.
 
     The key is NOT NULL UNIQUE: of rows with one key inside the batch the least one (by all columns in
-    their order) is loaded, and rows with a NULL key are appended to ``<path>_rejected`` instead.
+    their order) is loaded. Rows with a NULL key go to ``<path>_rejected/batch=<name>`` instead, which is
+    overwritten; the name follows from the rejected rows themselves, so the same batch keeps its folder.
+    The table is one unpartitioned folder and every load reads all its keys: ``warehouse.load_by_date`` is the load
+    for a table that grows.
     """
     spark = df.sparkSession
     create_table_like(df, path)
-    rejected = df.where(F.col(key).isNull())
-    if not rejected.isEmpty():
-        rejected.write.mode("append").parquet(f"{path.rstrip('/')}_rejected")
-    rest = [c for c in df.columns if c != key]
-    batch = (df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*rest)).alias("_row"))
-             .select(key, "_row.*").select(*df.columns))
+    batch = one_per_key(df, key)
     existing = spark.read.parquet(path).select(F.col(key).alias("_existing"))
     rows = Observation("appended")
     fresh = batch.join(existing, batch[key] == existing["_existing"], "left_anti")
     fresh.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+
+    rejected = stage_table(df.where(F.col(key).isNull()), "rejected")
+    mark = F.xxhash64(*[F.col(c).cast("string") for c in df.columns]).cast("decimal(38,0)")
+    n, total = rejected.agg(F.count(F.lit(1)), F.sum(mark)).first()
+    if n:
+        rejected.write.mode("overwrite").parquet(f"{path.rstrip('/')}_rejected/batch=r{n}_{abs(total)}")
     return int(rows.get["rows"])
