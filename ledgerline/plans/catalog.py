@@ -84,6 +84,32 @@ def q_s1_csv(spark, sf_dir):
     return io.read_transactions_csv(spark, path)
 
 
+@register("s1_csv_rejects", """
+SELECT CASE WHEN tx_id % 89 IN (4, 5, 6, 7) THEN 'rejected' ELSE 'good' END AS kind, tx_hash,
+       CASE WHEN tx_id % 89 IN (4, 5, 6, 7) THEN NULL ELSE tx_id END AS tx_id, CASE WHEN tx_id % 89 IN (4, 5, 6, 7) THEN NULL ELSE amount END AS amount,
+       CASE tx_id % 89 WHEN 4 THEN 'amount' WHEN 5 THEN 'tx_id' WHEN 6 THEN 'timestamp' WHEN 7 THEN 'number of fields' END AS reason
+FROM ledger_raw""")
+def q_s1_rejects(spark, sf_dir):
+    """S1 with its reject path: CSV lines of the ledger, some with an amount, an id or a time that is none, or a field too
+    few; they are rejected with the reason, and no amount is made up for them."""
+    base = work_dir(spark, "s1-rejects")
+    raw = _raw(spark, sf_dir)
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in raw.columns}
+    slot = F.col("tx_id") % 89
+    text["amount"] = F.when(slot == 4, F.lit("1;5")).otherwise(text["amount"])
+    text["tx_id"] = F.when(slot == 5, F.concat(F.lit("id-"), text["tx_id"])).otherwise(text["tx_id"])
+    text["timestamp"] = F.when(slot == 6, F.lit("yesterday")).otherwise(text["timestamp"])
+    line = F.concat_ws(",", *text.values())
+    raw.select(F.when(slot == 7, F.concat_ws(",", *list(text.values())[:-1])).otherwise(line).alias("value")).write.text(f"{base}/in")
+    good, counts = io.ingest_transactions_csv(spark, f"{base}/in", f"{base}/out", header=False)
+    bad = spark.read.parquet(f"{base}/out").where("kind = 'rejected'")
+    if bad.count() != counts["rejected"]:
+        raise AssertionError(f"observed {counts}")
+    nothing = F.lit(None)
+    return good.select(F.lit("good").alias("kind"), "tx_hash", "tx_id", "amount", nothing.cast("string").alias("reason")).unionByName(
+        bad.select("kind", "tx_hash", nothing.cast("bigint").alias("tx_id"), nothing.cast("double").alias("amount"), F.col("reject_reason").alias("reason")))
+
+
 @register("s2_json_scan", "SELECT * FROM ledger_wallets")
 def q_s2_json(spark, sf_dir):
     """Wallet metadata as JSON, read back with the declared schema."""
@@ -782,12 +808,72 @@ def q_st6(spark, sf_dir):
 
 
 @register("k5_kafka_records", """
-SELECT network AS key, tx_hash, sender, CAST(amount AS VARCHAR) AS amount_text, network FROM stream_events""")
+SELECT network AS key, tx_hash, sender, receiver, CAST(amount AS VARCHAR) AS amount_text, fee, status, network, "timestamp"
+FROM stream_events""")
 def q_k5(spark, sf_dir):
     """K5 + S4 payload: keyed JSON records, parsed back with the event schema (amount as text)."""
     ev = ST.build_events(ledger_raw0(read_table(spark, sf_dir, "events")))
     parsed = ST.parse_kafka_records(ST.to_kafka_records(ev))
-    return parsed.select("key", "tx_hash", "sender", F.col("amount").alias("amount_text"), "network")
+    return parsed.select("key", "tx_hash", "sender", "receiver", F.col("amount").alias("amount_text"), "fee", "status", "network", "timestamp")
+
+
+def _torn_messages(spark, sf_dir) -> DataFrame:
+    """A stand-in topic: every event as a JSON message (key, value); those of hashes that end with 7 are cut in the
+    middle, as a producer that broke off would leave them."""
+    records = ST.to_kafka_records(ST.build_events(ledger_raw0(read_table(spark, sf_dir, "events"))))
+    torn = F.get_json_object("value", "$.tx_hash").endswith("7")
+    return records.withColumn("value", F.when(torn, F.expr("substr(value, 1, length(value) div 2)")).otherwise(F.col("value")))
+
+
+def _record_hash():
+    return F.regexp_extract(F.col("record"), '"tx_hash":"([^"]*)"', 1).alias("tx_hash")
+
+
+@register("s4_corrupt_records", """
+SELECT CASE WHEN tx_hash LIKE '%7' THEN 'corrupt' ELSE 'event' END AS kind, tx_hash,
+       CASE WHEN tx_hash LIKE '%7' THEN NULL ELSE amount END AS amount, CASE WHEN tx_hash LIKE '%7' THEN NULL ELSE status END AS status
+FROM stream_enriched""")
+def q_s4(spark, sf_dir):
+    """Messages parsed and enriched; a torn one is a corrupt record and no payment of 0."""
+    parsed = ST.parse_kafka_records(_torn_messages(spark, sf_dir))
+    good = ST.enrich_events(parsed.where(F.col(ST.CORRUPT).isNull()))
+    bad = parsed.where(F.col(ST.CORRUPT).isNotNull()).withColumnRenamed(ST.CORRUPT, "record")
+    nothing = F.lit(None)
+    return good.select(F.lit("event").alias("kind"), "tx_hash", "amount", "status").unionByName(
+        bad.select(F.lit("corrupt").alias("kind"), _record_hash(), nothing.cast("double").alias("amount"), nothing.cast("string").alias("status")))
+
+
+@register("st1_warehouse_stream", """
+SELECT 'event' AS kind, tx_hash, amount, status, flag, day AS date_key FROM (
+  SELECT e.*, CAST(replace(substr(s."timestamp", 1, 10), '-', '') AS INTEGER) AS day FROM stream_enriched e JOIN stream_events s USING (tx_hash))
+WHERE tx_hash NOT LIKE '%7'
+UNION ALL SELECT 'corrupt', tx_hash, NULL, NULL, NULL, NULL FROM stream_events WHERE tx_hash LIKE '%7'""")
+def q_st1_warehouse(spark, sf_dir):
+    """ST1 -> K7: message files streamed into the warehouse by date, two files a micro-batch; the second run of the stream
+    finds nothing."""
+    base = work_dir(spark, "stream-warehouse")
+    _torn_messages(spark, sf_dir).select("value").repartition(5).write.text(f"{base}/in")
+    for _ in range(2):
+        ST.stream_into_warehouse(ST.read_event_stream(spark, f"{base}/in", max_files_per_trigger=2), f"{base}/events", f"{base}/checkpoint")
+    names = ["tx_hash", "amount", "status", "flag", "date_key"]
+    rows = warehouse.read_loads(spark, f"{base}/events").select(F.lit("event").alias("kind"), *names)
+    bad = spark.read.parquet(f"{base}/events_corrupt").select(F.lit("corrupt").alias("kind"), _record_hash(), *[
+        F.lit(None).cast(rows.schema[n].dataType).alias(n) for n in names[1:]])
+    return rows.unionByName(bad)
+
+
+@register("st2_bounded", "SELECT tx_hash, amount, status, flag, network FROM stream_enriched")
+def q_st2(spark, sf_dir):
+    """ST2: the events taken in four runs of at most a third of the messages each; the last one takes what is left."""
+    base = work_dir(spark, "bounded")
+    events = ST.build_events(ledger_raw0(read_table(spark, sf_dir, "events")))
+    ST.write_event_files(events.repartition(3), f"{base}/in")
+    third = spark.read.text(f"{base}/in").count() // 3
+    taken = [ST.consume_bounded(spark, f"{base}/in", f"{base}/out", f"{base}/place", third) for _ in range(4)]
+    if taken[:3] != [third] * 3 or taken[3] > 2:
+        raise AssertionError(f"runs of {third} messages took {taken}")
+    out = spark.read.schema("tx_hash string, amount double, status string, flag string, network string").json(f"{base}/out")
+    return out.select("tx_hash", "amount", "status", "flag", "network")
 
 
 @register("st1_stream_enrich", "SELECT tx_hash, amount, status, flag, network FROM stream_enriched")

@@ -10,6 +10,7 @@ import math
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -130,6 +131,25 @@ def counted_stage_table(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     return spark.read.parquet(path), int(obs.get["rows"])
 
 
+@contextmanager
+def scratch_tables(spark: SparkSession):
+    """A ``stage(df, name)`` for tables that nothing reads after the block; they are deleted at its end."""
+    made: list[str] = []
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        path = work_dir(spark, f"scratch-{name}")
+        made.append(path)
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    try:
+        yield stage
+    finally:
+        for path in made:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def release_stages(spark: SparkSession) -> None:
     """Delete this application's stage tables, at its end: frames that read them are unusable afterwards.
     The checkpoint folder is the application's own (Spark makes one per ``setCheckpointDir``)."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType, TimestampNTZType
 
 from ..functions.columns import nan_to_null
 from ..schemas import TRANSACTIONS_RAW, WALLET_METADATA
@@ -14,15 +15,62 @@ from .warehouse import one_per_key
 
 # Fixed value: the generator's timestamp text format, optionally with microseconds.
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+# What the usual CSV readers of data frames take as a missing number or time.
+MISSING_TEXT = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
+                "n/a", "nan", "null", "NaT")
 _CSV_TEXT = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def read_transactions_csv(spark: SparkSession, path: str, timestamp_format: str = CSV_TIMESTAMP_FORMAT) -> DataFrame:
-    """Header CSV with the typed raw schema; 'NaN' amounts become NULL, padding is kept
-    (cleaning strips it, not the reader)."""
-    df = (spark.read.schema(TRANSACTIONS_RAW).option("header", True).option("mode", "PERMISSIVE")
-          .option("timestampNTZFormat", timestamp_format).options(**_CSV_TEXT).csv(path))
-    return df.withColumn("amount", nan_to_null("amount"))
+def scan_transactions_csv(spark: SparkSession, path: str, timestamp_format: str = CSV_TIMESTAMP_FORMAT, header: bool = True) -> DataFrame:
+    """Every line of the CSV with the typed raw columns, ``reject_reason`` and ``record``.
+
+    All fields are read as text and converted here, so a field that cannot be converted is told from one that is
+    missing (empty, or one of ``MISSING_TEXT``), whichever columns a query asks for. ``reject_reason`` lists what is wrong
+    (a wrong number of fields, a field of the wrong type, no id) and is NULL for a good line; ``record`` is then the line.
+    Padding is kept: cleaning strips it, not the reader.
+    """
+    text = StructType([*[StructField(f.name, StringType()) for f in TRANSACTIONS_RAW.fields], StructField(CORRUPT, StringType())])
+    rows = (spark.read.schema(text).option("header", header).option("mode", "PERMISSIVE").option("columnPruning", False)
+            .option("columnNameOfCorruptRecord", CORRUPT).options(**_CSV_TEXT).csv(path))
+    typed, wrong = [], [F.when(F.col(CORRUPT).isNotNull(), F.lit("number of fields"))]
+    for f in TRANSACTIONS_RAW.fields:
+        raw = F.col(f.name)
+        if isinstance(f.dataType, StringType):
+            typed.append(raw)
+            continue
+        given = F.when(~F.trim(raw).isin(*MISSING_TEXT), raw)
+        if isinstance(f.dataType, TimestampNTZType) and timestamp_format != CSV_TIMESTAMP_FORMAT:
+            value = F.try_to_timestamp(given, F.lit(timestamp_format)).cast(f.dataType)
+        else:
+            value = given.try_cast(f.dataType)
+        value = nan_to_null(value) if isinstance(f.dataType, DoubleType) else value
+        wrong.append(F.when((value.isNull() & given.isNotNull()) | (F.lit(not f.nullable) & given.isNull()), F.lit(f.name)))
+        typed.append(value.alias(f.name))
+    reason = F.concat_ws(", ", *wrong)
+    record = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*[f.name for f in TRANSACTIONS_RAW.fields])))
+    return rows.select(*typed, F.when(reason != "", reason).alias("reject_reason"), F.when(reason != "", record).alias("record"))
+
+
+def read_transactions_csv(spark: SparkSession, path: str, timestamp_format: str = CSV_TIMESTAMP_FORMAT, header: bool = True) -> DataFrame:
+    """The good lines of ``scan_transactions_csv``. None of the others becomes a payment with missing fields."""
+    rows = scan_transactions_csv(spark, path, timestamp_format, header)
+    return rows.where(F.col("reject_reason").isNull()).drop("reject_reason", "record")
+
+
+def ingest_transactions_csv(spark: SparkSession, path: str, target: str, timestamp_format: str = CSV_TIMESTAMP_FORMAT,
+                            header: bool = True) -> tuple[DataFrame, dict[str, int]]:
+    """S1 with a reject path, from one scan: good lines to ``<target>/kind=good`` and the others, with their reason, to
+    ``<target>/kind=rejected`` (overwritten). Returns the good lines and the counts of both, observed in the write."""
+    seen = Observation("csv-lines")
+    bad = F.col("reject_reason").isNotNull()
+    (scan_transactions_csv(spark, path, timestamp_format, header)
+     .observe(seen, F.count_if(~bad).alias("good"), F.count_if(bad).alias("rejected"))
+     .withColumn("kind", F.when(bad, "rejected").otherwise("good"))
+     .write.mode("overwrite").partitionBy("kind").parquet(target))
+    written = StructType([*[StructField(f.name, f.dataType) for f in TRANSACTIONS_RAW.fields], StructField("reject_reason", StringType()),
+                          StructField("record", StringType()), StructField("kind", StringType())])
+    good = spark.read.schema(written).parquet(target).where("kind = 'good'").select(*[f.name for f in TRANSACTIONS_RAW.fields])
+    return good, {k: int(v) for k, v in seen.get.items()}
 
 
 def write_transactions_csv(df: DataFrame, path: str, timestamp_format: str = "yyyy-MM-dd HH:mm:ss.SSSSSS") -> None:

@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import stage_table
+from ..session import scratch_tables
 
 LOAD = "load_id"
 DATE_LIST = 1000                # dates that a partition filter lists; a longer batch filters by its first and last date
@@ -99,20 +99,21 @@ def load_by_date(df: DataFrame, path: str, load_id: str, key: str = "tx_hash", d
     if not _LOAD_NAME.fullmatch(load_id):
         raise ValueError(f"a load id is a letter and then letters, digits, '_', '.' or '-': {load_id!r}")
     spark, path = df.sparkSession, path.rstrip("/")
-    batch = stage_table(df, "load-batch")
-    unique = stage_table(one_per_key(batch, key), "load-unique")
-    stored = read_loads(spark, path)
-    fresh = stage_table(fresh_rows(unique, stored, load_id, key, date), "load-fresh")
-
-    # every date of this load's earlier run: a scan of its own folders only
-    before = [] if stored is None else [r[0] for r in stored.where(F.col(LOAD) == load_id).select(date).distinct().collect()]
-    loaded = _replace(fresh.withColumn(LOAD, F.lit(load_id)).hint("rebalance", F.col(date)), path, [date, LOAD])
-    now = {r[0] for r in fresh.select(date).distinct().collect()} if before else set()
-    name = "__HIVE_DEFAULT_PARTITION__"
-    _delete(spark, [f"{path}/{date}={name if d is None else d}/{LOAD}={load_id}" for d in before if d not in now])
-
-    bad = batch.where(F.col(key).isNull()).withColumns({"reason": F.lit(f"{key} is NULL"), LOAD: F.lit(load_id)})
-    rejected = _replace(bad, f"{path}_rejected", [LOAD])
-    if not rejected:
-        _delete(spark, [f"{path}_rejected/{LOAD}={load_id}"])
-    return LoadResult(loaded, batch.where(F.col(key).isNotNull()).count() - loaded, rejected)
+    with scratch_tables(spark) as stage:
+        batch = stage(df, "load-batch")
+        unique = stage(one_per_key(batch, key), "load-unique")
+        stored = read_loads(spark, path)
+        fresh = stage(fresh_rows(unique, stored, load_id, key, date), "load-fresh")
+
+        # every date of this load's earlier run: a scan of its own folders only
+        before = [] if stored is None else [r[0] for r in stored.where(F.col(LOAD) == load_id).select(date).distinct().collect()]
+        loaded = _replace(fresh.withColumn(LOAD, F.lit(load_id)).hint("rebalance", F.col(date)), path, [date, LOAD])
+        now = {r[0] for r in fresh.select(date).distinct().collect()} if before else set()
+        name = "__HIVE_DEFAULT_PARTITION__"
+        _delete(spark, [f"{path}/{date}={name if d is None else d}/{LOAD}={load_id}" for d in before if d not in now])
+
+        bad = batch.where(F.col(key).isNull()).withColumns({"reason": F.lit(f"{key} is NULL"), LOAD: F.lit(load_id)})
+        rejected = _replace(bad, f"{path}_rejected", [LOAD])
+        if not rejected:
+            _delete(spark, [f"{path}_rejected/{LOAD}={load_id}"])
+        return LoadResult(loaded, batch.where(F.col(key).isNotNull()).count() - loaded, rejected)
