@@ -133,32 +133,37 @@ def report_rollup(df: DataFrame) -> DataFrame:
     )
 
 
-def report_totals(r: DataFrame) -> DataFrame:
-    """The rollup's one-row totals, from which the report's four one-row figures are selected."""
+def report_table(r: DataFrame) -> DataFrame:
+    """The rollup by network, by tx_type and in total, as one table (figure, value and the sums): the report's figures
+    are rows of it. Grouping sets expand the rollup's few rows, not the data."""
     of = lambda status: F.coalesce(F.sum(F.when(F.col("status") == status, F.col("n"))), F.lit(0))
-    return r.agg(F.sum("n").alias("n"), F.sum("n_amount").alias("n_amount"), F.sum("sum_amount").alias("sum_amount"),
-                 F.max("max_amount").alias("max_amount"), F.sum("n_anomaly").alias("n_anomaly"),
-                 of("CONFIRMED").alias("confirmed"), of("PENDING").alias("pending"), of("FAILED").alias("failed"))
-
-
-def report_from_rollup(r: DataFrame, totals: DataFrame | None = None) -> dict[str, DataFrame]:
-    """A6-A11 from ``report_rollup`` output; same columns as the direct functions. ``totals`` takes the
-    result of ``report_totals`` where a caller keeps it."""
-    totals = report_totals(r) if totals is None else totals
-    vol = F.sum("sum_amount").cast("double")
-    mean = F.try_divide(vol, F.sum("n_amount").cast("double"))
-    total_mean = F.try_divide(F.col("sum_amount").cast("double"), F.col("n_amount").cast("double"))
+    level = F.grouping_id()
+    figure = F.when(level == 1, "network").when(level == 2, "tx_type").otherwise("total")
+    return r.groupingSets([["network"], ["tx_type"], []], "network", "tx_type").agg(
+        figure.alias("figure"), F.sum("n").alias("n"), F.sum("n_amount").alias("n_amount"), F.sum("sum_amount").alias("sum_amount"),
+        F.max("max_amount").alias("max_amount"), F.sum("n_anomaly").alias("n_anomaly"),
+        of("CONFIRMED").alias("confirmed"), of("PENDING").alias("pending"), of("FAILED").alias("failed")).select(
+        "figure", F.coalesce("network", "tx_type").alias("value"), "n", "n_amount", "sum_amount", "max_amount", "n_anomaly", "confirmed", "pending", "failed")
+
+
+def report_from_rollup(r: DataFrame, table: DataFrame | None = None) -> dict[str, DataFrame]:
+    """A6-A11 from ``report_rollup`` output; same columns as the direct functions. ``table`` takes the
+    result of ``report_table`` where a caller keeps it."""
+    table = report_table(r) if table is None else table
+    totals = table.where("figure = 'total'")
+    vol = F.col("sum_amount").cast("double").alias("volume")
+    mean = F.try_divide(F.col("sum_amount").cast("double"), F.col("n_amount").cast("double"))
     return {
-        "volume_by_network": r.groupBy("network").agg(vol.alias("volume"), F.sum("n_amount").alias("tx_count")),
-        "volume_by_type": r.groupBy("tx_type").agg(vol.alias("volume"), mean.alias("mean_amount"),
-                                                   F.sum("n_amount").alias("tx_count")),
+        "volume_by_network": table.where("figure = 'network'").select(F.col("value").alias("network"), vol, F.col("n_amount").alias("tx_count")),
+        "volume_by_type": table.where("figure = 'tx_type'").select(F.col("value").alias("tx_type"), vol, mean.alias("mean_amount"),
+                                                                   F.col("n_amount").alias("tx_count")),
         "status_counts": totals.select(F.col("n").alias("total"), "confirmed", "pending", "failed"),
         "amount_overview": totals.select(F.col("sum_amount").cast("double").alias("total_volume"),
-                                         total_mean.alias("avg_amount"), "max_amount"),
+                                         mean.alias("avg_amount"), "max_amount"),
         "anomaly_rate": totals.select(F.coalesce("n_anomaly", F.lit(0)).cast("bigint").alias("flagged"),
                                       F.bround(ratio(F.col("n_anomaly") * 100, F.col("n")), 4).alias("flagged_pct")),
         "kpi_summary": totals.select(F.col("n").alias("total_transactions"),
                                      F.bround("sum_amount", 4).cast("double").alias("total_volume_btc"),
-                                     F.bround(total_mean, 6).alias("avg_amount"),
+                                     F.bround(mean, 6).alias("avg_amount"),
                                      F.bround(ratio(F.col("confirmed") * 100, F.col("n")), 2).alias("confirmed_pct")),
     }

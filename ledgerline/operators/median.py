@@ -4,19 +4,20 @@ Spark's ``median``/``percentile`` keeps every distinct value of a group in one a
 buffer, so a group holding a third of 100 TB would sit in one task. This operator is exact and
 keeps every task bounded:
 
-1. one aggregate gives, per group, the count and the min/max (map-side partials, so a hot group is
-   combined before the shuffle). Each of the two middle ranks of a group gets a candidate interval of
-   its own, at first [min, max];
-2. while some interval still has more than ``max_rank_rows`` candidates, a round counts the candidates
-   of each open interval in ``buckets`` equal-width buckets (a hash aggregate to count/min/max, with
-   map-side partials) and narrows the interval to the one bucket that holds its rank. Counts are
-   exact, so the interval always holds the answer. The least and the greatest candidate never share a
-   bucket, so every round drops at least one distinct value, and an interval of one value is closed:
-   the rounds end by themselves, and two heavy middle values close in one round each;
-3. the candidates left (at most ``max_rank_rows`` for an interval) are ranked with a window.
-
-The per-interval state is a small table, written after each round, so Spark knows its size and
-decides itself whether to broadcast it; one number per round reaches the driver.
+1. the first scan gives, per group, the count, min and max, and from a mergeable quantile sketch (``percentile_approx``,
+   combined in the map tasks) two values around the median, a little further apart than the sketch's error;
+2. the second scan counts, per group, the values below that bracket and each distinct value inside it. The counts are
+   exact, so they prove whether the two middle ranks lie inside; each of them gets a candidate interval: the bracket,
+   or [min, max] in the rare case that the sketch missed;
+3. if no interval has more than ``max_rank_rows`` distinct values, the ranks are read off the counts: two scans in all.
+   Otherwise rounds follow: each counts the candidates of each open interval in ``buckets`` equal-width buckets (a hash
+   aggregate to count/min/max, with map-side partials) and narrows the interval to the one bucket that holds its rank. The
+   least and the greatest candidate never share a bucket, so every round drops at least one distinct value, and an
+   interval of one value is closed: the rounds end by themselves, and two heavy middle values close in one round each. The
+   candidates left are ranked with a window.
+
+The per-interval state is a small table, written after each step, so Spark knows its size and
+decides itself whether to broadcast it; one number per step reaches the driver.
 
 The median of an even count is the mean of the two middle values, ``(a + b) / 2``, as pandas
 computes it.
@@ -32,6 +33,7 @@ from ..session import stage_table
 
 MAX_RANK_ROWS = 1_000
 BUCKETS = 4096
+SKETCH = 10_000                 # the sketch's rank error is at most a 10,000th of the group
 
 
 def _open(state: DataFrame) -> DataFrame:
@@ -80,21 +82,53 @@ def group_median(df: DataFrame, by: list[str], value: str, out: str = "median",
     for c in by:  # pandas groupby drops null keys: such rows get no median
         base = base.where(F.col(c).isNotNull())
 
-    n = F.col("_n")
-    groups = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    middle = F.array(F.struct(F.lit(1).alias("which"), F.floor((n - 1) / 2).cast("bigint").alias("k")),
-                     F.struct(F.lit(2).alias("which"), F.floor(n / 2).cast("bigint").alias("k")))
-    state, most = _written(groups.withColumn("_r", F.explode(middle)).select(
-        *by, F.col("_r.which").alias("_which"), F.col("_r.k").alias("_k"), "_lo", "_hi",
-        F.lit(0).cast("bigint").alias("_off"), n.alias("_m")))
+    # twice the sketch's error to each side of the median
+    around = F.percentile_approx("_x", [0.5 - 2 / SKETCH, 0.5 + 2 / SKETCH], SKETCH)
+    groups = stage_table(base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
+                                               around.alias("_q")).withColumns({"_from": F.col("_q")[0], "_to": F.col("_q")[1]}).drop("_q"), "median-groups")
+    # one row for all that lies below a group's bracket (NULL), and one for each value inside it
+    x = F.col("_x")
+    counts = stage_table(base.join(groups, by).where(x <= F.col("_to")).withColumn("_v", F.when(x >= F.col("_from"), x))
+                         .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")), "median-counts")
+    state = _intervals(groups, counts, by)
+    seen = Observation("median-intervals")
+    state = stage_table(state.observe(seen, F.max("_distinct").alias("distinct"), F.count_if(~F.col("_inside")).alias("missed")), "median-state")
+    key = [*by, "_which"]
+    if not seen.get["missed"] and (seen.get["distinct"] or 0) <= max_rank_rows:
+        upto = F.sum("_c").over(Window.partitionBy(*key).orderBy("_v"))
+        found = (counts.where(F.col("_v").isNotNull()).join(state, by).withColumn("_last", F.col("_off") + upto)
+                 .where((F.col("_k") < F.col("_last")) & (F.col("_k") >= F.col("_last") - F.col("_c"))).select(*key, "_v"))
+        return _middle(found, by, out)
+
+    state, most = _written(state.drop("_distinct", "_inside"))
     while most > max_rank_rows:
         state, most = _written(_refine(base, state, by, buckets))
 
-    key = [*by, "_which"]
     closed = state.where(~(F.col("_lo") < F.col("_hi"))).select(*key, F.col("_lo").alias("_v"))
     place = F.row_number().over(Window.partitionBy(*key).orderBy("_x")) - 1 + F.col("_off")
     ranked = (_candidates(base, state, by).withColumn("_pos", place)
               .where(F.col("_pos") == F.col("_k")).select(*key, F.col("_x").alias("_v")))
-    values = closed.unionByName(ranked).groupBy(*by).agg(
-        F.max(F.when(F.col("_which") == 1, F.col("_v"))).alias("_a"), F.max(F.when(F.col("_which") == 2, F.col("_v"))).alias("_b"))
-    return stage_table(values.select(*by, ((F.col("_a") + F.col("_b")) / F.lit(2.0)).alias(out)), "median")
+    return _middle(closed.unionByName(ranked), by, out)
+
+
+def _intervals(groups: DataFrame, counts: DataFrame, by: list[str]) -> DataFrame:
+    """One row a group and middle rank: its candidates' interval, how many rows lie before it (``_off``) and in it (``_m``),
+    and how many distinct values (``_distinct``)."""
+    n, value = F.col("_n"), F.col("_v")
+    sums = counts.groupBy(*by).agg(F.coalesce(F.sum(F.when(value.isNull(), F.col("_c"))), F.lit(0)).alias("_below"),
+                                   F.coalesce(F.sum(F.when(value.isNotNull(), F.col("_c"))), F.lit(0)).alias("_within"),
+                                   F.count("_v").alias("_distinct"), F.min("_v").alias("_vmin"), F.max("_v").alias("_vmax"))
+    middle = F.array(F.struct(F.lit(1).alias("which"), F.floor((n - 1) / 2).cast("bigint").alias("k")),
+                     F.struct(F.lit(2).alias("which"), F.floor(n / 2).cast("bigint").alias("k")))
+    rows = groups.join(sums, by).withColumn("_r", F.explode(middle)).withColumns({"_which": F.col("_r.which"), "_k": F.col("_r.k")})
+    inside = (F.col("_k") >= F.col("_below")) & (F.col("_k") < F.col("_below") + F.col("_within"))
+    either = lambda a, b: F.when(F.col("_inside"), a).otherwise(b)
+    return rows.withColumn("_inside", inside).select(
+        *by, "_which", "_k", either(F.col("_vmin"), F.col("_min")).alias("_lo"), either(F.col("_vmax"), F.col("_max")).alias("_hi"),
+        either(F.col("_below"), F.lit(0)).cast("bigint").alias("_off"), either(F.col("_within"), n).cast("bigint").alias("_m"), "_distinct", "_inside")
+
+
+def _middle(values: DataFrame, by: list[str], out: str) -> DataFrame:
+    """The mean of a group's two middle values, written."""
+    both = values.groupBy(*by).agg(F.max(F.when(F.col("_which") == 1, F.col("_v"))).alias("_a"), F.max(F.when(F.col("_which") == 2, F.col("_v"))).alias("_b"))
+    return stage_table(both.select(*by, ((F.col("_a") + F.col("_b")) / F.lit(2.0)).alias(out)), "median")

@@ -6,6 +6,7 @@ Every rule is a total (never NULL) boolean, so a row lands in exactly one of the
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -49,36 +50,68 @@ def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 # ---- constraint audits over built tables (V6-V9) -------------------------------------------
 
-def _audit_row(df: DataFrame, table: str, constraint: str, column: str, violations: Column) -> DataFrame:
-    return df.agg(violations.cast("bigint").alias("violations")).select(
-        F.lit(table).alias("table_name"), F.lit(constraint).alias("constraint_type"),
-        F.lit(column).alias("column_name"), "violations")
-
-
-def audit_not_null(df: DataFrame, table: str, cols: list[str]) -> DataFrame:
-    """V6: one aggregate for all columns; one output row per column."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).cast("bigint").alias(c) for c in cols])
-    rows = [counts.select(F.lit(table).alias("table_name"), F.lit("NOT NULL").alias("constraint_type"),
-                          F.lit(c).alias("column_name"), F.col(c).alias("violations")) for c in cols]
-    return reduce(DataFrame.unionByName, rows)
-
-
-def audit_unique(df: DataFrame, table: str, key: str, constraint: str = "UNIQUE") -> DataFrame:
-    """V7: rows whose key value occurs more than once (NULL keys ignored, as SQL does)."""
-    dup = (df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > 1))
-    return _audit_row(dup, table, constraint, key, F.coalesce(F.sum("_n"), F.lit(0)))
-
-
-def audit_foreign_key(df: DataFrame, table: str, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """V8: non-null FK values with no parent row (left anti join)."""
-    orphans = df.where(F.col(fk).isNotNull()).join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
-    return _audit_row(orphans, table, f"FOREIGN KEY -> {pk}", fk, F.count(F.lit(1)))
-
-
-def audit_check_positive(df: DataFrame, table: str, col: str) -> DataFrame:
-    """V9: CHECK (col > 0); NULL passes, as in SQL."""
-    return _audit_row(df, table, f"CHECK ({col} > 0)", col, F.count_if(~(F.col(col) > 0)))
+@dataclass(frozen=True)
+class Constraint:
+    """``kind`` is NOT NULL, PRIMARY KEY, UNIQUE, FOREIGN KEY or CHECK. A foreign key names its ``parent`` (table, column),
+    whose own key must be among the constraints; a check has its ``rule``, a SQL condition that NULL passes."""
+
+    table: str
+    kind: str
+    column: str
+    parent: tuple[str, str] | None = None
+    rule: str | None = None
+
+    @property
+    def label(self) -> str:
+        return {"FOREIGN KEY": f"FOREIGN KEY -> {self.parent and self.parent[1]}", "CHECK": f"CHECK ({self.rule})"}.get(self.kind, self.kind)
+
+
+def audit(tables: dict[str, DataFrame], constraints: list[Constraint]) -> DataFrame:
+    """V6-V9: table_name, constraint_type, column_name and violations for every constraint, from one scan of each table.
+
+    Each row of a table gives one (key, value, place) for each of its keys: place 0 for a unique key's own column, 1 and up
+    for the foreign keys that point at it. They are counted by (key, value) in the map tasks, so that of a hot foreign key
+    one row a task is shuffled and of a table never a whole row; the one shuffle brings a parent's value and its
+    children together. A value with several rows at place 0 breaks UNIQUE, one with rows at another place and none at place 0
+    breaks that foreign key. NULLs and broken checks are counted under a key of their own. As in SQL, NULL breaks no
+    key and no check.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    own = {(c.table, c.column): i for i, c in enumerate(constraints) if c.kind in ("PRIMARY KEY", "UNIQUE")}
+    children: dict[int, int] = {}
+    slots: list[tuple[int, int, str]] = []                      # of each constraint: key, place, how it is judged
+    for i, c in enumerate(constraints):
+        if c.kind == "FOREIGN KEY":
+            key = own[c.parent]
+            children[key] = children.get(key, 0) + 1
+            slots.append((key, children[key], "orphan"))
+        else:
+            slots.append((i, 0, "repeat" if (c.table, c.column) in own and own[c.table, c.column] == i else "count"))
+
+    def entry(i: int) -> Column:
+        c, (key, place, judged) = constraints[i], slots[i]
+        col = F.col(c.column)
+        broken = col.isNull() if c.kind == "NOT NULL" else F.coalesce(~F.expr(c.rule), F.lit(False)) if c.kind == "CHECK" else None
+        value = F.lit("") if judged == "count" else col.cast("string")
+        made = F.struct(F.lit(key).alias("key"), value.alias("value"), F.lit(place).alias("place"))
+        return F.when(broken if judged == "count" else col.isNotNull(), made)
+
+    parts = []
+    for name, table in tables.items():
+        mine = [i for i, c in enumerate(constraints) if c.table == name]
+        if mine:
+            parts.append(table.select(F.explode(F.array_compact(F.array(*[entry(i) for i in mine]))).alias("e")).select("e.*"))
+    places = max(children.values(), default=0) + 1
+    at = lambda p: F.count_if(F.col("place") == p)
+    values = reduce(DataFrame.unionByName, parts).groupBy("key", "value").agg(*[at(p).alias(f"n{p}") for p in range(places)])
+    totals = values.groupBy("key").agg(F.sum("n0").alias("count"), F.sum(F.when(F.col("n0") > 1, F.col("n0"))).alias("repeat"),
+                                       *[F.sum(F.when(F.col("n0") == 0, F.col(f"n{p}"))).alias(f"orphan{p}") for p in range(1, places)])
+    long = totals.select("key", F.explode(F.create_map(*[x for c in totals.columns[1:] for x in (F.lit(c), F.col(c))])).alias("judged", "n"))
+    names = spark.createDataFrame([(c.table, c.label, c.column, i, key, f"orphan{place}" if judged == "orphan" else judged)
+                                   for i, (c, (key, place, judged)) in enumerate(zip(constraints, slots, strict=True))],
+                                  "table_name string, constraint_type string, column_name string, number int, key int, judged string")
+    return (names.join(long, ["key", "judged"], "left")
+            .select("table_name", "constraint_type", "column_name", F.coalesce("n", F.lit(0)).cast("bigint").alias("violations")))
 
 
 def apply_defaults(df: DataFrame, defaults: dict[str, Column | object]) -> DataFrame:

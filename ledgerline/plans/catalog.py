@@ -23,7 +23,7 @@ from ..operators import quality as V
 from ..operators.median import group_median
 from ..operators.ranking import surrogate_keys
 from ..operators.windows import group_median_column, rank_in_network
-from ..session import work_dir
+from ..session import stage_table, work_dir
 from ..sources import io, warehouse
 from ..sources.ledger_views import ledger_raw0, ledger_wallets, load_ledger, read_table
 from ..streaming import events as ST
@@ -381,12 +381,7 @@ NOT_NULL = [("fact_transactions", "fact", "tx_hash"), ("dim_date", "dim_date", "
     f"SELECT '{t}' AS table_name, 'NOT NULL' AS constraint_type, '{c}' AS column_name, "
     f"CAST(count_if({c} IS NULL) AS BIGINT) AS violations FROM {cte}" for t, cte, c in NOT_NULL))
 def q_v6(spark, sf_dir):
-    tables = _star_tables(_ledger(spark, sf_dir))
-    parts = [V.audit_not_null(tables[t], t, [c]) for t, _, c in NOT_NULL]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _audited(spark, sf_dir).where("constraint_type = 'NOT NULL'")
 
 
 UNIQUE = [("fact_transactions", "fact", "fact_id", "PRIMARY KEY"), ("dim_date", "dim_date", "date_key", "PRIMARY KEY"),
@@ -404,12 +399,7 @@ UNIQUE = [("fact_transactions", "fact", "fact_id", "PRIMARY KEY"), ("dim_date",
     f"CAST(coalesce(sum(_n), 0) AS BIGINT) AS violations FROM (SELECT {c}, count(*) AS _n FROM {cte} "
     f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)" for t, cte, c, k in UNIQUE))
 def q_v7(spark, sf_dir):
-    tables = _star_tables(_ledger(spark, sf_dir))
-    parts = [V.audit_unique(tables[t], t, c, k) for t, _, c, k in UNIQUE]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _audited(spark, sf_dir).where("constraint_type IN ('PRIMARY KEY', 'UNIQUE')")
 
 
 FOREIGN = [("fact_transactions", "fact", "date_key", "dim_date", "dim_date", "date_key"),
@@ -427,19 +417,32 @@ FOREIGN = [("fact_transactions", "fact", "date_key", "dim_date", "dim_date", "da
     f"CAST(count(*) AS BIGINT) AS violations FROM {cte} c WHERE c.{fk} IS NOT NULL AND NOT EXISTS "
     f"(SELECT 1 FROM {pcte} p WHERE p.{pk} = c.{fk})" for t, cte, fk, _, pcte, pk in FOREIGN))
 def q_v8(spark, sf_dir):
-    tables = _star_tables(_ledger(spark, sf_dir))
-    parts = [V.audit_foreign_key(tables[t], t, fk, tables[pt], pk) for t, _, fk, pt, _, pk in FOREIGN]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _audited(spark, sf_dir).where("constraint_type LIKE 'FOREIGN KEY%'")
 
 
 @register("v9_check_audit", """
 SELECT 'transactions' AS table_name, 'CHECK (amount > 0)' AS constraint_type, 'amount' AS column_name,
        CAST(count_if(NOT (amount > 0)) AS BIGINT) AS violations FROM transactions_3nf""")
 def q_v9(spark, sf_dir):
-    return V.audit_check_positive(_ledger(spark, sf_dir).transactions_3nf, "transactions", "amount")
+    return _audited(spark, sf_dir).where("constraint_type LIKE 'CHECK%'")
+
+
+def star_constraints() -> list[V.Constraint]:
+    """All declared constraints of the star schema and the 3NF tables."""
+    return ([V.Constraint(t, "NOT NULL", c) for t, _, c in NOT_NULL] + [V.Constraint(t, k, c) for t, _, c, k in UNIQUE]
+            + [V.Constraint(t, "FOREIGN KEY", fk, parent=(pt, pk)) for t, _, fk, pt, _, pk in FOREIGN]
+            + [V.Constraint("transactions", "CHECK", "amount", rule="amount > 0")])
+
+
+_AUDITS: dict[tuple[str, str], DataFrame] = {}
+
+
+def _audited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V6-V9 in one audit, of which each query takes its own kind."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _AUDITS:
+        _AUDITS[key] = stage_table(V.audit(_star_tables(_ledger(spark, sf_dir)), star_constraints()), "audit")
+    return _AUDITS[key]
 
 
 @register("v10_defaults", """
@@ -622,6 +625,16 @@ def q_report_rollup(spark, sf_dir):
     return r.withColumn("volume", F.col("sum_amount").cast("double")).drop("sum_amount")
 
 
+@register("report_table", """
+SELECT 'network' AS figure, network AS value, count(*) AS n, CAST(sum(CAST(amount AS DECIMAL(28,8))) AS DOUBLE) AS volume FROM validated GROUP BY network
+UNION ALL SELECT 'tx_type', tx_type, count(*), CAST(sum(CAST(amount AS DECIMAL(28,8))) AS DOUBLE) FROM validated GROUP BY tx_type
+UNION ALL SELECT 'total', NULL, count(*), CAST(sum(CAST(amount AS DECIMAL(28,8))) AS DOUBLE) FROM validated""")
+def q_report_table(spark, sf_dir):
+    """All figures of the report as one table, from one scan."""
+    t = A.report_table(A.report_rollup(_ledger(spark, sf_dir).validated))
+    return t.select("figure", "value", "n", F.col("sum_amount").cast("double").alias("volume"))
+
+
 @register("report_kpi_from_rollup", KPI_SQL)
 def q_report_kpi(spark, sf_dir):
     """A11 as the report computes it, from the rollup."""

@@ -98,3 +98,29 @@ def test_rank_property(spark, rows, num_ranges, descending):
     pdf["key"] = pdf["v"].fillna(-math.inf if descending else math.inf)   # nulls last
     pdf["rk"] = pdf.groupby("p")["key"].rank(method="min", ascending=not descending).astype(int)
     assert got == dict(zip(pdf["id"], pdf["rk"]))
+
+
+def test_sketch_bracket_needs_two_scans(spark, monkeypatch):
+    """Large groups, one of them with two heavy middle values, are decided from the counts of the second scan."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators import median
+
+    monkeypatch.setattr(median, "_refine", lambda *a: pytest.fail("a round ran"))
+    wide = spark.range(200_000).select((F.col("id") % 3).cast("string").alias("g"), F.when(F.col("id") % 3 == 2, F.floor(F.col("id") / 3) % 2 * 9.0)
+                                       .otherwise(F.pmod(F.xxhash64("id"), F.lit(1_000_003)).cast("double")).alias("v"))
+    got = {r.g: r.m for r in group_median(wide, ["g"], "v", "m").collect()}
+    assert got == {r.g: r.m for r in wide.groupBy("g").agg(F.median("v").alias("m")).collect()} and got["2"] in (0.0, 4.5, 9.0)
+
+
+def test_a_missed_bracket_falls_back_to_rounds(spark, monkeypatch):
+    """A sketch whose bracket lies beside the median costs rounds, never the result."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators import median
+
+    for share in (0.1, 0.9):
+        monkeypatch.setattr(median.F, "percentile_approx", lambda c, q, a, share=share: F.array(*[F.percentile(c, F.lit(share))] * 2))
+        df = spark.range(5000).select(F.lit("g").alias("g"), (F.col("id") * 7 % 5001).cast("double").alias("v"))
+        want = df.agg(F.median("v")).first()[0]
+        assert group_median(df, ["g"], "v", "m", max_rank_rows=5, buckets=8).collect()[0]["m"] == want
