@@ -58,10 +58,9 @@ def run_stages(spark, sf_dir: str, base: str, times: dict, rows: dict | None = N
         scored, v_obs = observed_rows(score(valid), "valid")
         io.write_parquet(scored, f"{base}/validated")
         validated = io.read_parquet(spark, f"{base}/validated")
-        io.write_parquet(A.wallet_stats(validated), f"{base}/wallet_stats")
-        io.write_parquet(A.daily_stats(validated), f"{base}/daily_stats")
         invalid, i_obs = observed_rows(invalid, "invalid")
-        io.write_parquet(invalid, f"{base}/quarantine")
+        io.write_together({f"{base}/wallet_stats": A.wallet_stats(validated), f"{base}/daily_stats": A.daily_stats(validated),
+                           f"{base}/quarantine": invalid})
         rows["valid"], rows["invalid"] = v_obs.get["rows"], i_obs.get["rows"]
     timed("process", do_process)
 
@@ -74,11 +73,10 @@ def run_stages(spark, sf_dir: str, base: str, times: dict, rows: dict | None = N
 
     def do_report():
         validated = io.read_parquet(spark, f"{base}/validated")
-        # the report's figures A6-A10 are the rows of one small table, which is written, shown and cut to the KPI row
-        io.write_parquet(A.report_table(A.report_rollup(validated)), f"{base}/report_table")
-        table = io.read_parquet(spark, f"{base}/report_table")
-        table.collect()
-        io.write_report_csv(A.report_from_rollup(None, table)["kpi_summary"], f"{base}/report")
+        # the report's figures A6-A10 are the few rows of one table, of which the KPI row is written
+        table = A.report_table(A.report_rollup(validated))
+        figures = spark.createDataFrame(table.collect(), table.schema)
+        io.write_report_csv(A.report_from_rollup(None, figures)["kpi_summary"], f"{base}/report")
     timed("report", do_report)
 
     def do_star():

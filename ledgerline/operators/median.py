@@ -9,7 +9,7 @@ keeps every task bounded:
 2. the second scan counts, per group, the values below that bracket and each distinct value inside it. The counts are
    exact, so they prove whether the two middle ranks lie inside; each of them gets a candidate interval: the bracket,
    or [min, max] in the rare case that the sketch missed;
-3. if no interval has more than ``max_rank_rows`` distinct values, the ranks are read off the counts: two scans in all.
+3. if there are at most ``max_rank_rows`` counts and no miss, the ranks are read off the counts: two scans in all.
    Otherwise rounds follow: each counts the candidates of each open interval in ``buckets`` equal-width buckets (a hash
    aggregate to count/min/max, with map-side partials) and narrows the interval to the one bucket that holds its rank. The
    least and the greatest candidate never share a bucket, so every round drops at least one distinct value, and an
@@ -29,9 +29,9 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null
-from ..session import stage_table
+from ..session import counted_stage_table, stage_table
 
-MAX_RANK_ROWS = 1_000
+MAX_RANK_ROWS = 100_000
 BUCKETS = 4096
 SKETCH = 10_000                 # the sketch's rank error is at most a 10,000th of the group
 
@@ -84,23 +84,23 @@ def group_median(df: DataFrame, by: list[str], value: str, out: str = "median",
 
     # twice the sketch's error to each side of the median
     around = F.percentile_approx("_x", [0.5 - 2 / SKETCH, 0.5 + 2 / SKETCH], SKETCH)
-    groups = stage_table(base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
+    groups, n_groups = counted_stage_table(base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
                                                around.alias("_q")).withColumns({"_from": F.col("_q")[0], "_to": F.col("_q")[1]}).drop("_q"), "median-groups")
     # one row for all that lies below a group's bracket (NULL), and one for each value inside it
     x = F.col("_x")
-    counts = stage_table(base.join(groups, by).where(x <= F.col("_to")).withColumn("_v", F.when(x >= F.col("_from"), x))
-                         .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")), "median-counts")
+    counts, rows = counted_stage_table(base.join(groups, by).where(x <= F.col("_to")).withColumn("_v", F.when(x >= F.col("_from"), x))
+                                       .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")), "median-counts")
     state = _intervals(groups, counts, by)
-    seen = Observation("median-intervals")
-    state = stage_table(state.observe(seen, F.max("_distinct").alias("distinct"), F.count_if(~F.col("_inside")).alias("missed")), "median-state")
     key = [*by, "_which"]
-    if not seen.get["missed"] and (seen.get["distinct"] or 0) <= max_rank_rows:
+    if rows <= max_rank_rows:
         upto = F.sum("_c").over(Window.partitionBy(*key).orderBy("_v"))
-        found = (counts.where(F.col("_v").isNotNull()).join(state, by).withColumn("_last", F.col("_off") + upto)
+        found = (counts.where(F.col("_v").isNotNull()).join(state.where("_inside"), by).withColumn("_last", F.col("_off") + upto)
                  .where((F.col("_k") < F.col("_last")) & (F.col("_k") >= F.col("_last") - F.col("_c"))).select(*key, "_v"))
-        return _middle(found, by, out)
+        medians, decided = counted_stage_table(_middle(found, by, out), "median")
+        if decided == n_groups:                                 # both middle ranks of every group were inside its bracket
+            return medians
 
-    state, most = _written(state.drop("_distinct", "_inside"))
+    state, most = _written(state.drop("_inside"))
     while most > max_rank_rows:
         state, most = _written(_refine(base, state, by, buckets))
 
@@ -108,16 +108,16 @@ def group_median(df: DataFrame, by: list[str], value: str, out: str = "median",
     place = F.row_number().over(Window.partitionBy(*key).orderBy("_x")) - 1 + F.col("_off")
     ranked = (_candidates(base, state, by).withColumn("_pos", place)
               .where(F.col("_pos") == F.col("_k")).select(*key, F.col("_x").alias("_v")))
-    return _middle(closed.unionByName(ranked), by, out)
+    return stage_table(_middle(closed.unionByName(ranked), by, out), "median")
 
 
 def _intervals(groups: DataFrame, counts: DataFrame, by: list[str]) -> DataFrame:
-    """One row a group and middle rank: its candidates' interval, how many rows lie before it (``_off``) and in it (``_m``),
-    and how many distinct values (``_distinct``)."""
+    """One row a group and middle rank: its candidates' interval, and how many rows lie before it (``_off``) and in it
+    (``_m``); ``_inside`` is false where the sketch's bracket missed the rank."""
     n, value = F.col("_n"), F.col("_v")
     sums = counts.groupBy(*by).agg(F.coalesce(F.sum(F.when(value.isNull(), F.col("_c"))), F.lit(0)).alias("_below"),
                                    F.coalesce(F.sum(F.when(value.isNotNull(), F.col("_c"))), F.lit(0)).alias("_within"),
-                                   F.count("_v").alias("_distinct"), F.min("_v").alias("_vmin"), F.max("_v").alias("_vmax"))
+                                   F.min("_v").alias("_vmin"), F.max("_v").alias("_vmax"))
     middle = F.array(F.struct(F.lit(1).alias("which"), F.floor((n - 1) / 2).cast("bigint").alias("k")),
                      F.struct(F.lit(2).alias("which"), F.floor(n / 2).cast("bigint").alias("k")))
     rows = groups.join(sums, by).withColumn("_r", F.explode(middle)).withColumns({"_which": F.col("_r.which"), "_k": F.col("_r.k")})
@@ -125,10 +125,10 @@ def _intervals(groups: DataFrame, counts: DataFrame, by: list[str]) -> DataFrame
     either = lambda a, b: F.when(F.col("_inside"), a).otherwise(b)
     return rows.withColumn("_inside", inside).select(
         *by, "_which", "_k", either(F.col("_vmin"), F.col("_min")).alias("_lo"), either(F.col("_vmax"), F.col("_max")).alias("_hi"),
-        either(F.col("_below"), F.lit(0)).cast("bigint").alias("_off"), either(F.col("_within"), n).cast("bigint").alias("_m"), "_distinct", "_inside")
+        either(F.col("_below"), F.lit(0)).cast("bigint").alias("_off"), either(F.col("_within"), n).cast("bigint").alias("_m"), "_inside")
 
 
 def _middle(values: DataFrame, by: list[str], out: str) -> DataFrame:
-    """The mean of a group's two middle values, written."""
+    """The mean of a group's two middle values, where both are known."""
     both = values.groupBy(*by).agg(F.max(F.when(F.col("_which") == 1, F.col("_v"))).alias("_a"), F.max(F.when(F.col("_which") == 2, F.col("_v"))).alias("_b"))
-    return stage_table(both.select(*by, ((F.col("_a") + F.col("_b")) / F.lit(2.0)).alias(out)), "median")
+    return both.where(F.col("_a").isNotNull() & F.col("_b").isNotNull()).select(*by, ((F.col("_a") + F.col("_b")) / F.lit(2.0)).alias(out))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -111,6 +114,17 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_together(tables: dict[str, DataFrame]) -> None:
+    """K1 for tables that don't depend on one another (path -> rows): their jobs run side by side, so the
+    tail of one leaves no core idle. The first error surfaces after all have ended."""
+    def write(path: str) -> None:
+        write_parquet(tables[path], path)
+
+    with ThreadPoolExecutor(max_workers=max(1, min(4, len(tables)))) as pool:
+        for done in [pool.submit(inheritable_thread_target(next(iter(tables.values())).sparkSession)(write), path) for path in tables]:
+            done.result()
+
+
 def write_partitioned(df: DataFrame, path: str, by: str = "network", salt_buckets: int | None = None) -> None:
     """K2: Hive-style partitions by ``by``; a filter on ``by`` then prunes whole folders.
 
