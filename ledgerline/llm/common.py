@@ -14,7 +14,7 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table_path
+from ..session import stage_table, table_path
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,12 +38,25 @@ def id_fold(id_col: str, folds: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
 
 
+def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """(``docs`` as a written table with a number for each row, the number's column). Decisions by this number cannot touch
+    another row that repeats an id, nor miss one without an id. The column has no name that ``docs`` has."""
+    key = "_row"
+    while key in docs.columns:
+        key += "_"
+    return stage_table(docs.withColumn(key, F.monotonically_increasing_id()), f"numbered-{name}"), key
+
+
+def without_rows(rows: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
+    """A ``numbered`` table without the rows whose numbers are in the one column of ``dropped``, and without the number."""
+    gone = dropped.select(F.col(f"`{dropped.columns[0]}`").alias("_gone"))
+    return rows.join(gone, rows[key] == gone["_gone"], "left_anti").drop(key)
+
+
 def keep_documents(docs: DataFrame, ids: DataFrame, how: str, id_col: str = "doc_id") -> DataFrame:
     """``docs`` with all its own columns whose id is (``left_semi``) or is not (``left_anti``) in
-    the one column of ``ids``. Rows that repeat an id share its fate. A null id matches no list,
-    so such a row stays under ``left_anti`` and goes under ``left_semi``."""
-    key = ids.columns[0]
-    listed = ids.select(F.col(f"`{key}`").alias("_listed_id"))
+    the one column of ``ids``. Rows that repeat an id share its fate."""
+    listed = ids.select(F.col(f"`{ids.columns[0]}`").alias("_listed_id"))
     return docs.join(listed, docs[id_col] == listed["_listed_id"], how)
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage_table
 from .bits import bits_for, build_words, probe
-from .common import id_text
+from .common import id_text, numbered, without_rows
 
 MASKS = ("11010011",)
 WINDOW = 13
@@ -111,3 +111,11 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             .groupBy("doc_id", "item_id")
             .agg(F.min(F.col("doc_at") - F.col("back") - F.col("best.k") - 1).cast("bigint").alias("first_word"),
                  F.max("best.m").cast("bigint").alias("matched_words"), F.count(F.lit(1)).alias("hits")))
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with all its columns without the rows that overlap a benchmark item, whatever their ids: null and repeated
+    ids are rows like others."""
+    rows, key = numbered(docs, "clean")
+    found = find_overlaps(rows, benchmark, id_col=key, text_col=text_col, **options)
+    return without_rows(rows, key, found.select("doc_id").distinct())

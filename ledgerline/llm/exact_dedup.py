@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage_table
-from .common import ascii_lower, id_text
+from .common import ascii_lower, id_text, numbered, without_rows
 
 BUCKET_KEYS = 200_000          # distinct digests in one filter, on average
 SALTS = 16
@@ -200,3 +200,16 @@ def two_batches(docs: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, Dat
     """A table without a batch column, as a snapshot and an incoming batch of about equal size."""
     late = F.pmod(F.xxhash64(F.col(id_col)), F.lit(2)) == 1
     return docs.where(~late), docs.where(late)
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with all its columns, one row of each group of equal texts: the one with the largest id.
+
+    Decided row by row: of rows that repeat the largest id the last in the table's order stays, a null id ranks below
+    every other, and among null ids only the last row stays. A row with a text of its own always stays.
+    """
+    rows, key = numbered(docs, "exact")
+    who = "_who" if "_who" != text_col else "_who_"
+    named = rows.select(F.struct(F.col(f"`{id_col}`").alias("id"), F.col(key).alias("row")).alias(who), F.col(f"`{text_col}`").alias(text_col))
+    decided = exact_dedup(*two_batches(named, who), id_col=who, text_col=text_col)
+    return without_rows(rows, key, decided.where("not kept").select("doc_id.row"))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stage_table
-from .common import id_text, keep_documents
+from .common import id_text, numbered, without_rows
 from .components import components
 
 SHINGLE = 5
@@ -260,7 +260,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = S
     return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
-    """``docs`` with all its columns, one document of each group of near-duplicates."""
-    dropped = near_duplicates(docs, shingle, similarity).where("not kept").select("doc_id")
-    return keep_documents(docs, dropped, "left_anti")
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY, text_col: str = "text") -> DataFrame:
+    """``docs`` with all its columns, one row of each group of near-duplicates: the first in the table's order.
+
+    Rows are told apart by their place, so null and repeated ids are rows like others; a row without words stays.
+    """
+    rows, key = numbered(docs, "minhash")
+    dropped = near_duplicates(rows, shingle, similarity, id_col=key, text_col=text_col).where("not kept").select("doc_id")
+    return without_rows(rows, key, dropped)

@@ -41,8 +41,9 @@ class Piece:
         self.doc_id, self.start, self.ids, self.doc_tokens = doc_id, start, ids, doc_tokens
 
     def cut(self, at: int) -> tuple["Piece", "Piece"]:
-        return (Piece(self.doc_id, self.start, self.ids[:at], self.doc_tokens),
-                Piece(self.doc_id, self.start + at, self.ids[at:], self.doc_tokens))
+        """Copies, so that an open window keeps its own ids alive and not their document's."""
+        return (Piece(self.doc_id, self.start, self.ids[:at].copy(), self.doc_tokens),
+                Piece(self.doc_id, self.start + at, self.ids[at:].copy(), self.doc_tokens))
 
 
 class Packer:
@@ -80,9 +81,11 @@ class Packer:
         self.open[fill].append(pieces)
 
     def add(self, piece: Piece) -> Iterator[tuple[int, list[Piece]]]:
-        while len(piece.ids) >= self.window:
-            head, piece = piece.cut(self.window)
-            yield self._close([head])
+        whole = len(piece.ids) // self.window * self.window
+        for at in range(0, whole, self.window):
+            yield self._close([Piece(piece.doc_id, piece.start + at, piece.ids[at:at + self.window].copy(), piece.doc_tokens)])
+        if whole:
+            piece = piece.cut(whole)[1]
         while len(piece.ids) and self.n_open >= self.max_open:
             fill = int(np.flatnonzero(self.level)[-1])
             room = self.window - fill

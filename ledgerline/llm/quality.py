@@ -125,7 +125,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
     both classes the ensemble has no rules and its score is the smoothed share of label 1."""
     sample = training_sample(labels, label, per_class)
     rows = with_statistics(labelled_texts(id_text(docs, id_col, text_col, binary=True), sample))
-    train = stage_table(rows.select("doc_id", "y", "stats").withColumn("features", array_to_vector("stats")).coalesce(4), "quality-train")
+    # the table is read and measured by as many tasks as it has splits; only the written sample, of a bounded number of
+    # rows, is gathered for the two fits
+    measured = stage_table(rows.select("doc_id", "y", "stats"), "quality-sample")
+    train = stage_table(measured.withColumn("features", array_to_vector("stats")).repartition(4, "doc_id"), "quality-train")
     count = {r["y"]: r["count"] for r in train.groupBy("y").count().collect()}
     if len(count) < 2:
         p = (count.get(1.0, 0) + 1) / (sum(count.values()) + 2)

@@ -78,14 +78,111 @@ def test_classifier_edges(llm, edge, make_docs, which):
     assert score(make_docs([]), fit(make_docs([]), none)).count() == 0
 
 
-def test_kneser_ney_shared_backoff():
-    words = ["bad", "the", "stems*", "odd"]
-    kn = X.KneserNeyPair(words, np.array([[0, 50.0], [500, 520], [0, 40], [2, 1]]), np.array([1000.0, 1000.0]))
-    low, high = kn.likelihoods(["bad"])
-    assert high - low > math.log(3)
-    assert np.ptp(kn.likelihoods(["the", "odd", "unseen"])) == 0          # no difference beyond chance, or too rare
-    assert np.diff(kn.likelihoods(["stemsabc"]))[0] > 1                     # backs off to its first letters
-    assert (kn.likelihoods([]) == 0).all()
+def plain_kneser_ney(rows):
+    """The formulas read literally, over (words, class): P_y(w | h) for any two words."""
+    pairs = [set(), set()]
+    for words, y in rows:
+        pairs[y] |= set(zip(["", "", *words], ["", *words], words, strict=False))
+    n_pair = [Counter((h, w) for _, h, w in p) for p in pairs]
+    n_word = [Counter(w for h, w in {(h, w) for _, h, w in p}) for p in pairs]
+    stem = lambda w: w[:5]
+    n_stem = [Counter(), Counter()]
+    for y in (0, 1):
+        for w, n in n_word[y].items():
+            n_stem[y][stem(w)] += n
+    total = [sum(c.values()) for c in n_word]
+    both_word, both_stem = n_word[0] + n_word[1], n_stem[0] + n_stem[1]
+    words, stems = sorted(w for w in both_word if both_word[w] >= 2), sorted(s for s in both_stem if both_stem[s] >= 2)
+    kept = {s: (both_stem[s] - 0.75) / sum(total) for s in stems}
+    rest = (1 - sum(kept.values())) / (len(stems) + 1)
+    shared = {s: kept[s] + rest for s in stems} | {None: rest}
+    inside, unknown = {}, {}
+    for s in stems:
+        mine = [w for w in words if stem(w) == s]
+        share = {w: (both_word[w] - 0.75) / both_stem[s] for w in mine}
+        unknown[s] = (1 - sum(share.values())) / (len(mine) + 1)
+        inside |= {w: share[w] + unknown[s] for w in mine}
+    keep = lambda n, other, total, other_total: max(n - 2 - 4 * total * (other + 1) / max(other_total, 1), 0)
+
+    def model(y):
+        z = 1 - y
+        own = {s: keep(n_stem[y][s], n_stem[z][s], total[y], total[z]) / total[y] for s in stems}
+        no_stem = (1 - sum(own.values())) * rest
+        free = 1 - sum(own.values())
+        of_stem = {s: own[s] + free * shared[s] for s in stems} | {None: free * rest}
+        own = {w: keep(n_word[y][w], n_word[z][w], total[y], total[z]) / total[y] for w in words}
+        free = 1 - sum(own.values())
+        of_word = {w: own[w] + free * of_stem[stem(w)] * inside[w] for w in words}
+        of_word |= {("unknown", s): free * of_stem[s] * unknown[s] for s in stems} | {("unknown", None): free * no_stem}
+        c_h = [Counter(), Counter()]
+        for k in (0, 1):
+            for (h, _), n in n_pair[k].items():
+                c_h[k][h] += n
+        extra = {}
+        for (h, w), n in n_pair[y].items():
+            if h in words and w in words:
+                extra[h, w] = keep(n, n_pair[z][h, w], c_h[y][h], c_h[z][h]) / c_h[y][h]
+        left = {h: 1 - sum(v for (g, _), v in extra.items() if g == h) for h in words}
+        slot = lambda w: w if w in of_word else ("unknown", stem(w) if stem(w) in stems else None)
+        return of_word, lambda h, w: extra.get((h, w), 0) + left.get(h, 1) * of_word[slot(w)]
+    return model(0), model(1)
+
+
+def toxic_corpus(seed=9):
+    rnd = random.Random(seed)
+    common = ["the", "of", "and", "walking", "walked", "walks", "house", "houses", "to", *(f"word{i}" for i in range(12))]
+    bad = ["slur", "insulting", "insulted"]
+    rows = []
+    for i in range(160):
+        y = int(i % 4 == 0)
+        words = rnd.choices(common, k=25) + (rnd.choices(bad, k=6) if y else [])
+        rnd.shuffle(words)
+        rows.append((i, " ".join(words + (["you", "slur"] * 2 if y else ["you", "all"])), y))
+    return rows
+
+
+def test_kneser_ney_equals_the_formulas_and_sums_to_one(llm):
+    rows = toxic_corpus()
+    sample = llm.createDataFrame([(t, float(y), i % 4) for i, t, y in rows], "text string, y double, part long")
+    models = X.fit_counts(sample)
+    for part, kn in [(None, models[0]), *enumerate(models[1:])]:
+        (word_0, p_0), (word_1, p_1) = plain_kneser_ney([(X.words_of(t), y) for i, t, y in rows if i % 4 != part])
+        assert len(kn.probabilities) == len(word_0) == len(word_1)
+        tested = ["the", "slur", "insulting", "insulter", "walkers", "never", "all", "you", "word3", "houseboat"]
+        for h in ["the", "you", "slur", "never", "word1"]:
+            got = [kn.chances([h, w])[1] for w in tested]
+            assert np.allclose(got, [(p_0(h, w), p_1(h, w)) for w in tested], rtol=0, atol=1e-9)
+            # over listed words, the unknown word of each listed stem and the word of an unknown stem
+            place, size = kn.place(h), len(kn.probabilities)
+            extra = kn.extra[kn.pairs // size == place].sum(axis=0) if len(kn.pairs) else 0.0
+            assert np.allclose(kn.probabilities.sum(axis=0) * kn.left[place] + extra, 1.0, rtol=0, atol=1e-9)
+        assert math.isclose(sum(word_0.values()), 1, abs_tol=1e-9) and math.isclose(sum(word_1.values()), 1, abs_tol=1e-9)
+        assert np.allclose(kn.likelihoods(["slur", "the"]), np.log([word_0["slur"] * p_0("slur", "the"), word_1["slur"] * p_1("slur", "the")]), atol=1e-9)
+        ratio = lambda w: float(np.diff(np.log(kn.chances([w])[0]))[0])  # noqa: E731, B023
+        assert ratio("slur") > 0.5 and ratio("insulter") > 0.5 and abs(ratio("walkers") - ratio("the")) < 1e-9
+        assert (kn.likelihoods([]) == 0).all()
+    assert len(models[0].pairs)                                  # a pair that says more than its words
+
+
+def test_quality_rules_equal_plain_python(llm):
+    """The compiled column against the rules evaluated one by one, and a scan by as many tasks as the input has splits."""
+    docs, labels = read_table(llm, SF, "documents").repartition(7), read_table(llm, SF, "labels")
+    seen, stage = {}, Q.stage_table
+
+    def spy(df, name):
+        seen[name] = df.rdd.getNumPartitions()
+        return stage(df, name)
+    Q.stage_table = spy
+    try:
+        model = Q.fit(docs, labels)
+    finally:
+        Q.stage_table = stage
+    assert seen["quality-sample"] == 7
+    got = {r.doc_id: r.score for r in Q.score_quality(docs, model).collect()}
+    for r in docs.limit(200).collect():
+        stats = Q.text_statistics((r.text or "").encode())
+        total = model.intercept + sum(w for rule, w in model.rules if all(stats[f] <= t if low else stats[f] > t for f, low, t in rule))
+        assert math.isclose(got[r.doc_id], 1 / (1 + math.exp(-total)), rel_tol=1e-9)
 
 
 # ---- language model
@@ -215,6 +312,15 @@ def test_packing_round_trip(llm, edge, window, max_open):
     assert _pieces(rows, [tuple(r) for r in docs.collect()], window) == 0
 
 
+def test_open_windows_keep_no_documents():
+    """300 long documents leave their remainders in open windows, not themselves."""
+    packer = P.Packer()
+    for i in range(300):
+        list(packer.add(P.Piece(i, 0, np.zeros(100_000 + i, np.uint32), 0)))
+    held = [p.ids if p.ids.base is None else p.ids.base for windows in packer.open.values() for w in windows for p in w]
+    assert held and sum(x.nbytes for x in held) < 5_000_000
+
+
 def test_packing_empty_table(make_docs):
     assert P.pack(make_docs([])).count() == 0
 
