@@ -10,10 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerline.llm import decontaminate, exact_dedup, minhash, packing, quality
-from ledgerline.llm.common import keep_documents, read_table, ship_package
+from ledgerline.llm.common import read_table, ship_package
 from ledgerline.session import ensure_checkpoint_dir, stage_table
 
 
@@ -23,35 +22,34 @@ def _ready(spark: SparkSession) -> None:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rule ensemble doesn't reject."""
+    """Rows that the rule ensemble doesn't reject, each judged by its text alone; null and repeated ids are rows like others,
+    except that the fit takes no labels for a null id."""
     _ready(spark)
     return quality.keep_good(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id. Rows that repeat an id and a text become one."""
+    """Of rows with equal texts the one with the largest id, the last of those that repeat it; a null id ranks below
+    all others. A row with a text of its own stays, whatever its id."""
     _ready(spark)
-    decided = stage_table(exact_dedup.exact_dedup(*exact_dedup.two_batches(docs)), "exact-decided")
-    kept = keep_documents(docs, decided.where("not kept").select("doc_id"), "left_anti")
-    repeated = decided.where("kept").groupBy("doc_id").count().where("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+    return exact_dedup.keep_one(docs)
 
 
 def minhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, 0.8)."""
+    """One row of each group of near-duplicates (five-word shingles, 0.8), the first in the table's order; null and
+    repeated ids are rows like others, and a row without words stays."""
     _ready(spark)
     return minhash.keep_one(docs)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap no benchmark item."""
+    """Rows that overlap no benchmark item; null and repeated ids are rows like others."""
     _ready(spark)
-    found = decontaminate.find_overlaps(docs, read_table(spark, sf_dir, "benchmark"))
-    return keep_documents(docs, found.select("doc_id").distinct(), "left_anti")
+    return decontaminate.keep_clean(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the packed sequences."""
+    """The pieces of the packed sequences; rows that repeat an id or have none are packed each."""
     _ready(spark)
     return packing.pack(docs)
 
