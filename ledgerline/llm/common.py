@@ -53,13 +53,6 @@ def without_rows(rows: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
     return rows.join(gone, rows[key] == gone["_gone"], "left_anti").drop(key)
 
 
-def keep_documents(docs: DataFrame, ids: DataFrame, how: str, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with all its own columns whose id is (``left_semi``) or is not (``left_anti``) in
-    the one column of ``ids``. Rows that repeat an id share its fate."""
-    listed = ids.select(F.col(f"`{ids.columns[0]}`").alias("_listed_id"))
-    return docs.join(listed, docs[id_col] == listed["_listed_id"], how)
-
-
 def ship_package(spark: SparkSession) -> None:
     """Give this package's modules to the executors' Python workers (as ``--py-files`` would), once
     per application."""
