@@ -14,7 +14,7 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import stage_table, table_path
+from ..session import table_path, work_dir
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,15 +40,23 @@ def id_fold(id_col: str, folds: int) -> Column:
 
 def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
     """(``docs`` as a written table with a number for each row, the number's column). Decisions by this number cannot touch
-    another row that repeats an id, nor miss one without an id. The column has no name that ``docs`` has."""
-    key = "_row"
-    while key in docs.columns:
-        key += "_"
-    return stage_table(docs.withColumn(key, F.monotonically_increasing_id()), f"numbered-{name}"), key
+    another row that repeats an id, nor miss one without an id. The column has no name that ``docs`` has. The copy is
+    compressed by zstd, since it holds whole texts."""
+    key = free_name(docs, "_row")
+    path = work_dir(docs.sparkSession, f"stage-numbered-{name}")
+    docs.withColumn(key, F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.parquet(path), key
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, longer where ``docs`` has such a column."""
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
 def without_rows(rows: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
-    """A ``numbered`` table without the rows whose numbers are in the one column of ``dropped``, and without the number."""
+    """``rows`` without those whose ``key`` is in the one column of ``dropped``, and without the key."""
     gone = dropped.select(F.col(f"`{dropped.columns[0]}`").alias("_gone"))
     return rows.join(gone, rows[key] == gone["_gone"], "left_anti").drop(key)
 

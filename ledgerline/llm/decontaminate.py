@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage_table
 from .bits import bits_for, build_words, probe
-from .common import id_text, numbered, without_rows
+from .common import free_name, id_text, without_rows
 
 MASKS = ("11010011",)
 WINDOW = 13
@@ -114,8 +114,9 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with all its columns without the rows that overlap a benchmark item, whatever their ids: null and repeated
-    ids are rows like others."""
-    rows, key = numbered(docs, "clean")
+    """``docs`` with all its columns without the rows that overlap a benchmark item. Rows are named by the SHA-256 of their
+    text, since equal texts share the decision; null and repeated ids are rows like others."""
+    key = free_name(docs, "_digest")
+    rows = docs.withColumn(key, F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary"), 256))
     found = find_overlaps(rows, benchmark, id_col=key, text_col=text_col, **options)
     return without_rows(rows, key, found.select("doc_id").distinct())
