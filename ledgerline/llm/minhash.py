@@ -260,11 +260,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = S
     return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY, text_col: str = "text") -> DataFrame:
-    """``docs`` with all its columns, one row of each group of near-duplicates: the first in the table's order.
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with all its columns, one row of each group of near-duplicates: the one with the least id.
 
-    Rows are told apart by their place, so null and repeated ids are rows like others; a row without words stays.
+    Decided row by row: of rows that repeat the least id the first in the table's order stays, a null id comes after every
+    other, and a row without words stays.
     """
     rows, key = numbered(docs, "minhash")
-    dropped = near_duplicates(rows, shingle, similarity, id_col=key, text_col=text_col).where("not kept").select("doc_id")
+    who = "_who" if text_col != "_who" else "_who_"
+    order = F.struct(F.col(f"`{id_col}`").isNull().alias("none"), F.col(f"`{id_col}`").alias("id"), F.col(key).alias("row"))
+    named = rows.select(order.alias(who), F.col(f"`{text_col}`").alias(text_col))
+    dropped = near_duplicates(named, shingle, similarity, id_col=who, text_col=text_col).where("not kept").select("doc_id.row")
     return without_rows(rows, key, dropped)
