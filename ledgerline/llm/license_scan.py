@@ -1,10 +1,17 @@
 """License scan by canonical digest lookup, in DataFrame functions only.
 
-A text is brought to a canonical form: copyright notices (a line that begins with the word or sign and then
-a sign, a year or a placeholder) go; case, punctuation and white space are
-levelled; equivalent spellings (the pairs of the SPDX matching guidelines) become one. The SHA-256
-of the canonical text is hash-joined to the digests of known licences, so an entire text matches
-or it doesn't. Known licences pass through the same expression. The known texts are a table of
+A text is brought to a canonical form:
+
+* copyright notices go: a line that begins with the word or sign and then a sign, a year or a placeholder, or a
+  paragraph of lines of the word and a name;
+* a title before the text that names its licence goes;
+* case, punctuation (bullets with it) and white space are levelled;
+* equivalent spellings (the pairs of the SPDX matching guidelines) become one, and so do the parts of a text that
+  its users replace: a holder's name in BSD, MIT and ISC clauses, clause numbers, the foundation's postal address.
+
+The SHA-256 of the canonical text is hash-joined to the digests of known licences, so an entire text matches
+or it doesn't. Known licences pass through the same expression, once whole and once up to the end of their terms
+(the appendix on how to apply them is optional). The known texts are a table of
 the caller; the default is the texts in ``licenses/``, MIT, ISC and one-line notices, a constant.
 
 Notices inside longer documents: every line whose canonical length equals that of a known
@@ -57,11 +64,36 @@ SPELLINGS = [
     (r"\b(acknowledg|judg)ement", "$1ment"), (r"\b(analog|catalog)ue", "$1"), (r"\bprogramme", "program"),
     (r"\b(author|initial|merchand|organ|real|recogn|util)is(?=e|ing|ation)", "$1iz"), (r"\bcopyright (owner|holder)", "copyright holder"),
     (r"\bpercent\b", "per cent"), (r"\bwhilst\b", "while"), (r"\bwilful", "willful"), (r"\bcheque", "check"),
+    (r"\bhttps (?=(?:www )?(?:fsf|gnu|apache|mozilla|creativecommons) org)", "http "),
+    (r"\blibrary general public license(?= instead)", "lesser general public license"),
 ]
+# What users of a text replace in it, and the words that stand for it; they run after the spellings.
+REPLACED = [
+    (r"\b(?:\d|[a-z]|i{2,3}) (?=redistributions (?:of|in) |neither the names? of |the origin of this software |altered source versions |this notice may not be removed )", ""),
+    (r"\bneither the names? of .{1,200}? nor the names of (?:(?:its|their|any|other) )?contributors may be used", "neither holder nor contributors may be used"),
+    (r"\bsoftware is provided by .{1,200}? as is\b", "software is provided by holder as is"),
+    (r"\bas is and .{1,200}? disclaims? all warranties\b", "as is and holder disclaims all warranties"),
+    (r"\bin no event shall .{1,200}? be liable\b", "in no event shall holder be liable"),
+    (r"\b(?:51 franklin st(?:reet)? (?:fifth floor|suite 500)|59 temple place suite 330|675 mass(?:achusetts)? ave(?:nue)?) (?:boston|cambridge) ma \d{5}(?: \d{4})?(?: usa)? ?", ""),
+]
+# Titles that name a licence, in canonical words. One at the start of a longer text goes.
+TITLES = [
+    "mit license", "mit license mit", "mit license expat", "expat license", "isc license", "zlib license", "apache license", "mozilla public license",
+    "gnu general public license", "gnu lesser general public license", "gnu library general public license", "bsd license", "new bsd license",
+    "modified bsd license", "revised bsd license", "simplified bsd license", "2 clause bsd license", "3 clause bsd license", "bsd 2 clause license",
+    "bsd 3 clause license", "bsd 2 clause simplified license", "bsd 3 clause new or revised license",
+]
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
 # One pass decides whether any family can apply, so that ordinary text pays for one regex only.
-_ANY_SPELLING = "|".join(p for p, _ in SPELLINGS)
+_TITLE = "^(?:the )?(?:" + "|".join(sorted(TITLES, key=len, reverse=True)) + r") (?=.)"
+_ANY_FAMILY = "|".join([p for p, _ in SPELLINGS + REPLACED] + [_TITLE])
 _DATED = r"(?:(?:19|20)\d\d\b|[<\[{][^\n>\]}]*[>\]}])"          # a year or a placeholder
-_COPYRIGHT = (r"(?im)^[^\p{L}\p{N}©]*(?:©|copyright\b[\s:,]*(?:\(c\)|©|" + _DATED + r")|\(c\)\s*(?:copyright\b|©|" + _DATED + r"))[^\n]*$"
+# The words that follow "copyright" in the terms themselves, not in a notice.
+_TERMS = (r"(?:notices?|owners?|holders?|laws?|licen[cs]es?|statements?|interests?|disclaimers?|rights?|treat(?:y|ies)|acts?|status|and|or|"
+          r"in|on|by|to|the|is|are|for|of|as|with|that|this|permission|information|protection|infringement|act)")
+_NAMED = r"[^\p{L}\p{N}\n]*copyright\b[ \t:,]*(?!" + _TERMS + r"\b)[^\s:,][^\n]{0,119}"
+_COPYRIGHT = (r"(?im)(?:\A\s*|\n[^\p{L}\p{N}\n]*\n)" + _NAMED + r"(?:\n" + _NAMED + r")*(?=\s*\z|\n[^\p{L}\p{N}\n]*(?:\n|(?:all )?rights reserved))"
+              r"|^[^\p{L}\p{N}©]*(?:©|copyright\b[\s:,]*(?:\(c\)|©|" + _DATED + r")|\(c\)\s*(?:copyright\b|©|" + _DATED + r"))[^\n]*$"
               r"|^[^\p{L}\p{N}\n]*(?:all )?rights reserved[^\p{L}\p{N}\n]*$")
 
 
@@ -69,10 +101,17 @@ def canonical(text: Column) -> Column:
     """The canonical form of a text or a line; '' for null, empty or punctuation only."""
     plain = F.regexp_replace(F.coalesce(text, F.lit("")), _COPYRIGHT, "")
     plain = F.trim(F.regexp_replace(F.lower(plain), r"[^\p{L}\p{N}]+", " "))
-    spelt = plain
-    for pattern, to in SPELLINGS:
-        spelt = F.regexp_replace(spelt, pattern, to)
-    return F.when(F.rlike(plain, F.lit(_ANY_SPELLING)), spelt).otherwise(plain)
+    levelled = plain
+    for pattern, to in SPELLINGS + REPLACED:
+        levelled = F.regexp_replace(levelled, pattern, to)
+    levelled = F.regexp_replace(F.trim(levelled), _TITLE, "")
+    return F.when(F.rlike(plain, F.lit(_ANY_FAMILY)), levelled).otherwise(plain)
+
+
+def without_appendix(text: str) -> list[str]:
+    """A known text in its forms: whole; where its terms have an end mark, also up to that mark, with and without it."""
+    terms, mark, _ = text.partition(END_OF_TERMS)
+    return [text, terms + mark, terms] if mark else [text]
 
 
 def known_texts() -> list[tuple[str, str]]:
@@ -83,7 +122,8 @@ def known_texts() -> list[tuple[str, str]]:
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
     """(license_id, canon_length, digest) of the known texts, one row per digest."""
-    frame = spark.createDataFrame(known if known is not None else known_texts(), "license_id string, known_text string")
+    forms = [(name, form) for name, text in (known if known is not None else known_texts()) for form in without_appendix(text)]
+    frame = spark.createDataFrame(forms, "license_id string, known_text string")
     canon = frame.select("license_id", canonical(F.col("known_text")).alias("c")).where("c != ''")
     return (canon.groupBy(F.sha2(F.col("c").cast("binary"), 256).alias("digest"))
             .agg(F.min("license_id").alias("license_id"), F.min(F.length("c")).alias("canon_length")))
