@@ -16,6 +16,9 @@ Two texts are equal when they are identical after lower-casing A-Z (null counts
 A hot text (a third of all rows) is combined in each map task before any shuffle, buckets are
 dealt by the hash of distinct digests, and the last join from rows to classes is an equi-join
 that Spark splits when skewed. No group of rows is ever gathered in one task.
+
+``exact_dedup`` answers for a snapshot and a batch at once. ``keep_snapshot`` writes a snapshot that lasts (exact texts in
+one folder a bucket, filters beside them), and ``dedup_batch`` screens a batch against any number of kept snapshots.
 """
 
 from __future__ import annotations
@@ -27,11 +30,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage_table
+from ..session import scratch_tables, stage_table
 from .common import ascii_lower, id_text, numbered, without_rows
 
 BUCKET_KEYS = 200_000          # distinct digests in one filter, on average
 SALTS = 16
+LISTED_BUCKETS = 1000          # buckets that a partition filter lists; with more positives all buckets are read
 _FILTER = "bucket int, seed bigint, seg_len int, seg_count int, cells binary"
 
 
@@ -196,6 +200,87 @@ def exact_dedup(snapshot: DataFrame, incoming: DataFrame, id_col: str = "doc_id"
                     "text_sha256"))
 
 
+# ------------------------------------------------------------------ kept snapshots
+
+def _texts(docs: DataFrame, id_col: str, text_col: str, digest) -> DataFrame:
+    normal = id_text(docs, id_col, text_col).select("doc_id", ascii_lower(F.col("text")).alias("normal"))
+    return normal.withColumn("digest", digest(F.col("normal")))
+
+
+def _distinct_texts(texts: DataFrame) -> DataFrame:
+    return texts.groupBy("digest", "normal").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+
+
+def keep_snapshot(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", digest=sha256_key,
+                  bucket_keys: int = BUCKET_KEYS) -> None:
+    """Write the snapshot of ``docs`` to ``path``, a new folder in shared storage; it is never changed afterwards.
+
+    ``exact/bucket=<n>`` has one row per distinct text: digest, normal, keep_id (the largest id), group_size.
+    ``filters`` has one binary-fuse filter per bucket, and the number of buckets. Null and empty texts are
+    one text; an empty table gives a snapshot that finds nothing; an existing folder is an error.
+    """
+    with scratch_tables(docs.sparkSession) as stage:
+        classes = stage(_distinct_texts(_texts(docs, id_col, text_col, digest)), "snapshot-texts")
+        buckets = max(1, math.ceil(classes.count() / bucket_keys))
+        (_bucketed(classes, buckets).drop("key").hint("rebalance", F.col("bucket"))
+         .write.partitionBy("bucket").parquet(f"{path}/exact"))
+        _, filters = build_snapshot(classes.select("digest"), buckets)
+        filters.withColumn("buckets", F.lit(buckets)).write.parquet(f"{path}/filters")
+
+
+def _in_snapshot(classes: DataFrame, count: int, path: str, bucket_keys: int) -> DataFrame:
+    """(class_id, snapshot_id) of the texts in ``classes`` that the snapshot at ``path`` has, byte for byte."""
+    spark = classes.sparkSession
+    filters = spark.read.parquet(f"{path}/filters")
+    buckets = filters.agg(F.max("buckets")).first()[0]
+    if buckets is None:                                          # an empty snapshot
+        return classes.select("class_id", F.lit(None).cast(classes.schema["keep_id"].dataType).alias("snapshot_id")).where("false")
+    # a batch far larger than the snapshot is dealt over several copies of each filter
+    parts = max(1, math.ceil(count / (buckets * bucket_keys)))
+    keyed = _bucketed(classes, buckets)
+    dealt = keyed.select((F.col("bucket") * parts + F.pmod(F.hash("key"), F.lit(parts))).alias("bucket"), "digest", "key")
+    copies = filters.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).select(
+        (F.col("bucket") * parts + F.col("part")).cast("int").alias("bucket"), "seed", "seg_len", "seg_count", "cells")
+    positives = stage_table(keyed.join(screen(dealt, copies).distinct(), "digest", "left_semi"), "batch-positives")
+    touched = [r[0] for r in positives.select("bucket").distinct().limit(LISTED_BUCKETS + 1).collect()]
+    exact = spark.read.schema(f"digest string, normal string, keep_id {classes.schema['keep_id'].dataType.simpleString()}, group_size bigint, bucket int") \
+        .parquet(f"{path}/exact")
+    if len(touched) <= LISTED_BUCKETS:
+        exact = exact.where(F.col("bucket").isin(touched))
+    old = exact.select(F.col("bucket").alias("_b"), F.col("digest").alias("_d"), F.col("normal").alias("_t"), F.col("keep_id").alias("snapshot_id"))
+    same = (positives["bucket"] == old["_b"]) & (positives["digest"] == old["_d"]) & (positives["normal"] == old["_t"])
+    return positives.join(old, same).select("class_id", "snapshot_id")
+
+
+def dedup_batch(snapshots: list[str], docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=sha256_key,
+                bucket_keys: int = BUCKET_KEYS) -> DataFrame:
+    """One row per row of the batch ``docs``: doc_id, in_snapshot, snapshot_id, keep_id, group_size, kept, text_sha256.
+
+    ``in_snapshot``: a kept snapshot has the same text, and ``snapshot_id`` is the largest id there; such rows go,
+    whatever their ids. Of the other equal texts of the batch the largest id stays; ``keep_id`` and
+    ``group_size`` are the batch's own. ``digest`` must be the one the snapshots were built with. Nulls, repeated rows
+    and other columns count as in ``exact_dedup``; without snapshots the batch is deduplicated by itself.
+    """
+    texts = _texts(docs, id_col, text_col, digest)
+    rows = stage_table(texts.select("doc_id", "digest", sha256_key(F.col("normal")).alias("text_sha256")), "batch-digests")
+    classes = stage_table(_distinct_texts(texts).withColumn("class_id", F.monotonically_increasing_id()), "batch-texts")
+    count = classes.count()
+    found = classes.select("class_id", F.col("keep_id").alias("snapshot_id")).where("false")
+    for path in snapshots:
+        found = found.unionByName(_in_snapshot(classes, count, path, bucket_keys))
+    found = found.groupBy("class_id").agg(F.max("snapshot_id").alias("snapshot_id"), F.lit(True).alias("hit"))
+    judged = classes.select("class_id", F.col("digest").alias("_d"), "normal", "keep_id", "group_size").join(found, "class_id", "left")
+
+    # a digest of two texts (a collision) leads from rows to classes by the text itself
+    collided = stage_table(classes.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest"), "batch-collided")
+    one = rows.join(collided, "digest", "left_anti").join(judged.drop("normal"), F.col("digest") == F.col("_d"))
+    several = (texts.withColumnRenamed("normal", "_t").withColumn("text_sha256", sha256_key(F.col("_t"))).join(collided, "digest", "left_semi")
+               .join(judged, (F.col("digest") == F.col("_d")) & (F.col("_t") == F.col("normal"))))
+    out = ["doc_id", F.coalesce("hit", F.lit(False)).alias("in_snapshot"), "snapshot_id", "keep_id", "group_size",
+           (F.col("hit").isNull() & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), "text_sha256"]
+    return one.select(*out).unionByName(several.select(*out))
+
+
 def two_batches(docs: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """A table without a batch column, as a snapshot and an incoming batch of about equal size."""
     late = F.pmod(F.xxhash64(F.col(id_col)), F.lit(2)) == 1
