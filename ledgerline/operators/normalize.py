@@ -4,11 +4,13 @@ Global statistics are computed with one aggregate (partials map-side, a single-r
 attached as a scalar subquery: the aggregate runs once and its value is read inside the rows'
 whole-stage-codegen projection, with no join. Never an empty ``Window``, which would move every
 row into one task.
+
+Mean and deviation come from integer sums (``moments``), so their bits don't depend on how rows are spread over tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage_table
@@ -28,6 +30,52 @@ def _with_global(df: DataFrame, stats: DataFrame) -> DataFrame:
             .drop("_g"))
 
 
+UNITS = 100_000_000            # money has eight decimals
+HALF = 1_000_000_000           # a value's units are cut into high * HALF + low; products of two halves fit a long
+EXACT_BELOW = 9e9              # larger values have no exact units in a long
+
+
+def moments(df: DataFrame, col: str, *more: Column) -> DataFrame:
+    """One row: ``_mu``, the mean, and ``_sd``, the sample deviation (NULL for fewer than two values), of ``col``, and the
+    further aggregates ``more``, from one scan.
+
+    Values are rounded to eight decimals and summed, with their squares, as integers of 38 digits; the squares are
+    centred at the mean before anything becomes a double. Sums of integers are the same in any order. Where a value is
+    not a number or is 9e9 and more, both come from the engine's doubles instead.
+    """
+    x = F.col(col).cast("double")
+    fits = F.abs(x) < EXACT_BELOW
+    unit = F.when(fits, F.rint(x * F.lit(float(UNITS))).cast("bigint"))
+    halves = df.withColumns({"_x": x, "_u": unit}).withColumns({"_h": F.expr(f"_u div {HALF}"), "_l": F.expr(f"_u % {HALF}")})
+
+    def total(product: str) -> Column:
+        return F.coalesce(F.sum(F.expr(f"cast({product} as decimal(28,0))")), F.lit(0)).cast("decimal(38,0)")
+
+    sums = halves.agg(F.count("_u").alias("_n"), F.count_if(~fits).alias("_wide"), total("_h").alias("_sh"), total("_l").alias("_sl"),
+                      total("_h * _h").alias("_hh"), total("_h * _l").alias("_hl"), total("_l * _l").alias("_ll"),
+                      F.avg("_x").alias("_avg"), F.stddev_samp("_x").alias("_dev"), *more)
+    # the sum of all units, its mean without the fraction and what is left of it
+    s = sums.withColumn("_s", F.expr(f"cast(_sh * {HALF} + _sl as decimal(38,0))"))
+    s = s.withColumn("_m", F.expr("case when _n > 0 then _s div _n end")).withColumn("_r", F.expr("cast(_s - cast(_m as decimal(20,0)) * _n as double)"))
+    s = s.withColumns({"_mh": F.expr(f"cast(_m div {HALF} as decimal(10,0))"), "_ml": F.expr(f"cast(_m % {HALF} as decimal(10,0))"),
+                       "_c": F.expr("cast(_n as decimal(18,0))")})
+    # squares and products around that mean, exact
+    s = s.withColumns({
+        "_chh": F.expr("cast(_hh - cast(2 * _mh as decimal(11,0)) * _sh + _mh * _mh * _c as decimal(38,0))"),
+        "_chl": F.expr("cast(_hl - _mh * _sl - _ml * _sh + _mh * _ml * _c as decimal(38,0))"),
+        "_cll": F.expr("cast(_ll - cast(2 * _ml as decimal(11,0)) * _sl + _ml * _ml * _c as decimal(38,0))")})
+    big = f"cast({HALF} as decimal(10,0))"
+    exact = f"cast(try_add(try_add(try_multiply(try_multiply(_chh, {big}), {big}), try_multiply(try_multiply(_chl, {big}), cast(2 as decimal(1,0)))), _cll) as double)"
+    wide = f"cast(_chh as double) * {HALF}D * {HALF}D + 2D * {HALF}D * cast(_chl as double) + cast(_cll as double)"   # beyond 38 digits
+    s = s.withColumn("_d", F.expr(f"coalesce({exact}, {wide})"))
+    mean = (F.col("_m").cast("double") + F.col("_r") / F.col("_n")) / F.lit(float(UNITS))
+    dev = F.sqrt(F.greatest(F.col("_d") - F.col("_r") * F.col("_r") / F.col("_n"), F.lit(0.0)) / (F.col("_n") - 1)) / F.lit(float(UNITS))
+    kept = sums.columns[sums.columns.index("_dev") + 1:]
+    engine = F.col("_wide") > 0
+    return s.select(F.when(engine, F.col("_avg")).when(F.col("_n") > 0, mean).alias("_mu"),
+                    F.when(engine, F.col("_dev")).when(F.col("_n") > 1, dev).alias("_sd"), *kept)
+
+
 def min_max_scale(df: DataFrame, col: str = "amount", out: str = "amount_normalized") -> DataFrame:
     """(x - min) / (max - min); NULL when max = min."""
     stats = df.agg(F.min(col).alias("_min"), F.max(col).alias("_max"))
@@ -40,7 +88,7 @@ def min_max_scale(df: DataFrame, col: str = "amount", out: str = "amount_normali
 def z_score(df: DataFrame, col: str = "amount", out: str | None = None) -> DataFrame:
     """(x - mean) / sample std (ddof = 1); NULL for one row or a constant column."""
     out = out or f"{col}_zscore"
-    stats = df.agg(F.avg(col).alias("_mu"), F.stddev_samp(col).alias("_sd"))
+    stats = moments(df, col)
     sd = F.col("_sd")
     return (_with_global(df, stats)
             .withColumn(out, F.when(sd.isNull() | (sd == 0), F.lit(None).cast("double"))
@@ -51,8 +99,7 @@ def z_score(df: DataFrame, col: str = "amount", out: str | None = None) -> DataF
 def scale_and_flag(df: DataFrame, threshold: float = Z_THRESHOLD, col: str = "amount") -> DataFrame:
     """N1 + N2 + N3 with one statistics aggregate (min, max, mean, sample std in one scan)
     instead of one scan per statistic pair."""
-    stats = df.agg(F.min(col).alias("_min"), F.max(col).alias("_max"),
-                   F.avg(col).alias("_mu"), F.stddev_samp(col).alias("_sd"))
+    stats = moments(df, col, F.min(col).alias("_min"), F.max(col).alias("_max"))
     x, lo, hi, sd = F.col(col), F.col("_min"), F.col("_max"), F.col("_sd")
     z = F.when(sd.isNull() | (sd == 0), F.lit(None).cast("double")).otherwise((x - F.col("_mu")) / sd)
     return (_with_global(df, stats)

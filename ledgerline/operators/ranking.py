@@ -80,3 +80,11 @@ def surrogate_keys(df: DataFrame, key: str, out: str, num_ranges: int | None = N
     """
     before = _before_counts(df, [], key, False, None, num_ranges)
     return before.select(*df.columns, (F.col("_before") + 1).cast(key_type).alias(out))
+
+
+def sequence_in_group(df: DataFrame, part: list[str], order: str, out: str, num_ranges: int | None = None) -> DataFrame:
+    """``df`` plus ``out`` = 1..n inside each ``part`` in the order of column ``order`` (a struct orders by its fields, NULLs
+    first). A group that holds a third of all rows is numbered by as many tasks as it has ranges; rows that agree in
+    ``part`` and ``order`` get different numbers in any order."""
+    before = _before_counts(df, part, order, False, None, num_ranges)
+    return before.select(*df.columns, (F.col("_before") + 1).cast("bigint").alias(out))

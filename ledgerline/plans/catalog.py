@@ -830,6 +830,35 @@ def q_k5(spark, sf_dir):
     return parsed.select("key", "tx_hash", "sender", "receiver", F.col("amount").alias("amount_text"), "fee", "status", "network", "timestamp")
 
 
+def _sequenced(records: DataFrame) -> DataFrame:
+    parsed = ST.parse_kafka_records(records.select("key", "value", "seq"), ["seq"])
+    return parsed.select("key", "seq", "tx_hash", F.col("amount").cast("double").alias("amount"), "timestamp")
+
+
+@register("st4_key_order", """
+SELECT network AS key, row_number() OVER (PARTITION BY network ORDER BY "timestamp" NULLS FIRST, tx_hash NULLS FIRST) AS seq, tx_hash, amount, "timestamp"
+FROM stream_events""")
+def q_st4_order(spark, sf_dir):
+    """ST4: every event published in order inside its network, written to ordered files and read back with its number."""
+    path = work_dir(spark, "ordered-topic")
+    ST.write_ordered_files(ST.to_ordered_records(ST.build_events(ledger_raw0(read_table(spark, sf_dir, "events")))), path)
+    return _sequenced(spark.read.schema("key string, value string, seq bigint").json(path))
+
+
+@register("st4_ready_records", """
+SELECT key, seq, tx_hash, amount, "timestamp" FROM (
+  SELECT *, min(CASE WHEN tx_hash LIKE '%77' THEN seq END) OVER (PARTITION BY key) AS missing FROM (
+    SELECT network AS key, row_number() OVER (PARTITION BY network ORDER BY "timestamp" NULLS FIRST, tx_hash NULLS FIRST) AS seq,
+           tx_hash, amount, "timestamp" FROM stream_events))
+WHERE missing IS NULL OR seq < missing""")
+def q_st4_ready(spark, sf_dir):
+    """ST4's merge rule on a stand-in topic that has delivered everything twice but the events whose hashes end with 77: what
+    a consumer may release, in every network up to its first missing record."""
+    sent = stage_table(ST.to_ordered_records(ST.build_events(ledger_raw0(read_table(spark, sf_dir, "events")))), "sent")
+    arrived = sent.where(~F.coalesce(F.get_json_object("value", "$.tx_hash").endswith("77"), F.lit(False)))
+    return _sequenced(ST.ready_records(arrived.unionByName(arrived)))
+
+
 def _torn_messages(spark, sf_dir) -> DataFrame:
     """A stand-in topic: every event as a JSON message (key, value); those of hashes that end with 7 are cut in the
     middle, as a producer that broke off would leave them."""

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.columns import nan_to_null
+from ..operators.ranking import sequence_in_group
 from ..schemas import EVENT
 from ..session import scratch_tables
 from ..sources import json_arrays
@@ -57,27 +58,63 @@ def enrich_events(events: DataFrame, high_value: float = HIGH_VALUE) -> DataFram
 
 # ---- Kafka (S4, K5, ST4) ---------------------------------------------------------------------
 
-def to_kafka_records(events: DataFrame, key: str = "network") -> DataFrame:
-    """K5/ST4: key = network (one network stays in one Kafka partition), value = JSON."""
+def to_kafka_records(events: DataFrame, key: str = "network", fields: list[str] | None = None, keep: list[str] | None = None) -> DataFrame:
+    """K5/ST4: key = network (one network stays in one Kafka partition), value = JSON of ``fields`` (default: all); the
+    columns ``keep`` stay beside them."""
     return events.select(F.col(key).cast("string").alias("key"),
-                         F.to_json(F.struct(*[F.col(c) for c in events.columns])).alias("value"))
+                         F.to_json(F.struct(*[F.col(c) for c in fields or events.columns])).alias("value"), *(keep or []))
 
 
-def parse_kafka_records(records: DataFrame) -> DataFrame:
+def parse_kafka_records(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """S4 payload: binary/text key and JSON value -> key, event columns and ``_corrupt_record``: the value's text where it
-    is no event (no JSON object, a field of the wrong type; a missing value is the empty text), else NULL."""
+    is no event (no JSON object, a field of the wrong type; a missing value is the empty text), else NULL. The columns
+    ``keep`` of the records stay."""
     schema = StructType([*EVENT.fields, StructField(CORRUPT, StringType())])
     value = F.col("value").cast("string")
-    parsed = records.select(F.col("key").cast("string").alias("key"), value.alias("value"),
+    kept = keep or []
+    parsed = records.select(*kept, F.col("key").cast("string").alias("key"), value.alias("value"),
                             F.from_json(value, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("e"))
     bad = F.when(F.col("value").isNull(), F.lit("")).when(F.col("e").isNull(), F.col("value")).otherwise(F.col(f"e.{CORRUPT}"))
-    return parsed.select("key", *[f"e.{f.name}" for f in EVENT.fields], bad.alias(CORRUPT))
+    return parsed.select("key", *kept, *[f"e.{f.name}" for f in EVENT.fields], bad.alias(CORRUPT))
+
+
+def to_ordered_records(events: DataFrame, key: str = "network", time: str = "timestamp") -> DataFrame:
+    """K5/ST4 with order: the records of ``to_kafka_records`` and ``seq``, 1..n inside each key by time, then hash, then
+    the other fields. A hot key is numbered by many tasks, and its records may be sent by many at once: a consumer puts them
+    in order by ``seq`` (``ready_records``). Equal events are numbered one after another."""
+    rest = [c for c in events.columns if c not in (key, time, "tx_hash")]
+    ordered = events.withColumn("_order", F.struct(time, "tx_hash", *rest))
+    records = to_kafka_records(ordered, key, events.columns, ["_order"])
+    return sequence_in_group(records, ["key"], "_order", "seq").drop("_order")
+
+
+def in_key_order(records: DataFrame) -> DataFrame:
+    """``records`` over many tasks, each key's in ascending ``seq`` inside a task and from one task to the next."""
+    n = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return records.repartitionByRange(n, "key", "seq").sortWithinPartitions("key", "seq")
+
+
+def write_ordered_files(records: DataFrame, path: str) -> None:
+    """The file stand-in for an ordered topic: read in the order of their names, the files give each key's records in order."""
+    in_key_order(records).write.mode("overwrite").json(path)
+
+
+def ready_records(records: DataFrame) -> DataFrame:
+    """The merge rule of a consumer: of what has arrived (key, value, seq) every record that no record of its key is missing
+    before, once each. Its place among the key's distinct numbers then equals its number. Order them by ``in_key_order``;
+    a record that waits for an earlier one, or has no number, is left out until it comes again with the missing one."""
+    once = records.where("seq >= 1").groupBy("key", "seq").agg(F.min("value").alias("value"))
+    placed = sequence_in_group(once, ["key"], "seq", "_place")
+    return placed.where("_place = seq").select("key", "value", "seq")
 
 
 def write_kafka(events: DataFrame, bootstrap: str, topic: str) -> None:
-    """K5 batch write. Needs the Kafka connector on the classpath (not bundled with PySpark)."""
-    (to_kafka_records(events).write.format("kafka").option("kafka.bootstrap.servers", bootstrap)
-     .option("kafka.acks", "all").option("topic", topic).save())
+    """K5 batch write, each task in key order, the number as header ``seq``. Needs the Kafka connector on the classpath (not
+    bundled with PySpark)."""
+    numbered = in_key_order(to_ordered_records(events))
+    header = F.array(F.struct(F.lit("seq").alias("key"), F.col("seq").cast("string").cast("binary").alias("value")))
+    (numbered.select("key", "value", header.alias("headers")).write.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+     .option("kafka.acks", "all").option("includeHeaders", True).option("topic", topic).save())
 
 
 def read_kafka_stream(spark: SparkSession, bootstrap: str, topic: str,
