@@ -24,7 +24,7 @@ from ..operators.median import group_median
 from ..operators.ranking import surrogate_keys
 from ..operators.windows import group_median_column, rank_in_network
 from ..session import stage_table, work_dir
-from ..sources import io, warehouse
+from ..sources import io, tables, warehouse
 from ..sources.ledger_views import ledger_raw0, ledger_wallets, load_ledger, read_table
 from ..streaming import events as ST
 from . import queries as Q
@@ -197,6 +197,22 @@ def q_k7(spark, sf_dir):
     return io.read_parquet(spark, path)
 
 
+@register("k6_bucketed_table", "SELECT tx_id, tx_hash, amount, status, CAST(strftime(\"timestamp\", '%Y%m%d') AS INTEGER) AS date_key FROM validated")
+def q_k6_table(spark, sf_dir):
+    """K6 + K7 with a catalog table: created if absent, by date and bucketed by hash; the validated rows are loaded in two
+    overlapping batches, the second one twice."""
+    path = work_dir(spark, "k6-table")
+    name = f"fact_{os.path.basename(path).replace('-', '_')}"
+    day = F.date_format("timestamp", "yyyyMMdd").cast("int").alias("date_key")
+    rows = _ledger(spark, sf_dir).validated.select("tx_id", "tx_hash", "amount", "status", day)
+    tables.create_table(spark, name, rows.schema, path)
+    early = F.pmod(F.xxhash64("tx_hash"), F.lit(3))
+    tables.append_new_rows(rows.where(early < 2), name)
+    for _ in range(2):
+        tables.append_new_rows(rows.where(early > 0), name)
+    return spark.table(name)
+
+
 @register("k7_rejects_twice", """
 SELECT CASE WHEN length(tx_hash) = 66 THEN 'loaded' ELSE 'rejected' END AS kind, tx_id, amount FROM clean""")
 def q_k7_rejects(spark, sf_dir):
