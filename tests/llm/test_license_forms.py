@@ -147,21 +147,3 @@ def test_scan_equals_plain_python(llm, make_docs):
     wrong = [(i, texts[i], want[i][1], got[i][1]) for i in want if got[i] != want[i]]
     assert wrong == []
     assert sum(v is not None for _, v in want.values()) > 40
-
-
-def test_signs_cover_every_family():
-    """A text without a sign is left as it is by every family, each of which some sample here sets off."""
-    samples = ["licence", "sub license", "sublicence", "non infringing", "non commercial use", "in favour of", "honour", "labour", "centre", "fulfil it", "fulfilment",
-               "acknowledgement", "judgement", "analogue", "catalogue", "programme", "authorised", "initialise", "merchandising", "organisation", "realise",
-               "recognised", "utilisation", "the copyright owner", "10 percent", "whilst", "wilful", "cheque", "https www gnu org", "https fsf org",
-               "gnu library general public license instead", "a redistributions of source", "3 neither the name of x nor the names of its contributors may be used",
-               "1 the origin of this software", "2 altered source versions", "3 this notice may not be removed", "this software is provided by x as is",
-               "as is and x disclaims all warranties", "in no event shall x be liable", "51 franklin street fifth floor boston ma 02110 1301 usa",
-               "59 temple place suite 330 boston ma 02111 1307 usa", "675 mass ave cambridge ma 02139 usa"]
-    set_off = set()
-    for pattern, to in L.SPELLINGS + L.REPLACED:
-        for sample in samples:
-            if regex.sub(pattern, to.replace("$1", r"\1"), sample) != sample:
-                set_off.add(pattern)
-                assert any(sign in sample for sign in L.SIGNS), (pattern, sample)
-    assert set_off == {p for p, _ in L.SPELLINGS + L.REPLACED}
