@@ -146,11 +146,11 @@ def notice_scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_
 
     The canonical lengths of the known texts (a constant list) screen lines before the join.
     """
-    lengths = known.agg(F.collect_set("canon_length").alias("n"))
+    lengths = known.where("canon_length > 0").agg(F.collect_set("canon_length").alias("n"))
     lines = (id_text(docs, id_col, text_col)
              .select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
              .select("doc_id", (F.col("at") + 1).cast("bigint").alias("line_no"), canonical(F.col("line")).alias("c"))
-             .where((F.col("c") != "") & F.array_contains(lengths.scalar(), F.length("c"))))
+             .where(F.array_contains(lengths.scalar(), F.length("c"))))
     keyed = lines.select("doc_id", "line_no", F.sha2(F.col("c").cast("binary"), 256).alias("canonical_sha256"))
     return (keyed.join(known, keyed["canonical_sha256"] == known["digest"])
             .select("doc_id", "line_no", "license_id"))
