@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import nan_to_null, normalize_address
+from ..functions.columns import nan_to_null, normalize_address, packed_key
 from ..session import stage_table
 from .median import MAX_RANK_ROWS, group_median
 
@@ -17,11 +17,13 @@ def dedupe_first(df: DataFrame, key: str = "tx_hash", order: str = "tx_id") -> D
     Written as an aggregate, not a window: the least row is combined map-side, so a key shared by a
     third of all rows is cut down in every map task before the shuffle (Spark plans a sort aggregate,
     since the buffer is a row). The order is total: a NULL ``order`` comes after every value, and equal
-    ones are told apart by the remaining columns in their order, so the survivor is fixed.
+    ones are told apart by the remaining columns in their order, so the survivor is fixed. A hash as ``key`` is
+    shuffled and sorted in half its bytes.
     """
     rest = [c for c in df.columns if c not in (key, order)]
     least = F.min(F.struct(F.col(order).isNull().alias("_last"), F.col(order), *rest)).alias("_row")
-    return df.groupBy(key).agg(least).select(key, "_row.*").select(*df.columns)
+    packed, back = packed_key(df, key)
+    return df.groupBy(packed.alias("_key")).agg(least).select(back("_key").alias(key), "_row.*").select(*df.columns)
 
 
 def impute_median(df: DataFrame, value: str = "amount", by: str = "tx_type",
@@ -57,7 +59,7 @@ def clean_transactions(df: DataFrame, max_rank_rows: int = MAX_RANK_ROWS) -> Dat
     shuffle for each would cost more than writing it once to the shared checkpoint folder.
     """
     df = normalize_addresses(df.withColumn("amount", nan_to_null("amount")))
-    deduped = stage_table(dedupe_first(df), "deduped")
+    deduped = stage_table(dedupe_first(df), "deduped", "zstd")
     return (impute_median(deduped, max_rank_rows=max_rank_rows)
             .transform(positive_amounts))
 

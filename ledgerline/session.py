@@ -111,35 +111,40 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
+def stage_table(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Cut lineage at a large stage boundary by writing a Parquet table in the shared
     checkpoint folder and reading it back.
 
     Unlike an RDD checkpoint (whole rows), later passes read only the columns they use and get
     filter pushdown, and Spark sees the table's real size when it decides on broadcasts. Like a
-    checkpoint, the table survives executor loss.
+    checkpoint, the table survives executor loss. ``compression`` is a Parquet codec (default: the session's).
     """
-    return counted_stage_table(df, name)[0]
+    return counted_stage_table(df, name, compression)[0]
 
 
-def counted_stage_table(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+def _parquet(df: DataFrame, path: str, compression: str | None) -> None:
+    writer = df.write.mode("overwrite")
+    (writer.option("compression", compression) if compression else writer).parquet(path)
+
+
+def counted_stage_table(df: DataFrame, name: str, compression: str | None = None) -> tuple[DataFrame, int]:
     """``stage_table`` plus its row count, observed during the write (no extra job)."""
     spark = df.sparkSession
     path = work_dir(spark, f"stage-{name}")
     obs = Observation(f"rows-{name}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    _parquet(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, compression)
     return spark.read.parquet(path), int(obs.get["rows"])
 
 
 @contextmanager
-def scratch_tables(spark: SparkSession):
+def scratch_tables(spark: SparkSession, compression: str | None = None):
     """A ``stage(df, name)`` for tables that nothing reads after the block; they are deleted at its end."""
     made: list[str] = []
 
     def stage(df: DataFrame, name: str) -> DataFrame:
         path = work_dir(spark, f"scratch-{name}")
         made.append(path)
-        df.write.mode("overwrite").parquet(path)
+        _parquet(df, path, compression)
         return spark.read.parquet(path)
 
     try:
