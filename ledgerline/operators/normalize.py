@@ -138,7 +138,7 @@ def flag_rapid_repeats(df: DataFrame, seconds: float = RAPID_REPEAT_SECONDS,
     on (pair, time, tx_id) and written, so a pair's burst, even one inside a single second, is split
     like anything else; ``lag`` runs inside a range, and a range's first row takes its previous
     timestamp from the last row of the range before it (a table with one row per range). Rows
-    without a timestamp are never flagged.
+    without a timestamp are never flagged. All columns of ``df`` travel along: select those that are needed.
     """
     pair = ["sender", "receiver"]
     # micros since the epoch of the wall-clock (NTZ) value: no session time zone, no DST shifts
@@ -146,7 +146,7 @@ def flag_rapid_repeats(df: DataFrame, seconds: float = RAPID_REPEAT_SECONDS,
     timed = df.withColumn("_t", epoch)
     n = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = stage_table(timed.where(F.col("_t").isNotNull()).repartitionByRange(n, *pair, "_t", "tx_id")
-                         .withColumn("_range", F.spark_partition_id()), "rapid-repeats")
+                         .withColumn("_range", F.spark_partition_id()), "rapid-repeats", "zstd")
 
     last = ranged.groupBy("_range").agg(F.max(F.struct(*pair, "_t")).alias("_last"))
     carry = last.select(F.col("_range").alias("_k_range"), F.lag("_last").over(Window.orderBy("_range")).alias("_carry"))
@@ -158,7 +158,7 @@ def flag_rapid_repeats(df: DataFrame, seconds: float = RAPID_REPEAT_SECONDS,
     before = F.coalesce(F.col("_prev_t"), F.when(same_pair, F.col("_carry._t")))
     flagged = joined.withColumn("gap_seconds", (F.col("_t") - before) / F.lit(1_000_000.0)).withColumn(
         "is_rapid_repeat", F.coalesce(F.col("gap_seconds") < F.lit(float(seconds)), F.lit(False)).cast("int"))
-    no_t = (timed.where(F.col("_t").isNull())
+    no_t = (df.where(F.col("timestamp").isNull())
             .withColumn("gap_seconds", F.lit(None).cast("double"))
             .withColumn("is_rapid_repeat", F.lit(0)))
     cols = [*df.columns, "gap_seconds", "is_rapid_repeat"]

@@ -513,6 +513,9 @@ def q_n4(spark, sf_dir):
     return N.flag_failed_rate(_ledger(spark, sf_dir).validated).select("tx_id", "sender", "high_failed_rate")
 
 
+REPEAT_COLS = ("tx_id", "sender", "receiver", "timestamp")
+
+
 @register("n5_rapid_repeat_1d", """
 SELECT tx_id, sender, receiver, gap_seconds FROM (
   SELECT tx_id, sender, receiver,
@@ -522,7 +525,7 @@ SELECT tx_id, sender, receiver, gap_seconds FROM (
   FROM validated WHERE "timestamp" IS NOT NULL)
 WHERE gap_seconds < 86400""")
 def q_n5(spark, sf_dir):
-    flagged = N.flag_rapid_repeats(_ledger(spark, sf_dir).validated, seconds=86400.0)
+    flagged = N.flag_rapid_repeats(_ledger(spark, sf_dir).validated.select(*REPEAT_COLS), seconds=86400.0)
     return flagged.where(F.col("is_rapid_repeat") == 1).select("tx_id", "sender", "receiver", "gap_seconds")
 
 
@@ -535,7 +538,7 @@ SELECT tx_id, sender, receiver, gap_seconds FROM (
   FROM validated WHERE "timestamp" IS NOT NULL)
 WHERE gap_seconds < 1""")
 def q_n5_1s(spark, sf_dir):
-    flagged = N.flag_rapid_repeats(_ledger(spark, sf_dir).validated, seconds=1.0)
+    flagged = N.flag_rapid_repeats(_ledger(spark, sf_dir).validated.select(*REPEAT_COLS), seconds=1.0)
     return flagged.where(F.col("is_rapid_repeat") == 1).select("tx_id", "sender", "receiver", "gap_seconds")
 
 
