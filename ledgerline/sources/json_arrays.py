@@ -16,16 +16,17 @@ list of splits does that Spark's own scheduler holds.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 _QUOTE, _ESCAPE, _COMMA = 34, 92, 44
+_BLANK = b" \t\n\x0b\x0c\r,"
 
 
 def comma_text(spark: SparkSession, path: str) -> DataFrame:
@@ -38,16 +39,20 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bytes
     """(file, block, text) for runs of pieces of one split, in order. The comma behind each piece is put back, also behind
     a file's last piece, which had none; there it stands outside the array."""
     for batch in batches:
-        if not batch.num_rows:
+        n = batch.num_rows
+        if not n:
             continue
-        rows = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(0).to_pylist(), strict=True)
-        for (file, block), run in groupby(rows, key=lambda r: r[:2]):
-            yield file, block, "".join([f"{r[2]}," for r in run]).encode()
+        value, file, block = batch.columns
+        other = pc.or_(pc.not_equal(file.slice(1), file.slice(0, n - 1)), pc.not_equal(block.slice(1), block.slice(0, n - 1)))
+        borders = [0, *(np.flatnonzero(other.to_numpy(zero_copy_only=False)) + 1).tolist(), n]
+        runs = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), value)
+        for at, text in zip(borders, pc.binary_join(runs, pa.scalar(",", value.type)), strict=False):
+            yield file[at].as_py(), block[at].as_py(), text.as_buffer().to_pybytes() + b","
 
 
-def _outside(raw: np.ndarray, inside: bool) -> tuple[np.ndarray, bool]:
-    """(which bytes lie outside strings, whether the text ends inside one), for a start inside one or not. A quote after
-    an odd run of backslashes doesn't end a string."""
+def _quoted(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which bytes are quotes that open or close a string, which lie inside one), for a start outside strings; for a start
+    inside one the second is the opposite. A quote after an odd run of backslashes doesn't end a string."""
     quote = raw == _QUOTE
     escape = raw == _ESCAPE
     if escape.any():
@@ -55,16 +60,20 @@ def _outside(raw: np.ndarray, inside: bool) -> tuple[np.ndarray, bool]:
         other = np.maximum.accumulate(np.where(~escape, at, -1))    # the last byte that is no backslash
         run = np.concatenate([[0], (at - other)[:-1]])              # backslashes right before each byte
         quote &= run % 2 == 0
-    within = (np.cumsum(quote) + inside) % 2 == 1
-    return ~within & ~quote, bool(within[-1]) if len(raw) else inside
+    return quote, np.logical_xor.accumulate(quote)
 
 
-_OPEN = np.isin(np.arange(256), [ord("["), ord("{")])
-_CLOSE = np.isin(np.arange(256), [ord("]"), ord("}")])
+def _outside(raw: np.ndarray, inside: bool) -> tuple[np.ndarray, bool]:
+    """(which bytes lie outside strings, whether the text ends inside one), for a start inside one or not."""
+    quote, within = _quoted(raw)
+    within ^= inside
+    return ~within & ~quote, bool(within[-1]) if len(raw) else inside
 
 
-def _depth_steps(raw: np.ndarray, outside: np.ndarray) -> np.ndarray:
-    return np.where(outside, _OPEN[raw].astype(np.int64) - _CLOSE[raw], 0)
+_STEP = np.zeros(256, np.int8)
+_STEP[[ord("["), ord("{")]], _STEP[[ord("]"), ord("}")]] = 1, -1
+_MARK = _STEP != 0
+_MARK[_COMMA] = True
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,11 +81,13 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part = 0
     for file, block, text in _chunks(batches):
         raw = np.frombuffer(text, np.uint8)
-        rows = [_outside(raw, inside) for inside in (False, True)]
+        within = _quoted(raw)[1]
+        marks = np.flatnonzero(_STEP[raw])
+        step, quoted = _STEP[raw[marks]], within[marks]
         start = text.lstrip()[:1]
         yield pa.RecordBatch.from_pydict({
-            "file": [file], "block": [block], "part": [part], "odd": [rows[0][1]], "from_out": [int(_depth_steps(raw, rows[0][0]).sum())],
-            "from_in": [int(_depth_steps(raw, rows[1][0]).sum())], "first": [start.decode("latin-1")]})
+            "file": [file], "block": [block], "part": [part], "odd": [bool(within[-1])], "from_out": [int(step[~quoted].sum())],
+            "from_in": [int(step[quoted].sum())], "first": [start.decode("latin-1")]})
         part += 1
 
 
@@ -101,52 +112,60 @@ def elements(tokens: DataFrame) -> DataFrame:
     """The elements of the arrays (or the one value of a file that holds no array), each as JSON text in ``value``."""
     starts = tokens.sparkSession.sparkContext.broadcast(split_starts(tokens))
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], int, bytes, list[bytes]]]:
+        """For runs of a split ``key``, in order: (key, place, piece, elements): the elements that end in the run, and where it
+        is known the piece at the split's start (place 0) or end (1); else place -1."""
         key, inside, depth, level, held, closed = None, False, 0, 1, [], False
-
-        def ends() -> list[tuple]:
-            """The piece of a split that is still open at its end."""
-            return [] if key is None else [(key[0], key[1], 1 if closed else 0, b"".join(held))]
-
-        def rows(found: list[tuple]) -> pa.RecordBatch:
-            names = ("file", "block", "place", "value")
-            cols = list(zip(*found, strict=True)) if found else [[], [], [], []]
-            kinds = (pa.string(), pa.int64(), pa.int32(), pa.string())
-            return pa.RecordBatch.from_arrays([pa.array([v.decode() for v in c] if n == "value" else c, k)
-                                               for n, c, k in zip(names, cols, kinds, strict=True)], names=list(names))
-
         for file, block, text in _chunks(batches):
-            out: list[tuple] = []
             if key != (file, block):
-                out += ends()
+                if key is not None:
+                    yield key, int(closed), b"".join(held), []
                 key, held, closed = (file, block), [], False
                 inside, depth, level = starts.value[key]
             raw = np.frombuffer(text, np.uint8)
-            outside, inside_after = _outside(raw, inside)
-            after = depth + np.cumsum(_depth_steps(raw, outside))
+            outside, inside = _outside(raw, inside)
+            marks = np.flatnonzero(_MARK[raw] & outside)
+            mark = raw[marks]
+            step = _STEP[mark]
+            after = depth + np.cumsum(step, dtype=np.int64)
             # what parts elements: commas of their level, and the array's own brackets
-            parts = outside & (((raw == _COMMA) & (after == level)) | (_OPEN[raw] & (after == level) & (level == 1)) | (_CLOSE[raw] & (after == level - 1)))
-            at = 0
-            for border in np.flatnonzero(parts).tolist():
-                piece = b"".join([*held, text[at:border]])
-                # the first piece of a split may belong to an element that began before it
-                out.append((file, block, 0, piece) if not closed else (None, None, None, piece))
-                held, closed, at = [], True, border + 1
+            parts = ((mark == _COMMA) & (after == level)) | ((step > 0) & (after == level) & (level == 1)) | ((step < 0) & (after == level - 1))
+            at, found, head = 0, [], None
+            for border in marks[parts].tolist():
+                piece = text[at:border]
+                if held:
+                    piece, held = b"".join([*held, piece]), []
+                if closed:
+                    found.append(piece)
+                else:                                   # the first piece may belong to an element that began before the split
+                    head, closed = piece, True
+                at = border + 1
             held.append(text[at:])
-            inside, depth = inside_after, int(after[-1]) if len(after) else depth
-            yield rows([r for r in out if r[0] is not None or r[3].strip()])
-        yield rows(ends())
+            depth = int(after[-1]) if len(after) else depth
+            yield key, -1 if head is None else 0, head or b"", found
+        if key is not None:
+            yield key, int(closed), b"".join(held), []
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, _, found in cut(batches):
+            texts = [t for t in (piece.strip(_BLANK) for piece in found) if t]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()).cast(pa.string())], names=["value"])
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (file, block), place, piece, _ in cut(batches):
+            if place >= 0:
+                yield pa.RecordBatch.from_pydict({"file": [file], "block": [block], "place": pa.array([place], pa.int32()), "value": [piece.decode()]})
 
-    pieces = tokens.mapInArrow(cut, "file string, block long, place int, value string")
     # a split has at most one piece at its start (0) and one at its end (1); an end opens an element, and what follows up to
     # the next end belongs to it
     order = Window.partitionBy("file").orderBy("block", "place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    torn = pieces.where("file is not null").withColumn("element", F.sum("place").over(order))
+    pieces = tokens.mapInArrow(ends, "file string, block long, place int, value string")
+    torn = pieces.withColumn("element", F.sum("place").over(order))
     joined = (torn.groupBy("file", "element").agg(F.sort_array(F.collect_list(F.struct("block", "place", "value"))).alias("p"))
               .select(F.concat_ws("", F.transform("p", lambda p: p["value"])).alias("value")))
     # the comma that was put back behind a file's last piece, and the blanks around an array, are no elements
     text = F.regexp_replace("value", r"^[\s,]+|[\s,]+$", "")
-    return pieces.where("file is null").select("value").unionByName(joined).select(text.alias("value")).where("value != ''")
+    return tokens.mapInArrow(whole, "value string").unionByName(joined.select(text.alias("value")).where("value != ''"))
 
 
 def parse(texts: DataFrame, schema: T.StructType, corrupt: str = CORRUPT) -> DataFrame:
