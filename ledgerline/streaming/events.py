@@ -130,9 +130,13 @@ def read_kafka_stream(spark: SparkSession, bootstrap: str, topic: str,
 
 # ---- files (S5, K4, ST2, ST3) ----------------------------------------------------------------
 
-def write_event_files(events: DataFrame, path: str) -> None:
-    """Land events as JSON-lines files (the file stand-in for a topic)."""
-    events.write.mode("overwrite").json(path)
+FILE_ROWS = 100_000             # messages of one file
+
+
+def write_event_files(events: DataFrame, path: str, rows: int = FILE_ROWS) -> None:
+    """Land events as JSON-lines files (the file stand-in for a topic) of at most ``rows`` messages, so there are more files
+    when there are more events. Each task writes what it has; nothing is shuffled."""
+    events.write.mode("overwrite").option("maxRecordsPerFile", rows).json(path)
 
 
 def read_event_stream(spark: SparkSession, path: str, multiline: bool = False,
