@@ -10,11 +10,10 @@ finds their partitions again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..session import scratch_tables
 from .warehouse import _folder, one_per_key
 
 
@@ -34,7 +33,7 @@ def create_table(spark: SparkSession, name: str, schema: StructType, location: s
     columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
     parts = f"PARTITIONED BY ({_quoted(date)}) " if date else ""
     place = location.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {_quoted(name)} ({columns}) USING parquet {parts}"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_quoted(name)} ({columns}) USING parquet OPTIONS (compression 'zstd') {parts}"
               f"CLUSTERED BY ({_quoted(key)}) INTO {n} BUCKETS LOCATION '{place}'")
     if date:
         files, where = _folder(spark, location)
@@ -57,17 +56,16 @@ def new_rows(batch: DataFrame, name: str, key: str = "tx_hash") -> DataFrame:
 
 def append_new_rows(batch: DataFrame, name: str, key: str = "tx_hash") -> int:
     """K7 into a catalog table: append the rows whose key it does not have, one row a key (the least by all columns in
-    their order); the number of rows added. Rows with a NULL key are left out. Running it again adds nothing. Each task
-    writes the files of one bucket. One load runs at a time."""
+    their order); the number of rows added. Rows with a NULL key are left out. Running it again adds nothing. The batch
+    is shuffled once, to the table's buckets: each task looks for its keys in one bucket and writes that bucket's files. One
+    load runs at a time."""
     spark = batch.sparkSession
     columns = spark.table(name).columns
-    with scratch_tables(spark) as stage:
-        fresh = stage(new_rows(one_per_key(batch.select(*columns), key), name, key), "table-fresh")
-        added = fresh.count()
-        if added:
-            fresh.repartition(bucket_count(spark, name), F.col(key)).select(*columns).write.insertInto(name)
-            spark.catalog.refreshTable(name)
-        return added
+    added = Observation("added")
+    fresh = new_rows(one_per_key(batch.select(*columns), key), name, key).select(*columns)
+    fresh.observe(added, F.count(F.lit(1)).alias("rows")).write.insertInto(name)
+    spark.catalog.refreshTable(name)
+    return int(added.get["rows"])
 
 
 def repeated_keys(spark: SparkSession, name: str, key: str = "tx_hash") -> DataFrame:
